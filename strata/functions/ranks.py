@@ -26,14 +26,19 @@ MAX_BROADCAST_ROWS = 200_000
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                       known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is at most ``max_rows``.
-
-    ``known_rows`` skips the count when the bound is proven by construction.
-    Otherwise the (small, aggregated) table is counted; above the bound it is
-    returned as is and the join falls back to a shuffle join.
+    """Broadcast hint only under a proven size bound.
+
+    With ``known_rows`` (a bound that holds by construction, e.g. groups x
+    buckets) at most ``max_rows`` the table is hinted for broadcast.
+    Without a bound no hint is given: adaptive execution measures the
+    materialised shuffle output and switches to a broadcast join only when
+    the measured size is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``
+    (a checked size, with the shuffle join as the fallback), without an
+    extra counting job.
     """
-    n = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    if known_rows is not None and known_rows <= max_rows:
+        return F.broadcast(df)
+    return df
 
 
 def _n_buckets(df: DataFrame) -> int:
@@ -54,14 +59,30 @@ def cut_points(df: DataFrame, value_col: str, n_buckets: int | None = None,
     return sorted({float(v) for v in vals if v is not None and not math.isnan(v)})
 
 
-def bucket_expr(c: Column, cuts: list[float]) -> Column:
+def sampled_cut_points(df: DataFrame, value_col: str, n_buckets: int | None = None,
+                       sample_rows: int = 20_000, seed: int = 7) -> list:
+    """Cut points for values without ``percentile_approx`` (strings): a
+    seeded sample of about ``sample_rows`` values, sorted on the driver."""
+    k = n_buckets or _n_buckets(df)
+    base = df.select(value_col).where(F.col(value_col).isNotNull())
+    n = base.count()
+    frac = min(1.0, sample_rows / max(n, 1))
+    vals = sorted(r[0] for r in base.sample(False, frac, seed).limit(4 * sample_rows).collect())
+    if not vals:
+        return []
+    picks = [vals[min(len(vals) - 1, (i * len(vals)) // k)] for i in range(1, k)]
+    return sorted(set(picks))
+
+
+def bucket_expr(c: Column, cuts: list) -> Column:
     """Index of the half-open interval ``[cuts[i-1], cuts[i])`` holding ``c``.
 
     A balanced ``CASE`` tree: log2(len(cuts)) comparisons per row, codegen
     friendly. NaN sorts above every number in Spark and lands in the last
     bucket.
     """
-    cd = c.cast("double")
+    numeric = not cuts or not isinstance(cuts[0], str)
+    cd = c.cast("double") if numeric else c
 
     def tree(lo: int, hi: int) -> Column:
         if lo >= hi:
@@ -74,16 +95,18 @@ def bucket_expr(c: Column, cuts: list[float]) -> Column:
 
 def cumulative(counts: DataFrame, order_col: str, sum_cols: list[str],
                group_cols: list[str] | None = None, descending: bool = False,
-               cuts: list[float] | None = None) -> DataFrame:
+               cuts: list | None = None, n_groups: int | None = None) -> DataFrame:
     """Running sums over a table with one row per ``(group, order value)``.
 
     Adds ``cum_<c>`` (inclusive running sum of ``c`` in value order) and
     ``tot_<c>`` (group total) for each ``c`` in ``sum_cols``, plus the
-    internal ``_bucket`` column.
+    internal ``_bucket`` column. ``n_groups``: known number of groups (lets
+    the offsets table be broadcast under a proven bound).
     """
     group_cols = list(group_cols or [])
     if cuts is None:
-        cuts = cut_points(counts, order_col)
+        numeric = dict(counts.dtypes)[order_col] not in ("string", "binary")
+        cuts = cut_points(counts, order_col) if numeric else sampled_cut_points(counts, order_col)
     bexpr = bucket_expr(F.col(order_col), cuts)
     if descending:
         bexpr = F.lit(len(cuts)) - bexpr
@@ -103,7 +126,9 @@ def cumulative(counts: DataFrame, order_col: str, sum_cols: list[str],
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     running = with_b.withColumns({f"_run_{c}": F.sum(c).over(wrun) for c in sum_cols})
     # groups x buckets rows; groups are few (labels, features, models).
-    joined = running.join(bounded_broadcast(offsets), on=[*group_cols, "_bucket"], how="inner")
+    bound = (len(cuts) + 1) * (n_groups if group_cols else 1) if (n_groups or not group_cols) else None
+    joined = running.join(bounded_broadcast(offsets, known_rows=bound), on=[*group_cols, "_bucket"],
+                          how="inner")
     return joined.select(
         *[c for c in running.columns if not c.startswith("_run_")],
         *[(F.col(f"_off_{c}") + F.col(f"_run_{c}")).alias(f"cum_{c}") for c in sum_cols],
@@ -158,7 +183,7 @@ def rank_sum_auc(df: DataFrame, label_col: str, score_col: str,
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
-                    group_cols: list[str] | None = None) -> DataFrame:
+                    group_cols: list[str] | None = None, n_groups: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy default, Spark
     ``percentile``, DuckDB ``quantile_cont``), nulls skipped.
 
@@ -171,7 +196,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
     spark = df.sparkSession
     counts = label_counts(df, value_col, None, group_cols)
     cuts = cut_points(counts, value_col)
-    cum = cumulative(counts, value_col, ["cnt"], group_cols, cuts=cuts)
+    cum = cumulative(counts, value_col, ["cnt"], group_cols, cuts=cuts, n_groups=n_groups)
+    g = n_groups if (n_groups or not group_cols) else None
+    g = 1 if not group_cols else g
     # ranks (0-based) needed per (group, p): floor and ceil of p * (n - 1)
     sizes = cum.select(*group_cols, F.col("tot_cnt").alias("n")).distinct()
     pr = spark.createDataFrame([(float(p), i) for i, p in enumerate(probs)], "p double, p_idx int")
@@ -187,11 +214,13 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
     # bucket of each wanted rank, from the small per-bucket range table
     bucket_ranges = located.groupBy(*group_cols, "_bucket").agg(
         F.min("start").alias("b_start"), F.max("end").alias("b_end"))
-    ks_b = ks.join(bounded_broadcast(bucket_ranges), on=group_cols, how="inner") if group_cols \
-        else ks.crossJoin(bounded_broadcast(bucket_ranges))
+    nb = None if g is None else g * (len(cuts) + 1)
+    ks_b = ks.join(bounded_broadcast(bucket_ranges, known_rows=nb), on=group_cols, how="inner") if group_cols \
+        else ks.crossJoin(F.broadcast(bucket_ranges))
     ks_b = ks_b.where((F.col("k") >= F.col("b_start")) & (F.col("k") < F.col("b_end"))) \
         .select(*group_cols, "p_idx", "k", "side", "_bucket")
-    hit = (located.join(bounded_broadcast(ks_b), on=[*group_cols, "_bucket"], how="inner")
+    nk = None if g is None else g * len(probs) * 2
+    hit = (located.join(bounded_broadcast(ks_b, known_rows=nk), on=[*group_cols, "_bucket"], how="inner")
            .where((F.col("k") >= F.col("start")) & (F.col("k") < F.col("end")))
            .groupBy(*group_cols, "p_idx")
            .agg(F.max(F.when(F.col("side") == "lo", F.col(value_col))).alias("v_lo"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.ranks import bounded_broadcast, exact_quantiles
+from strata.functions.ranks import exact_quantiles
 
 
 def _long_numeric(df: DataFrame, cols: list[str], ids: list[str] | None = None) -> DataFrame:
@@ -79,7 +79,7 @@ def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    q = (exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column"])
+    q = (exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column"], n_groups=len(cols))
          .groupBy("column").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value")))
     q = q.toDF("column", "q25", "median", "q75")
     return moments.join(q, "column")
@@ -166,7 +166,7 @@ def population_reference(df: DataFrame, age: str, fare: str, sibsp: str, parch:
     base = df.select(F.col(age).cast("double").alias("age"), F.col(fare).cast("double").alias("fare"),
                      fam.alias("family"))
     long = base.unpivot([], ["age", "fare", "family"], "column", "value").where(F.col("value").isNotNull())
-    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column"])
+    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column"], n_groups=3)
     wide = q.groupBy().pivot("column", ["age", "fare", "family"]).agg(
         F.first(F.when(F.col("p") == 0.5, F.col("value")), ignorenulls=True).alias("median"),
         F.first(F.when(F.col("p") == 0.25, F.col("value")), ignorenulls=True).alias("q25"),
@@ -180,7 +180,7 @@ def population_reference(df: DataFrame, age: str, fare: str, sibsp: str, parch:
 def iqr_outliers(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:
     """Tukey fences: Q1, Q3, IQR, fences at k*IQR, outlier count and % of non-null."""
     long = _long_numeric(df, cols).where(F.col("value").isNotNull())
-    q = (exact_quantiles(long, "value", [0.25, 0.75], ["column"])
+    q = (exact_quantiles(long, "value", [0.25, 0.75], ["column"], n_groups=len(cols))
          .groupBy("column").pivot("p", [0.25, 0.75]).agg(F.first("value")).toDF("column", "q1", "q3"))
     fences = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
               .withColumn("lower", F.col("q1") - F.lit(k) * F.col("iqr"))
