@@ -1 +1,244 @@
-"""Placeholder."""
+"""Statistical test queries (T1-T18) over the cohort and doc_labels."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strata.operators import stats as ST
+from strata.plans.catalog import register
+from strata.plans.fixtures import cohort, doc_labels, oracle_with
+
+C = oracle_with("cohort")
+CAT = ["sex", "pclass", "embarked"]
+NUM = ["age", "fare", "sibsp", "parch"]
+COUNTS = ["sibsp", "parch"]
+CAVEATS = {"parch": "weak on its own; contributes through family size"}
+
+
+def _u(template: str, cols: list[str]) -> str:
+    return "\nUNION ALL\n".join(template.format(c=c) for c in cols)
+
+
+def chi_sql(features: list[str], source: str = "cohort", label: str = "label") -> str:
+    """CTEs ending in ``chi`` (feature, chi2, dof, n, min_expected, expected_lt5, cramers_v)."""
+    return f""",
+long AS ({_u(f"SELECT '{{c}}' AS feature, CAST({{c}} AS VARCHAR) AS level, {label} AS lab FROM {source}", features)}),
+cells0 AS (SELECT feature, level, lab, count(*) AS n FROM long
+           WHERE level IS NOT NULL AND lab IS NOT NULL GROUP BY ALL),
+cells AS (SELECT f.feature, f.level, l.lab, COALESCE(c.n, 0) AS n
+          FROM (SELECT DISTINCT feature, level FROM cells0) f
+          CROSS JOIN (SELECT DISTINCT lab FROM cells0) l
+          LEFT JOIN cells0 c ON c.feature = f.feature AND c.level = f.level AND c.lab = l.lab),
+rt AS (SELECT feature, level, sum(n) AS r FROM cells GROUP BY ALL),
+ct AS (SELECT feature, lab, sum(n) AS c FROM cells GROUP BY ALL),
+nt AS (SELECT feature, sum(n) AS nn FROM cells GROUP BY ALL),
+sh AS (SELECT feature, (SELECT count(*) FROM rt WHERE rt.feature = nt.feature) AS nr,
+              (SELECT count(*) FROM ct WHERE ct.feature = nt.feature) AS nc FROM nt),
+e AS (SELECT cells.feature, cells.n, CAST(rt.r AS DOUBLE) * ct.c / nt.nn AS e, (sh.nr - 1) * (sh.nc - 1) AS dof,
+             nt.nn, least(sh.nr, sh.nc) AS k
+      FROM cells JOIN rt ON cells.feature = rt.feature AND cells.level = rt.level
+      JOIN ct ON cells.feature = ct.feature AND cells.lab = ct.lab
+      JOIN nt ON cells.feature = nt.feature JOIN sh ON cells.feature = sh.feature),
+chi AS (SELECT feature,
+          sum(power(CASE WHEN dof = 1 THEN abs(n - e) - least(0.5, abs(n - e)) ELSE abs(n - e) END, 2) / e) AS chi2,
+          CAST(any_value(dof) AS BIGINT) AS dof, CAST(any_value(nn) AS BIGINT) AS n, min(e) AS min_expected,
+          bool_or(e < 5) AS expected_lt5, any_value(k) AS k
+        FROM e GROUP BY feature)
+"""
+
+
+PB_SQL = f""",
+pbl AS ({_u("SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, label FROM cohort WHERE {c} IS NOT NULL", NUM)}),
+pb AS (SELECT feature, corr(CAST(label AS DOUBLE), v) AS r, count(*) AS n FROM pbl GROUP BY feature)
+"""
+
+
+@register("chi_square", C + chi_sql(CAT + COUNTS) + """
+SELECT feature, chi2, dof, n, min_expected, expected_lt5, sqrt(chi2 / n / (k - 1)) AS cramers_v FROM chi
+""")
+def q_chi_square(spark, sf):
+    return ST.chi_square(cohort(spark, sf), CAT + COUNTS, "label")
+
+
+@register("cramers_v", oracle_with("doc_labels") + chi_sql(["lang", "source"], "doc_labels", "quality") + """
+SELECT feature, chi2, sqrt(chi2 / n / (k - 1)) AS cramers_v FROM chi
+""")
+def q_cramers_v(spark, sf):
+    return ST.chi_square(doc_labels(spark, sf), ["lang", "source"], "quality").select(
+        "feature", "chi2", "cramers_v")
+
+
+@register("missing_mechanism", C + """,
+flags AS (SELECT CAST(age IS NULL AS INT) AS age_missing, CAST(cabin IS NULL AS INT) AS cabin_missing,
+                 label, pclass FROM cohort)""" + chi_sql(["age_missing", "cabin_missing"], "flags", "label") + """
+SELECT feature, chi2, dof, n FROM chi
+""")
+def q_missing_mechanism(spark, sf):
+    df = cohort(spark, sf).select(F.col("age").isNull().cast("int").alias("age_missing"),
+                                  F.col("cabin").isNull().cast("int").alias("cabin_missing"), "label")
+    return ST.chi_square(df, ["age_missing", "cabin_missing"], "label").select("feature", "chi2", "dof", "n")
+
+
+@register("point_biserial", C + PB_SQL + """
+SELECT feature, r, n, r * sqrt((n - 2) / (1 - r * r)) AS t FROM pb
+""")
+def q_point_biserial(spark, sf):
+    return ST.point_biserial(cohort(spark, sf), NUM, "label")
+
+
+@register("feature_audit", C + chi_sql(CAT) + PB_SQL + """
+SELECT feature, 'chi-square' AS test, chi2 AS statistic, sqrt(chi2 / n / (k - 1)) AS effect_size,
+       'Cramer''s V' AS effect_label, expected_lt5 FROM chi
+UNION ALL
+SELECT feature, 'point-biserial', r, abs(r), '|r|', CAST(NULL AS BOOLEAN) FROM pb
+""")
+def q_feature_audit(spark, sf):
+    return ST.feature_audit(cohort(spark, sf), CAT, NUM, "label")
+
+
+@register("feature_decisions")
+def q_feature_decisions(spark, sf):
+    """T6/T7/T14 with p-values: decision per feature and Bonferroni (rows-only check)."""
+    return ST.feature_audit(cohort(spark, sf), CAT, NUM, "label", with_p=True,
+                            count_features=COUNTS, caveats=CAVEATS)
+
+
+LEV_SQL = """,
+base AS (SELECT label AS g, fare AS x FROM cohort WHERE fare IS NOT NULL),
+med AS (SELECT g, median(x) AS m FROM base GROUP BY g),
+z AS (SELECT base.g, abs(x - m) AS z FROM base JOIN med ON base.g = med.g),
+per AS (SELECT g, count(*) AS nj, avg(z) AS zj FROM z GROUP BY g),
+tot AS (SELECT count(*) AS nn, avg(z) AS zbar, count(DISTINCT g) AS k FROM z),
+ssw AS (SELECT sum(power(z.z - per.zj, 2)) AS ssw FROM z JOIN per ON z.g = per.g),
+ssb AS (SELECT sum(nj * power(zj - zbar, 2)) AS ssb FROM per, tot)
+"""
+
+
+@register("levene", C + LEV_SQL + """
+SELECT (nn - k) / (k - 1) * ssb / ssw AS w, k - 1 AS df1, nn - k AS df2 FROM tot, ssw, ssb
+""")
+def q_levene(spark, sf):
+    return ST.levene(cohort(spark, sf), "label", "fare")
+
+
+MOM_SQL = """,
+m AS (SELECT count(*) FILTER (WHERE label = 1) AS na, avg(fare) FILTER (WHERE label = 1) AS ma,
+             var_samp(fare) FILTER (WHERE label = 1) AS va,
+             count(*) FILTER (WHERE label = 0) AS nb, avg(fare) FILTER (WHERE label = 0) AS mb,
+             var_samp(fare) FILTER (WHERE label = 0) AS vb
+      FROM cohort WHERE fare IS NOT NULL)
+"""
+
+
+@register("t_test", C + MOM_SQL + """
+SELECT (ma - mb) / sqrt(va / na + vb / nb) AS t_welch,
+       power(va / na + vb / nb, 2) / (power(va / na, 2) / (na - 1) + power(vb / nb, 2) / (nb - 1)) AS df_welch,
+       (ma - mb) / sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2) * (1.0 / na + 1.0 / nb)) AS t_pooled,
+       CAST(na + nb - 2 AS DOUBLE) AS df_pooled
+FROM m
+""")
+def q_t_test(spark, sf):
+    return ST.t_test(cohort(spark, sf), "label", "fare", 1, 0)
+
+
+@register("t_test_auto")
+def q_t_test_auto(spark, sf):
+    """T8 + T9 with p-values: Welch or pooled by the Levene p (rows-only check)."""
+    return ST.t_test_auto(cohort(spark, sf), "label", "fare", 1, 0)
+
+
+@register("cohens_d", C + MOM_SQL + """
+SELECT (ma - mb) / sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2)) AS cohens_d FROM m
+""")
+def q_cohens_d(spark, sf):
+    return ST.cohens_d(cohort(spark, sf), "label", "fare", 1, 0)
+
+
+@register("anova", C + """,
+g AS (SELECT pclass, count(*) AS n, sum(fare) AS s, sum(fare * fare) AS ss FROM cohort
+      WHERE fare IS NOT NULL GROUP BY pclass),
+t AS (SELECT sum(n) AS nn, sum(s) AS s, sum(ss) AS ss, count(*) AS k, sum(s * s / n) AS br FROM g)
+SELECT ((br - s * s / nn) / (k - 1)) / ((ss - br) / (nn - k)) AS f, k - 1 AS df1, CAST(nn - k AS BIGINT) AS df2 FROM t
+""")
+def q_anova(spark, sf):
+    return ST.anova(cohort(spark, sf), "pclass", "fare")
+
+
+@register("normality_jb", C + """,
+l AS (SELECT 'age' AS col, age AS v FROM cohort WHERE age IS NOT NULL
+      UNION ALL SELECT 'fare', fare FROM cohort WHERE fare IS NOT NULL),
+mu AS (SELECT col, avg(v) AS mu, count(*) AS n FROM l GROUP BY col),
+c AS (SELECT l.col, any_value(n) AS n, avg(power(v - mu, 2)) AS m2, avg(power(v - mu, 3)) AS m3,
+             avg(power(v - mu, 4)) AS m4 FROM l JOIN mu ON l.col = mu.col GROUP BY l.col)
+SELECT col AS "column", n, n / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4.0) AS jb
+FROM c
+""")
+def q_normality_jb(spark, sf):
+    return ST.normality_jb(cohort(spark, sf), ["age", "fare"])
+
+
+@register("mann_whitney", C + """,
+b AS (SELECT fare AS v, CAST(label = 1 AS INT) AS is_a FROM cohort WHERE fare IS NOT NULL AND label IN (0, 1)),
+vc AS (SELECT v, count(*) AS cnt, sum(is_a) AS pos FROM b GROUP BY v),
+mr AS (SELECT v, cnt, pos, sum(cnt) OVER (ORDER BY v) - cnt + (cnt + 1) / 2.0 AS midrank FROM vc),
+agg AS (SELECT sum(pos * midrank) AS r_a, CAST(sum(pos) AS DOUBLE) AS na, CAST(sum(cnt - pos) AS DOUBLE) AS nb,
+               sum(power(CAST(cnt AS DOUBLE), 3) - cnt) AS ties FROM mr)
+SELECT r_a - na * (na + 1) / 2 AS u,
+       (greatest(r_a - na * (na + 1) / 2, na * nb - (r_a - na * (na + 1) / 2)) - na * nb / 2 - 0.5)
+       / sqrt(na * nb / 12 * ((na + nb + 1) - ties / ((na + nb) * (na + nb - 1)))) AS z
+FROM agg
+""")
+def q_mann_whitney(spark, sf):
+    return ST.mann_whitney(cohort(spark, sf), "label", "fare", 1, 0)
+
+
+PAIRS = [("age", "fare"), ("age", "sibsp"), ("age", "parch"), ("fare", "sibsp"), ("fare", "parch"),
+         ("sibsp", "parch")]
+
+
+@register("pearson_matrix", C + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r FROM cohort"
+    for a, b in PAIRS))
+def q_pearson_matrix(spark, sf):
+    return ST.pearson_matrix(cohort(spark, sf), NUM)
+
+
+def _spear(a: str, b: str) -> str:
+    rk = lambda c: (f"(rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0)")
+    return (f"SELECT '{a}' AS a, '{b}' AS b, corr(ra, rb) AS rho FROM "
+            f"(SELECT {rk(a)} AS ra, {rk(b)} AS rb FROM cohort WHERE {a} IS NOT NULL AND {b} IS NOT NULL)")
+
+
+@register("spearman_matrix", C + "\nUNION ALL\n".join(_spear(a, b) for a, b in PAIRS))
+def q_spearman_matrix(spark, sf):
+    return ST.spearman_matrix(cohort(spark, sf), NUM, "id")
+
+
+@register("vif", C + """,
+r AS (SELECT corr(fare, CAST(sibsp AS DOUBLE)) AS r12, corr(fare, CAST(parch AS DOUBLE)) AS r13,
+             corr(CAST(sibsp AS DOUBLE), CAST(parch AS DOUBLE)) AS r23
+      FROM cohort WHERE fare IS NOT NULL AND sibsp IS NOT NULL AND parch IS NOT NULL),
+d AS (SELECT *, 1 + 2 * r12 * r13 * r23 - r12 * r12 - r13 * r13 - r23 * r23 AS det FROM r)
+SELECT 'fare' AS feature, (1 - r23 * r23) / det AS vif, (1 - r23 * r23) / det > 5 AS high FROM d
+UNION ALL SELECT 'sibsp', (1 - r13 * r13) / det, (1 - r13 * r13) / det > 5 FROM d
+UNION ALL SELECT 'parch', (1 - r12 * r12) / det, (1 - r12 * r12) / det > 5 FROM d
+""")
+def q_vif(spark, sf):
+    return ST.vif(cohort(spark, sf), ["fare", "sibsp", "parch"])
+
+
+@register("mutual_information", C + """,
+r AS (SELECT min(fare) AS lo, max(fare) AS hi FROM cohort),
+b AS (SELECT sex, CAST(pclass AS VARCHAR) AS pclass, embarked, label,
+             CAST(CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((fare - lo) / ((hi - lo) / 10)), 9) END AS INT)
+                  AS VARCHAR) AS fare FROM cohort, r)""" + chi_sql(["sex", "pclass", "embarked", "fare"], "b") + """,
+mi AS (SELECT cells.feature, cells.n, nt.nn, rt.r, ct.c FROM cells
+       JOIN rt ON cells.feature = rt.feature AND cells.level = rt.level
+       JOIN ct ON cells.feature = ct.feature AND cells.lab = ct.lab
+       JOIN nt ON cells.feature = nt.feature WHERE cells.n > 0)
+SELECT feature, sum(CAST(n AS DOUBLE) / nn * ln(CAST(n AS DOUBLE) * nn / (CAST(r AS DOUBLE) * c))) AS mi
+FROM mi GROUP BY feature
+""")
+def q_mutual_information(spark, sf):
+    df = cohort(spark, sf)
+    return ST.mutual_information(df, ["sex", "pclass", "embarked"], ["fare"], "label")
