@@ -41,6 +41,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return df
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` (an aggregated, reused intermediate) to the shared
+    checkpoint folder and cut its lineage, so later references read it
+    instead of re-scanning the input. Reliable checkpoint, never a local one.
+    """
+    from strata.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _n_buckets(df: DataFrame) -> int:
     try:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -105,6 +116,7 @@ def cumulative(counts: DataFrame, order_col: str, sum_cols: list[str],
     """
     group_cols = list(group_cols or [])
     if cuts is None:
+        counts = materialize(counts)  # read by the cut-point job and by the windows below
         numeric = dict(counts.dtypes)[order_col] not in ("string", "binary")
         cuts = cut_points(counts, order_col) if numeric else sampled_cut_points(counts, order_col)
     bexpr = bucket_expr(F.col(order_col), cuts)
@@ -194,9 +206,10 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
     """
     group_cols = list(group_cols or [])
     spark = df.sparkSession
-    counts = label_counts(df, value_col, None, group_cols)
+    counts = materialize(label_counts(df, value_col, None, group_cols))
     cuts = cut_points(counts, value_col)
-    cum = cumulative(counts, value_col, ["cnt"], group_cols, cuts=cuts, n_groups=n_groups)
+    # referenced four times below: written once
+    cum = materialize(cumulative(counts, value_col, ["cnt"], group_cols, cuts=cuts, n_groups=n_groups))
     g = n_groups if (n_groups or not group_cols) else None
     g = 1 if not group_cols else g
     # ranks (0-based) needed per (group, p): floor and ceil of p * (n - 1)

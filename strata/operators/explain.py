@@ -25,15 +25,19 @@ class LinearModel:
     each feature from raw columns."""
     intercept: float
     coefs: dict[str, float]
-    design: dict[str, Column]
+    design: dict[str, Column | str]  # Column, or SQL text (built lazily)
     version: str = "given-1"
 
     @property
     def features(self) -> list[str]:
         return list(self.coefs)
 
+    def feature_expr(self, f: str) -> Column:
+        d = self.design[f]
+        return F.expr(d).cast("double") if isinstance(d, str) else d
+
     def matrix(self, df: DataFrame, keep: list[str]) -> DataFrame:
-        return df.select(*keep, *[self.design[f].alias(f) for f in self.features])
+        return df.select(*keep, *[self.feature_expr(f).alias(f) for f in self.features])
 
     def logit(self) -> Column:
         expr = F.lit(self.intercept)

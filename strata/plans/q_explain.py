@@ -31,7 +31,7 @@ DESIGN = {
 }
 RAW = ["id", "label", "pclass", "sex", "age", "sibsp", "parch", "fare", "cabin", "embarked"]
 
-MODEL = X.LinearModel(INTERCEPT, dict(COEFS), {f: F.expr(s).cast("double") for f, s in DESIGN.items()})
+MODEL = X.LinearModel(INTERCEPT, dict(COEFS), dict(DESIGN))
 
 
 def _lit(v: float) -> str:
