@@ -42,14 +42,22 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` (an aggregated, reused intermediate) to the shared
-    checkpoint folder and cut its lineage, so later references read it
-    instead of re-scanning the input. Reliable checkpoint, never a local one.
-    """
-    from strata.session import ensure_checkpoint_dir
+    """Write ``df`` (an aggregated, reused intermediate) as a table in the
+    shared checkpoint folder and read it back: one job, lineage cut, later
+    references (and a restarted stage after a lost executor) read the files
+    instead of re-scanning the input. Never a machine-local folder."""
+    import uuid
+
+    from strata.session import shared_dir
+
+    path = shared_dir(df.sparkSession, f"materialized/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+# Distinct-value tables up to this size are ranked in one bucket per group
+# (size read from the written table's footers); larger ones are bucketed.
+SMALL_DISTINCT = 100_000
 
 
 def _n_buckets(df: DataFrame) -> int:
@@ -117,8 +125,11 @@ def cumulative(counts: DataFrame, order_col: str, sum_cols: list[str],
     group_cols = list(group_cols or [])
     if cuts is None:
         counts = materialize(counts)  # read by the cut-point job and by the windows below
-        numeric = dict(counts.dtypes)[order_col] not in ("string", "binary")
-        cuts = cut_points(counts, order_col) if numeric else sampled_cut_points(counts, order_col)
+        if counts.count() <= SMALL_DISTINCT:
+            cuts = []
+        else:
+            numeric = dict(counts.dtypes)[order_col] not in ("string", "binary")
+            cuts = cut_points(counts, order_col) if numeric else sampled_cut_points(counts, order_col)
     bexpr = bucket_expr(F.col(order_col), cuts)
     if descending:
         bexpr = F.lit(len(cuts)) - bexpr
@@ -207,9 +218,13 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
     group_cols = list(group_cols or [])
     spark = df.sparkSession
     counts = materialize(label_counts(df, value_col, None, group_cols))
-    cuts = cut_points(counts, value_col)
-    # referenced four times below: written once
-    cum = materialize(cumulative(counts, value_col, ["cnt"], group_cols, cuts=cuts, n_groups=n_groups))
+    if counts.count() <= SMALL_DISTINCT:  # footer row counts: no extra scan
+        cuts: list = []
+        cum = cumulative(counts, value_col, ["cnt"], group_cols, cuts=cuts, n_groups=n_groups)
+    else:
+        cuts = cut_points(counts, value_col)
+        # referenced four times below: written once
+        cum = materialize(cumulative(counts, value_col, ["cnt"], group_cols, cuts=cuts, n_groups=n_groups))
     g = n_groups if (n_groups or not group_cols) else None
     g = 1 if not group_cols else g
     # ranks (0-based) needed per (group, p): floor and ceil of p * (n - 1)

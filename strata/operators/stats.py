@@ -309,3 +309,14 @@ def mutual_information(df: DataFrame, discrete: list[str], continuous: list[str]
     j = cells.where(F.col("n") > 0).join(tot, "feature").join(px, ["feature", "level"]).join(py, ["feature", label])
     term = F.col("n") / F.col("_n") * F.log(F.col("n") * F.col("_n") / (F.col("_nx") * F.col("_ny")))
     return j.groupBy("feature").agg(F.sum(term).alias("mi"))
+
+
+def normality_ks(df: DataFrame, col: str) -> DataFrame:
+    """Kolmogorov-Smirnov statistic and p-value of a column against the
+    normal distribution with its own mean and sample std (MLlib)."""
+    from pyspark.ml.stat import KolmogorovSmirnovTest
+
+    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
+    m = x.agg(F.avg("x").alias("mu"), F.stddev_samp("x").alias("sd")).first()
+    res = KolmogorovSmirnovTest.test(x, "x", "norm", float(m["mu"]), float(m["sd"]))
+    return res.select(F.lit(col).alias("column"), "statistic", "pValue")

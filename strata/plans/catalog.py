@@ -30,6 +30,6 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from strata.plans import (  # noqa: F401
-        q_contracts, q_evaluate, q_explain, q_features, q_profile, q_splits, q_stats, q_stream,
-        q_train,
+        q_contracts, q_evaluate, q_explain, q_features, q_profile, q_sources, q_splits, q_stats,
+        q_stream, q_train,
     )

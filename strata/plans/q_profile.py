@@ -20,14 +20,17 @@ def _union(template: str, cols: list[str]) -> str:
     return "\nUNION ALL\n".join(template.format(c=c) for c in cols)
 
 
-@register("rate_by_factor", C + """,
+ORACLE_RATE = C + """,
 long AS (
 """ + _union("SELECT '{c}' AS factor, CAST({c} AS VARCHAR) AS level, label FROM cohort", FACTORS) + """
 )
 SELECT factor, level, count(*) AS n, avg(CAST(label AS DOUBLE)) AS rate,
        (SELECT avg(CAST(label AS DOUBLE)) FROM cohort) AS overall_rate
 FROM long WHERE level IS NOT NULL GROUP BY factor, level
-""")
+"""
+
+
+@register("rate_by_factor", ORACLE_RATE)
 def q_rate_by_factor(spark, sf):
     return P.rate_by_factor(cohort(spark, sf), FACTORS, "label")
 

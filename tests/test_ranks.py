@@ -56,3 +56,19 @@ def test_label_encode_alphabetical(spark):
     from strata.operators.features import label_encode
     got = {r["x"]: r["x_code"] for r in label_encode(df, "x").collect()}
     assert got == {"a": 0, "b": 1, "c": 2, None: None}
+
+
+def test_bucketed_path_equals_single_bucket(spark, monkeypatch):
+    """Force the multi-bucket prefix sums (used above SMALL_DISTINCT values)."""
+    df = scored(spark, SF001)
+    small_auc = R.rank_sum_auc(df, "label", "score").first()["auc"]
+    small_q = sorted(r["value"] for r in R.exact_quantiles(df, "score", [0.1, 0.5, 0.9]).collect())
+    monkeypatch.setattr(R, "SMALL_DISTINCT", 0)
+    assert abs(R.rank_sum_auc(df, "label", "score").first()["auc"] - small_auc) < 1e-12
+    big_q = sorted(r["value"] for r in R.exact_quantiles(df, "score", [0.1, 0.5, 0.9]).collect())
+    assert max(abs(a - b) for a, b in zip(small_q, big_q)) < 1e-12
+    codes = {r["name"]: r["name_code"] for r in
+             __import__("strata.operators.features", fromlist=["x"]).label_encode(
+                 cohort(spark, SF001), "name", "name_code").collect()}
+    names = sorted(codes)
+    assert [codes[n] for n in names] == list(range(len(names)))
