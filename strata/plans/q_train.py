@@ -201,3 +201,14 @@ def q_coefficients(spark, sf):
     n_w = train.agg(F.sum("weight")).first()[0]
     model = M.make_pipeline(lr_est(n_w)).fit(train)
     return M.coefficients(model, train)
+
+
+@register("select_model")
+def q_select_model(spark, sf):
+    """M8: cross-validated F1 of two L2 logistic variants (C = 0.1, 1) under
+    the same folds; the one with the highest mean is selected."""
+    train, _ = model_frame(spark, sf)
+    search = M.random_search(train, [{"C": 0.1, "l1": False}, {"C": 1.0, "l1": False}], lr_est, n_draws=2,
+                             parallelism=2)
+    best = M.select_best(search)
+    return search.crossJoin(best).withColumn("selected", F.col("params") == F.col("best_params"))
