@@ -154,7 +154,7 @@ def contingency(df: DataFrame, features: list[str], label: str,
     else:
         labs = df.sparkSession.createDataFrame([(v,) for v in label_levels],
                                                T.StructType([df.schema[label]]))
-    grid = levels.crossJoin(F.broadcast(labs))
+    grid = levels.crossJoin(labs)  # label values: few; sized by adaptive execution
     return (grid.join(cells, ["feature", "level", label], "left")
             .select("feature", "level", label, F.coalesce("n", F.lit(0)).alias("n")))
 

@@ -120,9 +120,11 @@ def levene(df: DataFrame, group: str, value: str, with_p: bool = False) -> DataF
     base = df.where(F.col(value).isNotNull() & F.col(group).isNotNull()).select(
         group, F.col(value).cast("double").alias("x"))
     med = exact_quantiles(base, "x", [0.5], [group]).select(group, F.col("value").alias("_med"))
-    z = base.join(F.broadcast(med), group).withColumn("z", F.abs(F.col("x") - F.col("_med")))
+    # one row per group: left to adaptive execution, which broadcasts it
+    # after measuring (the number of groups is not bounded in general)
+    z = base.join(med, group).withColumn("z", F.abs(F.col("x") - F.col("_med")))
     per = z.groupBy(group).agg(F.count(F.lit(1)).alias("n_j"), F.avg("z").alias("zbar_j"))
-    zz = z.join(F.broadcast(per), group)
+    zz = z.join(per, group)
     tot = zz.agg(F.count(F.lit(1)).alias("N"), F.avg("z").alias("zbar"),
                  F.sum((F.col("z") - F.col("zbar_j")) ** 2).alias("ssw"),
                  F.countDistinct(group).alias("k"))
