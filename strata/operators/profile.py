@@ -319,3 +319,26 @@ def smooth_rate(df: DataFrame, x_col: str, y_col: str, frac: float = 0.35, bins:
     slope = F.when(F.abs(den) > 1e-12, (F.col("sw") * F.col("swxy") - F.col("swx") * F.col("swy")) / den).otherwise(0.0)
     icpt = (F.col("swy") - slope * F.col("swx")) / F.col("sw")
     return s.select("x0", (icpt + slope * F.col("x0")).alias("fitted"))
+
+
+# P6 / P10 / J6 ----------------------------------------------------------------------------
+def columns_by_kind(df: DataFrame, kind: str = "numeric", exclude: list[str] | None = None) -> list[str]:
+    """Column names of one kind ('numeric' or 'text') from the schema, minus ``exclude``."""
+    num = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+    out = []
+    for f in df.schema.fields:
+        is_num = isinstance(f.dataType, num)
+        if (kind == "numeric" and is_num) or (kind == "text" and isinstance(f.dataType, T.StringType)):
+            out.append(f.name)
+    return [c for c in out if c not in set(exclude or [])]
+
+
+def map_codes(col: str, mapping: dict) -> "F.Column":
+    """Replace codes by labels with a literal map (unknown codes give NULL)."""
+    return F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])[F.col(col)]
+
+
+def pair_by_key(long: DataFrame, key: str, name_col: str, value_col: str, names: list[str]) -> DataFrame:
+    """Long (key, name, value) rows to one row per key with a column per
+    name (given names: no extra job to find them)."""
+    return long.groupBy(key).pivot(name_col, names).agg(F.first(value_col))

@@ -227,3 +227,26 @@ def q_metric_intervals(spark, sf):
     models = {"model_a": "score", "model_b": "score_b"}
     return E.metric_intervals(E.long_metrics(df, "label", models),
                               E.bootstrap_ci(df, "label", models, n_boot=1000))
+
+
+@register("paired_predictions", S + """
+SELECT id, label, score AS model_a, score_b AS model_b,
+       CASE WHEN CAST(score >= 0.5 AS INT) = label THEN 'correct' ELSE 'wrong' END AS outcome_a,
+       CASE WHEN CAST(score_b >= 0.5 AS INT) = label THEN 'correct' ELSE 'wrong' END AS outcome_b
+FROM scored
+""")
+def q_paired_predictions(spark, sf):
+    """J6 + P10: predictions of two models stored long, paired by id (pivot),
+    with the 0/1 outcome mapped to words."""
+    from strata.operators.profile import map_codes, pair_by_key
+
+    df = scored(spark, sf)
+    long = (df.select("id", "label", F.lit("model_a").alias("model"), F.col("score").alias("p"))
+            .unionByName(df.select("id", "label", F.lit("model_b").alias("model"), F.col("score_b").alias("p"))))
+    wide = pair_by_key(long.drop("label"), "id", "model", "p", ["model_a", "model_b"])
+    out = wide.join(df.select("id", "label"), "id")
+    words = {1: "correct", 0: "wrong"}
+    hits = out.withColumns({f"_ok_{m}": ((F.col(m) >= 0.5).cast("int") == F.col("label")).cast("int")
+                            for m in ("model_a", "model_b")})
+    return hits.select("id", "label", "model_a", "model_b", map_codes("_ok_model_a", words).alias("outcome_a"),
+                       map_codes("_ok_model_b", words).alias("outcome_b"))

@@ -68,3 +68,10 @@ def test_bins_right_closed(spark):
     df = spark.createDataFrame([(0.0,), (12.0,), (12.5,), (59.0,), (59.5,), (121.0,), (None,)], "a double")
     got = [r[0] for r in df.select(FT.bin_right_closed(F.col("a"), FT.AGE_BINS, FT.AGE_LABELS)).collect()]
     assert got == [None, "Child", "Teen", "Adult", "Senior", None, None]
+
+
+def test_columns_by_kind(spark):
+    from strata.operators.profile import columns_by_kind
+    df = cohort(spark, SF001)
+    assert columns_by_kind(df, "numeric", ["id", "label"]) == ["pclass", "age", "sibsp", "parch", "fare"]
+    assert columns_by_kind(df, "text") == ["sex", "name", "cabin", "embarked"]
