@@ -12,7 +12,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.functions.ranks import bucket_expr, cumulative, exact_quantiles, label_counts, rank_sum_auc
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.ranks import cumulative
 
-LOW_BITS = 12  # buckets of h >> 12: 2^20 per stratum, ~n_s / 2^20 rows each
+LOW_BITS = 16  # buckets of h >> 16: 65 536 per stratum, ~n_s / 65 536 rows each
 
 
 def key_hash(key: Column | str, seed: int | str = 42) -> Column:

@@ -64,22 +64,6 @@ SELECT d.doc_id AS id, d.lang, d.source, d.n_chars, l.quality, l.toxic
 FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id
 """
 
-# Feature names and fitted coefficients of a fixed linear model over the
-# cohort, used by the scoring and explanation operators so they can be
-# checked without training. (feature, coef, mean of the feature on cohort
-# would be data dependent, so means are computed, not given.)
-GIVEN_COEFFICIENTS = [
-    ("intercept", -0.35),
-    ("sex_female", 1.9),
-    ("pclass_1", 0.85),
-    ("pclass_2", 0.4),
-    ("age_scaled", -0.3),
-    ("fare_log", 0.12),
-    ("family_size", -0.08),
-    ("has_cabin", 0.55),
-]
-
-
 def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(COHORT_SQL, orders=read_table(spark, sf_dir, "orders"),
                      customer=read_table(spark, sf_dir, "customer"))

@@ -47,3 +47,24 @@ def test_nearest_rows_never_self(spark):
     out = X.nearest_rows(q, m, "id", [f for f, _ in Q.COEFS], k=3)
     rows = out.collect()
     assert len(rows) == 9 and all(r["query_id"] != r["neighbor_id"] for r in rows)
+
+
+def test_permutation_keeps_each_value_once(spark):
+    """Each (column, repeat) permutation is a bijection of the rows."""
+    from strata.operators.splits import hash_rank
+
+    df = Q.cohort(spark, SF001).select("id")
+    reps = spark.createDataFrame([("sex", 0), ("sex", 1)], "column string, rep int")
+    rows = df.crossJoin(reps).withColumn("_g", F.concat_ws("|", "column", F.col("rep").cast("string")))
+    ranked = hash_rank(rows.withColumn("_pk", F.concat_ws("|", F.col("id").cast("string"), "_g")), "_pk", "_g")
+    n = df.count()
+    stats = ranked.groupBy("_g").agg(F.countDistinct("rank").alias("d"), F.min("rank").alias("lo"),
+                                     F.max("rank").alias("hi")).collect()
+    assert all((r["d"], r["lo"], r["hi"]) == (n, 1, n) for r in stats)
+
+
+def test_permutation_importance_runs(spark):
+    df = Q.cohort(spark, SF001).select(*Q.RAW)
+    out = {r["column"]: r["importance"] for r in
+           X.permutation_importance(df, Q.MODEL, "id", "label", ["sex", "fare"], repeats=3).collect()}
+    assert set(out) == {"sex", "fare"} and out["sex"] > out["fare"] - 1e-9

@@ -51,3 +51,30 @@ def test_mann_whitney_matches_brute_force(spark):
     a = pdf[pdf.label == 1].fare.to_numpy()[:, None]
     b = pdf[pdf.label == 0].fare.to_numpy()[None, :]
     assert abs(got - ((a > b).sum() + 0.5 * (a == b).sum())) < 1e-6
+
+
+def test_density_integrates_to_one(spark):
+    from strata.operators.profile import density_grid
+    df = cohort(spark, SF001)
+    rows = density_grid(df, "fare", "label", grid=200).collect()
+    for lab in (0, 1):
+        pts = sorted((r["grid_x"], r["density"]) for r in rows if r["label"] == lab)
+        area = sum((x2 - x1) * (d1 + d2) / 2 for (x1, d1), (x2, d2) in zip(pts, pts[1:]))
+        assert 0.9 < area < 1.05
+
+
+def test_smooth_rate_in_unit_interval(spark):
+    from strata.operators.profile import smooth_rate
+    rows = smooth_rate(cohort(spark, SF001), "age", "label", 0.35).collect()
+    assert rows and all(-0.05 <= r["fitted"] <= 1.05 for r in rows)
+
+
+def test_bootstrap_interval_contains_point(spark):
+    from strata.operators import evaluate as E
+    from strata.plans.fixtures import scored
+    df = scored(spark, SF001)
+    ci = {(r["model"], r["metric"]): r for r in
+          E.bootstrap_ci(df, "label", {"a": "score"}, n_boot=200).collect()}
+    pt = {r["metric"]: r["value"] for r in E.long_metrics(df, "label", {"a": "score"}).collect()}
+    for m in ("accuracy", "precision", "recall", "f1"):
+        assert ci[("a", m)]["lower"] <= pt[m] <= ci[("a", m)]["upper"]
