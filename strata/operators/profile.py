@@ -87,35 +87,39 @@ def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
 
 # A5 ---------------------------------------------------------------------------------------
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Counts per (column, value) with a null bucket, and share of all rows."""
+    """Counts per (column, value) with a null bucket, and share of all rows.
+    The total is the sum of the counts of each column (no second scan)."""
     long = _long_text(df, cols)
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return (counts.crossJoin(F.broadcast(total))
-            .select("column", "value", "n", (F.col("n") / F.col("_total")).alias("share")))
+    w = Window.partitionBy("column")  # aggregated table: one row per value
+    return counts.select("column", "value", "n", (F.col("n") / F.sum("n").over(w)).alias("share"))
 
 
 def target_distribution(df: DataFrame, label: str) -> DataFrame:
-    """Rows per label value and share."""
+    """Rows per label value and share (total from the same aggregate)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return (counts.crossJoin(F.broadcast(total))
-            .select(label, "n", (F.col("n") / F.col("_total")).alias("share")))
+    w = Window.partitionBy(F.lit(0))  # one row per label value
+    return counts.select(label, "n", (F.col("n") / F.sum("n").over(w)).alias("share"))
 
 
 # A6 ---------------------------------------------------------------------------------------
 def rate_by_factor(df: DataFrame, factors: list[str], label: str) -> DataFrame:
     """Outcome rate per level of each factor, with the overall rate.
 
-    All factors in one aggregation: unpivot to (factor, level) first.
-    Null levels are dropped (pandas ``groupby`` default).
+    All factors in one aggregation: unpivot to (factor, level) first. The
+    overall rate comes from the same aggregate (every factor's levels,
+    null level included, cover all rows), so the input is scanned once.
+    Null levels are then dropped (pandas ``groupby`` default).
     """
     long = (_long_text(df, factors, [label]).withColumnRenamed("column", "factor")
-            .withColumnRenamed("value", "level").where(F.col("level").isNotNull()))
-    rates = long.groupBy("factor", "level").agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.col(label).cast("double")).alias("rate"))
-    overall = df.agg(F.avg(F.col(label).cast("double")).alias("overall_rate"))
-    return rates.crossJoin(F.broadcast(overall))
+            .withColumnRenamed("value", "level"))
+    y = F.col(label).cast("double")
+    agg = long.groupBy("factor", "level").agg(
+        F.count(F.lit(1)).alias("n"), F.count(y).alias("_n_lab"), F.sum(y).alias("_s"))
+    w = Window.partitionBy("factor")  # aggregated table: one row per level
+    return (agg.withColumn("overall_rate", F.sum("_s").over(w) / F.sum("_n_lab").over(w))
+            .where(F.col("level").isNotNull())
+            .select("factor", "level", "n", (F.col("_s") / F.col("_n_lab")).alias("rate"), "overall_rate"))
 
 
 # A7 / F14 ---------------------------------------------------------------------------------
