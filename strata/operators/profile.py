@@ -36,13 +36,17 @@ def profile_overview(df: DataFrame) -> DataFrame:
 # A2 ---------------------------------------------------------------------------------------
 def duplicate_counts(df: DataFrame, key_col: str, cols: list[str] | None = None) -> DataFrame:
     """Repeats after the first occurrence: of whole rows (nulls compare
-    equal, as in pandas) and of the key. One row."""
-    cols = cols or df.columns
-    rows = (df.groupBy(*cols).count()
-            .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicate_rows"),
-                 F.count(F.lit(1)).alias("distinct_rows")))
-    keys = (df.groupBy(key_col).count()
-            .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicate_keys")))
+    equal, as in pandas) and of the key. One row. The key counts are
+    derived from the whole-row groups (the key is one of the columns), so
+    the input is scanned once."""
+    cols = list(cols or df.columns)
+    if key_col not in cols:
+        cols.append(key_col)
+    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+    rows = groups.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("duplicate_rows"),
+                      F.count(F.lit(1)).alias("distinct_rows"))
+    keys = (groups.groupBy(key_col).agg(F.sum("_c").alias("_k"))
+            .agg(F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).alias("duplicate_keys")))
     return rows.crossJoin(keys)
 
 
