@@ -57,7 +57,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 # Distinct-value tables up to this size are ranked in one bucket per group
 # (size read from the written table's footers); larger ones are bucketed.
-SMALL_DISTINCT = 100_000
+SMALL_DISTINCT = 1_000_000
 
 
 def _n_buckets(df: DataFrame) -> int:
@@ -211,8 +211,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
     ``percentile``, DuckDB ``quantile_cont``), nulls skipped.
 
     Unlike the built-in ``percentile`` aggregate, no task ever holds the
-    value map of a whole group: the work is a distinct-value aggregation, a
-    bucketed prefix sum, and an equi-join on ``(group, bucket)``.
+    value map of a whole group: the distinct-value counts are written once,
+    their running sums come from ``cumulative``, and the few wanted ranks
+    (groups x probs x 2 rows) are joined to the running sums in one pass.
     Returns group..., p, value.
     """
     group_cols = list(group_cols or [])
@@ -220,15 +221,11 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
     counts = materialize(label_counts(df, value_col, None, group_cols))
     if counts.count() <= SMALL_DISTINCT:  # footer row counts: no extra scan
         cuts: list = []
-        cum = cumulative(counts, value_col, ["cnt"], group_cols, cuts=cuts, n_groups=n_groups)
     else:
         cuts = cut_points(counts, value_col)
-        # referenced four times below: written once
-        cum = materialize(cumulative(counts, value_col, ["cnt"], group_cols, cuts=cuts, n_groups=n_groups))
-    g = n_groups if (n_groups or not group_cols) else None
-    g = 1 if not group_cols else g
+    cum = cumulative(counts, value_col, ["cnt"], group_cols, cuts=cuts, n_groups=n_groups)
     # ranks (0-based) needed per (group, p): floor and ceil of p * (n - 1)
-    sizes = cum.select(*group_cols, F.col("tot_cnt").alias("n")).distinct()
+    sizes = counts.groupBy(*group_cols).agg(F.sum("cnt").alias("n"))
     pr = spark.createDataFrame([(float(p), i) for i, p in enumerate(probs)], "p double, p_idx int")
     targets = (sizes.crossJoin(F.broadcast(pr))
                .withColumn("pos", F.col("p") * (F.col("n") - 1))
@@ -237,19 +234,12 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
                .withColumn("frac", F.col("pos") - F.col("k_lo")))
     ks = (targets.select(*group_cols, "p_idx", F.col("k_lo").alias("k"), F.lit("lo").alias("side"))
           .unionByName(targets.select(*group_cols, "p_idx", F.col("k_hi").alias("k"), F.lit("hi").alias("side"))))
-    located = cum.select(*group_cols, "_bucket", value_col,
-                         (F.col("cum_cnt") - F.col("cnt")).alias("start"), F.col("cum_cnt").alias("end"))
-    # bucket of each wanted rank, from the small per-bucket range table
-    bucket_ranges = located.groupBy(*group_cols, "_bucket").agg(
-        F.min("start").alias("b_start"), F.max("end").alias("b_end"))
-    nb = None if g is None else g * (len(cuts) + 1)
-    ks_b = ks.join(bounded_broadcast(bucket_ranges, known_rows=nb), on=group_cols, how="inner") if group_cols \
-        else ks.crossJoin(F.broadcast(bucket_ranges))
-    ks_b = ks_b.where((F.col("k") >= F.col("b_start")) & (F.col("k") < F.col("b_end"))) \
-        .select(*group_cols, "p_idx", "k", "side", "_bucket")
-    nk = None if g is None else g * len(probs) * 2
-    hit = (located.join(bounded_broadcast(ks_b, known_rows=nk), on=[*group_cols, "_bucket"], how="inner")
-           .where((F.col("k") >= F.col("start")) & (F.col("k") < F.col("end")))
+    g = 1 if not group_cols else n_groups
+    ks = bounded_broadcast(ks, known_rows=None if g is None else g * len(probs) * 2)
+    located = cum.select(*group_cols, value_col, (F.col("cum_cnt") - F.col("cnt")).alias("start"),
+                         F.col("cum_cnt").alias("end"))
+    joined = located.join(ks, on=group_cols, how="inner") if group_cols else located.crossJoin(ks)
+    hit = (joined.where((F.col("k") >= F.col("start")) & (F.col("k") < F.col("end")))
            .groupBy(*group_cols, "p_idx")
            .agg(F.max(F.when(F.col("side") == "lo", F.col(value_col))).alias("v_lo"),
                 F.max(F.when(F.col("side") == "hi", F.col(value_col))).alias("v_hi")))
