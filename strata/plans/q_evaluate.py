@@ -43,7 +43,7 @@ vc AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (
        FROM scored WHERE score IS NOT NULL GROUP BY score),
 c AS (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - neg AS below FROM vc)
 SELECT CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg,
-       sum(pos * (below + 0.5 * neg)) AS u,
+       CAST(sum(pos * (below + 0.5 * neg)) AS DOUBLE) AS u,
        sum(pos * (below + 0.5 * neg)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)) AS auc FROM c
 """)
 def q_roc_auc(spark, sf):
@@ -112,9 +112,9 @@ per AS (
          CASE WHEN n11 + n10 = 0 THEN 0.0 ELSE n11 / (n11 + n10) END,
          CASE WHEN 2 * n11 + n01 + n10 = 0 THEN 0.0 ELSE 2 * n11 / (2 * n11 + n01 + n10) END, n11 + n10 FROM c)
 SELECT * FROM per
-UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM per
+UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM per
 UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
-                 sum(f1 * support) / sum(support), sum(support) FROM per
+                 sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM per
 """)
 def q_class_report(spark, sf):
     return E.class_report(sp(spark, sf), "label", "pred")

@@ -67,7 +67,7 @@ LONG_SQL = ",\nlong AS (" + "\nUNION ALL\n".join(
 SELECT id, feature, value, value * coef AS contribution,
        {_lit(INTERCEPT)} + sum(value * coef) OVER (PARTITION BY id) AS log_odds,
        1 / (1 + exp(-({_lit(INTERCEPT)} + sum(value * coef) OVER (PARTITION BY id)))) AS probability,
-       row_number() OVER (PARTITION BY id ORDER BY abs(value * coef) DESC, feature) AS rank
+       CAST(row_number() OVER (PARTITION BY id ORDER BY abs(value * coef) DESC, feature) AS INTEGER) AS rank
 FROM long
 """)
 def q_row_contributions(spark, sf):
