@@ -39,3 +39,19 @@ def test_row_rules_and_defaults(spark):
     assert reasons[4] == ["pclass: not allowed", "sex: not allowed"]
     assert reasons[2] == ["age: required"]
     assert reasons[3] == ["age: above 100", "sibsp: below 0", "embarked: not allowed", "title: not allowed"]
+
+
+def test_csv_scan_missing_tokens_and_bad_numbers(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from strata.sources.tables import read_csv
+    p = tmp_path / "in.csv"
+    p.write_text("id,age,sex\n1,29,female\n2,NA,male\n3,,None\n4,abc,male\n5,NaN,null\n")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("age", T.DoubleType()),
+                           T.StructField("sex", T.StringType())])
+    rows = {r["id"]: r for r in read_csv(spark, str(p), schema).collect()}
+    assert rows[1]["age"] == 29.0 and rows[1]["_corrupt_record"] == []
+    assert rows[2]["age"] is None and rows[2]["_corrupt_record"] == []
+    assert rows[3]["age"] is None and rows[3]["sex"] is None
+    assert rows[4]["age"] is None and rows[4]["_corrupt_record"] == ["age"]
+    assert rows[5]["age"] is None and rows[5]["sex"] is None
