@@ -255,7 +255,7 @@ def missing_corr(df: DataFrame, cols: list[str]) -> DataFrame:
                      F.col(f"m_{b}").alias("nb"), F.col(f"m_{a}__{b}").alias("nab")) for a, b in pairs]
     long = wide.select("n", F.explode(F.array(*rows)).alias("p")).select("n", "p.*")
     n, na, nb, nab = (F.col(c).cast("double") for c in ("n", "na", "nb", "nab"))
-    return long.select("a", "b", ((n * nab - na * nb) / F.sqrt(na * (n - na) * nb * (n - nb))).alias("r"))
+    return long.select("a", "b", F.try_divide(n * nab - na * nb, F.sqrt(na * (n - na) * nb * (n - nb))).alias("r"))
 
 
 def missing_by_group(df: DataFrame, cols: list[str], group: str) -> DataFrame:

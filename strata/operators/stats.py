@@ -37,8 +37,9 @@ def chi_square_cells(cells: DataFrame, group: str, row: str, col: str, n: str =
         F.first("_n").alias("n"), F.min("_e").alias("min_expected"),
         F.bool_or(F.col("_e") < 5).alias("expected_lt5"),
         F.first(F.least("_nrows", "_ncols")).alias("_k"))
+    # a feature with one level has no association measure (NULL, not an error)
     return out.withColumn(
-        "cramers_v", F.sqrt(F.col("chi2") / F.col("n") / (F.col("_k") - 1))).drop("_k")
+        "cramers_v", F.sqrt(F.try_divide(F.col("chi2") / F.col("n"), (F.col("_k") - 1).cast("double")))).drop("_k")
 
 
 def chi_square(df: DataFrame, features: list[str], label: str, with_p: bool = False) -> DataFrame:
@@ -58,7 +59,8 @@ def point_biserial(df: DataFrame, features: list[str], label: str, with_p: bool
         F.col("value").isNotNull() & F.col(label).isNotNull())
     agg = long.groupBy(F.col("column").alias("feature")).agg(
         F.corr(F.col(label).cast("double"), "value").alias("r"), F.count(F.lit(1)).alias("n"))
-    out = agg.withColumn("t", F.col("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") * F.col("r"))))
+    out = agg.withColumn("t", F.col("r") * F.sqrt(F.try_divide((F.col("n") - 2).cast("double"),
+                                                              1 - F.col("r") * F.col("r"))))
     if with_p:
         out = out.withColumn("p_value", t_sf2_udf(F.col("t"), (F.col("n") - 2).cast("double")))
     return out
@@ -130,7 +132,8 @@ def levene(df: DataFrame, group: str, value: str, with_p: bool = False) -> DataF
                  F.countDistinct(group).alias("k"))
     ssb = per.crossJoin(tot).groupBy("N", "k", "ssw").agg(
         F.sum(F.col("n_j") * (F.col("zbar_j") - F.col("zbar")) ** 2).alias("ssb"))
-    out = ssb.select(((F.col("N") - F.col("k")) / (F.col("k") - 1) * F.col("ssb") / F.col("ssw")).alias("w"),
+    out = ssb.select(F.try_divide((F.col("N") - F.col("k")) * F.col("ssb"),
+                                  (F.col("k") - 1) * F.col("ssw")).alias("w"),
                      (F.col("k") - 1).alias("df1"), (F.col("N") - F.col("k")).alias("df2"))
     if with_p:
         out = out.withColumn("p_value", f_sf_udf("w", F.col("df1").cast("double"), F.col("df2").cast("double")))
@@ -154,9 +157,9 @@ def t_test(df: DataFrame, group: str, value: str, a, b, with_p: bool = False) ->
     se_w = F.sqrt(va / na + vb / nb)
     sp2 = ((na - 1) * va + (nb - 1) * vb) / (na + nb - 2)
     out = m.select(
-        (diff / se_w).alias("t_welch"),
+        F.try_divide(diff, se_w).alias("t_welch"),
         ((va / na + vb / nb) ** 2 / ((va / na) ** 2 / (na - 1) + (vb / nb) ** 2 / (nb - 1))).alias("df_welch"),
-        (diff / F.sqrt(sp2 * (1 / na + 1 / nb))).alias("t_pooled"),
+        F.try_divide(diff, F.sqrt(sp2 * (1 / na + 1 / nb))).alias("t_pooled"),
         (na + nb - 2).alias("df_pooled"))
     if with_p:
         out = (out.withColumn("p_welch", t_sf2_udf("t_welch", "df_welch"))
@@ -181,7 +184,7 @@ def cohens_d(df: DataFrame, group: str, value: str, a, b) -> DataFrame:
     m = two_group_moments(df, group, value, a, b)
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     sp = F.sqrt(((na - 1) * F.col("var_a") + (nb - 1) * F.col("var_b")) / (na + nb - 2))
-    return m.select(((F.col("mean_a") - F.col("mean_b")) / sp).alias("cohens_d"))
+    return m.select(F.try_divide(F.col("mean_a") - F.col("mean_b"), sp).alias("cohens_d"))
 
 
 def anova(df: DataFrame, group: str, value: str, with_p: bool = False) -> DataFrame:
@@ -194,7 +197,7 @@ def anova(df: DataFrame, group: str, value: str, with_p: bool = False) -> DataFr
                  F.sum(F.col("s") * F.col("s") / F.col("n")).alias("between_raw"))
     ssb = F.col("between_raw") - F.col("S") * F.col("S") / F.col("N")
     ssw = F.col("SS") - F.col("between_raw")
-    out = tot.select(((ssb / (F.col("k") - 1)) / (ssw / (F.col("N") - F.col("k")))).alias("f"),
+    out = tot.select(F.try_divide(ssb / (F.col("k") - 1), ssw / (F.col("N") - F.col("k"))).alias("f"),
                      (F.col("k") - 1).alias("df1"), (F.col("N") - F.col("k")).alias("df2"))
     if with_p:
         out = out.withColumn("p_value", f_sf_udf("f", F.col("df1").cast("double"), F.col("df2").cast("double")))

@@ -78,3 +78,11 @@ def test_bootstrap_interval_contains_point(spark):
     pt = {r["metric"]: r["value"] for r in E.long_metrics(df, "label", {"a": "score"}).collect()}
     for m in ("accuracy", "precision", "recall", "f1"):
         assert ci[("a", m)]["lower"] <= pt[m] <= ci[("a", m)]["upper"]
+
+
+def test_degenerate_inputs_give_null_not_errors(spark):
+    df = cohort(spark, SF001).withColumn("const", F.lit("x")).withColumn("flat", F.lit(1.0))
+    chi = {r["feature"]: r for r in ST.chi_square(df, ["const", "sex"], "label").collect()}
+    assert chi["const"]["cramers_v"] is None and chi["sex"]["cramers_v"] is not None
+    assert ST.levene(df, "label", "flat").first()["w"] is None
+    assert ST.cohens_d(df, "label", "flat", 1, 0).first()["cohens_d"] is None
