@@ -61,8 +61,8 @@ def average_precision(df: DataFrame, label: str, score: str, group_cols: list[st
     (recall gain) x (precision at that score)."""
     g = list(group_cols or [])
     cum = _desc_cum(df, label, score, g)
-    prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
-    return cum.groupBy(*g).agg(F.sum(F.col("pos") / F.col("tot_pos") * prec).alias("average_precision"))
+    prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))  # >= 1 row at every score
+    return cum.groupBy(*g).agg(F.sum(F.try_divide(F.col("pos"), F.col("tot_pos")) * prec).alias("average_precision"))
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -70,8 +70,8 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     plus the start point (inf, 0, 0)."""
     cum = _desc_cum(df, label, score)
     pts = cum.select(F.col(score).cast("double").alias("threshold"),
-                     (F.col("cum_neg") / F.col("tot_neg")).alias("fpr"),
-                     (F.col("cum_pos") / F.col("tot_pos")).alias("tpr"))
+                     F.try_divide(F.col("cum_neg"), F.col("tot_neg")).alias("fpr"),
+                     F.try_divide(F.col("cum_pos"), F.col("tot_pos")).alias("tpr"))
     start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
     return start.unionByName(pts)
 
@@ -82,7 +82,7 @@ def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     cum = _desc_cum(df, label, score)
     pts = cum.select(F.col(score).cast("double").alias("threshold"),
                      (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
-                     (F.col("cum_pos") / F.col("tot_pos")).alias("recall"),
+                     F.try_divide(F.col("cum_pos"), F.col("tot_pos")).alias("recall"),
                      (F.col("tot_pos") / (F.col("tot_pos") + F.col("tot_neg"))).alias("base_rate"))
     end = pts.groupBy().agg(F.first("base_rate").alias("base_rate")).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),

@@ -60,7 +60,7 @@ def missing_profile(df: DataFrame) -> DataFrame:
     type_map = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(types[c]))])
     return long.select(
         "column", type_map[F.col("column")].alias("dtype"), "missing_count",
-        (F.lit(100.0) * F.col("missing_count") / F.col("_n")).alias("missing_pct"))
+        F.try_divide(F.lit(100.0) * F.col("missing_count"), F.col("_n")).alias("missing_pct"))
 
 
 def completeness(df: DataFrame) -> DataFrame:
@@ -121,9 +121,10 @@ def rate_by_factor(df: DataFrame, factors: list[str], label: str) -> DataFrame:
     agg = long.groupBy("factor", "level").agg(
         F.count(F.lit(1)).alias("n"), F.count(y).alias("_n_lab"), F.sum(y).alias("_s"))
     w = Window.partitionBy("factor")  # aggregated table: one row per level
-    return (agg.withColumn("overall_rate", F.sum("_s").over(w) / F.sum("_n_lab").over(w))
+    return (agg.withColumn("overall_rate", F.try_divide(F.sum("_s").over(w), F.sum("_n_lab").over(w)))
             .where(F.col("level").isNotNull())
-            .select("factor", "level", "n", (F.col("_s") / F.col("_n_lab")).alias("rate"), "overall_rate"))
+            .select("factor", "level", "n", F.try_divide(F.col("_s"), F.col("_n_lab")).alias("rate"),
+                    "overall_rate"))
 
 
 # A7 / F14 ---------------------------------------------------------------------------------

@@ -233,7 +233,7 @@ def mann_whitney(df: DataFrame, group: str, value: str, a, b, with_p: bool = Fal
     mu = na * nb / 2
     sigma = F.sqrt(na * nb / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
     u_max = F.greatest(u, na * nb - u)
-    out = agg.select(u.alias("u"), ((u_max - mu - 0.5) / sigma).alias("z"))
+    out = agg.select(u.alias("u"), F.try_divide(u_max - mu - 0.5, sigma).alias("z"))
     if with_p:
         out = out.withColumn("p_value", F.least(F.lit(1.0), norm_sf2_udf("z")))
     return out
