@@ -99,7 +99,24 @@ def q_cv_scores(spark, sf):
                                  "fold int, f1 double, cv_f1_mean double, cv_f1_std double")
 
 
-LOGREG_SPACE = [{"C": c, "l1": l1} for c in (0.01, 0.1, 1.0, 10.0, 100.0, 1000.0) for l1 in (False, True)]
+# The search spaces of the two tuned models.
+LOGREG_SPACE = [{"C": c, "l1": l1} for c in (0.001, 0.01, 0.1, 1.0, 10.0, 100.0) for l1 in (False, True)]
+RF_SPACE = [{"num_trees": t, "max_depth": d, "min_instances": m}
+            for t in (100, 200, 300, 400) for d in (4, 6, 8, 10, None) for m in (1, 2, 4)
+            for _split in (2, 5, 10)]  # min_samples_split has no MLlib counterpart: draws repeat
+
+
+def rf_search_est(n_w, num_trees=300, max_depth=None, min_instances=1):
+    return M.forest(num_trees=num_trees, max_depth=30 if max_depth is None else max_depth,
+                    min_instances=min_instances)
+
+
+def q_tune_rf(spark, sf):
+    """M6 + M8: 20 seeded draws of the forest space, 5-fold CV F1 each
+    (not registered: 100 forest fits)."""
+    train, _ = model_frame(spark, sf)
+    search = M.random_search(train, RF_SPACE, rf_search_est, n_draws=20)
+    return search.crossJoin(M.select_best(search))
 
 
 def q_tune_logreg(spark, sf):
