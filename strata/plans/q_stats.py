@@ -242,3 +242,30 @@ FROM mi GROUP BY feature
 def q_mutual_information(spark, sf):
     df = cohort(spark, sf)
     return ST.mutual_information(df, ["sex", "pclass", "embarked"], ["fare"], "label")
+
+
+DL = oracle_with("doc_labels")
+
+
+@register("doc_quality_rates", DL + """,
+long AS (SELECT 'lang' AS factor, lang AS level, quality FROM doc_labels
+         UNION ALL SELECT 'source', source, quality FROM doc_labels)
+SELECT factor, level, count(*) AS n, avg(CAST(quality AS DOUBLE)) AS rate,
+       (SELECT avg(CAST(quality AS DOUBLE)) FROM doc_labels) AS overall_rate
+FROM long WHERE level IS NOT NULL GROUP BY factor, level
+""")
+def q_doc_quality_rates(spark, sf):
+    """A6 on the second real table: document quality rate by language and source."""
+    from strata.operators.profile import rate_by_factor
+    return rate_by_factor(doc_labels(spark, sf), ["lang", "source"], "quality")
+
+
+@register("doc_length_toxicity", DL + """
+SELECT 'n_chars' AS feature, corr(CAST(toxic AS DOUBLE), CAST(n_chars AS DOUBLE)) AS r, count(*) AS n,
+       corr(CAST(toxic AS DOUBLE), CAST(n_chars AS DOUBLE))
+         * sqrt((count(*) - 2) / (1 - power(corr(CAST(toxic AS DOUBLE), CAST(n_chars AS DOUBLE)), 2))) AS t
+FROM doc_labels WHERE n_chars IS NOT NULL AND toxic IS NOT NULL
+""")
+def q_doc_length_toxicity(spark, sf):
+    """T4 on the second real table: point-biserial r of document length with toxicity."""
+    return ST.point_biserial(doc_labels(spark, sf), ["n_chars"], "toxic")
