@@ -260,8 +260,12 @@ def spearman_matrix(df: DataFrame, cols: list[str], key: str) -> DataFrame:
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    ra = midranks(long, "va", ["pair"]).select("pair", "va", F.col("midrank").alias("ra"))
-    rb = midranks(long, "vb", ["pair"]).select("pair", "vb", F.col("midrank").alias("rb"))
+    # both sides of every pair ranked in one distributed pass, grouped by (pair, side)
+    sides = (long.select("pair", F.lit("a").alias("side"), F.col("va").alias("v"))
+             .unionByName(long.select("pair", F.lit("b").alias("side"), F.col("vb").alias("v"))))
+    mr = midranks(sides, "v", ["pair", "side"])
+    ra = mr.where(F.col("side") == "a").select("pair", F.col("v").alias("va"), F.col("midrank").alias("ra"))
+    rb = mr.where(F.col("side") == "b").select("pair", F.col("v").alias("vb"), F.col("midrank").alias("rb"))
     ranked = long.join(ra, ["pair", "va"]).join(rb, ["pair", "vb"])
     out = ranked.groupBy("pair").agg(F.corr("ra", "rb").alias("rho"))
     return out.select(F.split("pair", r"\|")[0].alias("a"), F.split("pair", r"\|")[1].alias("b"), "rho")
