@@ -53,7 +53,12 @@ def stratified_split(df: DataFrame, key: str, strata_col: str, test_fraction: fl
     counts per (stratum, hash >> 12) locate the boundary bucket (about
     n_s / 2^20 rows), and only that bucket is ranked.
     """
-    h = df.withColumn("_h", key_hash(key, seed)).withColumn("_hi", F.shiftright("_h", LOW_BITS))
+    from strata.functions.ranks import materialize
+
+    # (stratum, key, hash) written once: the counting passes below read this
+    # narrow table instead of re-running the upstream plan (joins, scans)
+    h = materialize(df.select(strata_col, key).withColumn("_h", key_hash(key, seed))
+                    .withColumn("_hi", F.shiftright("_h", LOW_BITS)))
     c1 = h.groupBy(strata_col, "_hi").agg(F.count(F.lit(1)).alias("c"))
     quotas = _quotas_from_sizes(c1.groupBy(strata_col).agg(F.sum("c").alias("n_s")),
                                 strata_col, test_fraction)
@@ -71,9 +76,10 @@ def stratified_split(df: DataFrame, key: str, strata_col: str, test_fraction: fl
            .select(strata_col, F.col("_h").alias("_h_star"), F.col(key).alias("_k_star")))
     is_test = (F.col("_h") < F.col("_h_star")) | (
         (F.col("_h") == F.col("_h_star")) & (F.col(key) <= F.col("_k_star")))
-    return (h.join(F.broadcast(cut), strata_col, "left")  # one row per stratum
+    return (df.withColumn("_h", key_hash(key, seed))
+            .join(F.broadcast(cut), strata_col, "left")  # one row per stratum
             .withColumn(out_col, F.when(F.coalesce(is_test, F.lit(False)), "test").otherwise("train"))
-            .drop("_h", "_hi", "_h_star", "_k_star"))
+            .drop("_h", "_h_star", "_k_star"))
 
 
 def hash_rank(df: DataFrame, key: str, strata_col: str | None = None, seed: int = 42,
