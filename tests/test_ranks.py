@@ -72,3 +72,23 @@ def test_bucketed_path_equals_single_bucket(spark, monkeypatch):
                  cohort(spark, SF001), "name", "name_code").collect()}
     names = sorted(codes)
     assert [codes[n] for n in names] == list(range(len(names)))
+
+
+def test_cumulative_random_ties_any_partitioning(spark, monkeypatch):
+    """Running counts per group equal numpy's, for any partition count and
+    on the bucketed path (forced)."""
+    rng = np.random.default_rng(7)
+    vals = rng.integers(0, 50, size=600).astype(float)
+    grp = rng.integers(0, 3, size=600)
+    df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, v double")
+    counts = R.label_counts(df, "v", None, ["g"])
+    want = {}
+    for g in range(3):
+        u, c = np.unique(vals[grp == g], return_counts=True)
+        want.update({(g, float(x)): int(s) for x, s in zip(u, np.cumsum(c))})
+    monkeypatch.setattr(R, "SMALL_DISTINCT", 0)
+    for parts in (1, 5):
+        got = R.cumulative(counts.repartition(parts), "v", ["cnt"], ["g"], cuts=[10.0, 25.0, 40.0])
+        assert {(r["g"], r["v"]): r["cum_cnt"] for r in got.collect()} == want
+    got = R.cumulative(counts, "v", ["cnt"], ["g"])  # cut points from percentile_approx
+    assert {(r["g"], r["v"]): r["cum_cnt"] for r in got.collect()} == want
