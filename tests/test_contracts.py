@@ -55,3 +55,11 @@ def test_csv_scan_missing_tokens_and_bad_numbers(spark, tmp_path):
     assert rows[3]["age"] is None and rows[3]["sex"] is None
     assert rows[4]["age"] is None and rows[4]["_corrupt_record"] == ["age"]
     assert rows[5]["age"] is None and rows[5]["sex"] is None
+
+
+def test_stream_quarantine_holds_rejected_rows(spark):
+    from __spark_entry__ import queries
+
+    rows = {r["violations"]: r["n"] for r in queries()["stream_quarantine"](spark, SF001).collect()}
+    n_null_age = cohort(spark, SF001).where(F.col("age").isNull()).count()
+    assert rows == {"age: required": n_null_age}
