@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import packing, quality, rules, secrets, simhash
-from strata.llm.common import table
+from strata.llm import bpe, lm, packing, pii, quality, rollups, rules, secrets, simhash, vectors
+from strata.llm.common import table, written
+from strata.session import shared_dir
 
-BPE_JSON = "byte_bpe_50k.json"
+BPE_JSON, BPE_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+SURROGATE_KEY = b"surrogate-key-1"  # a deployment passes its own
 
 
 def vocabulary(name: str) -> str:
@@ -18,6 +22,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(table(spark, sf_dir, "documents"))
 
@@ -26,6 +34,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(BPE_JSON))
 
 
+def op4_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary(BPE_RANKS), public_tokenizers.PATTERN)
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,12 +48,35 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after all documents came in two batches, one was replayed, and a tenth were taken out and revised back in."""
+    rows = written(rollups.counted(table(spark, sf_dir, "documents"), {"byte_bpe_50k": vocabulary(BPE_JSON)}), "counted")
+    store = rollups.Rollup(spark, shared_dir(spark, f"llm/rollup-{uuid.uuid4().hex}"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    for batch, own in (("load-0", 0), ("load-1", 1), ("load-1", 1)):  # the third is a replay and adds nothing
+        store.commit(batch, rollups.signed(rows.filter(half == own), 1))
+    tenth = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0)
+    store.commit("delete-0", rollups.signed(tenth, -1))
+    store.commit("insert-0", rollups.signed(tenth.withColumn("n_tokens", F.lit(0)), 1))
+    store.commit("revise-0", rollups.revised(tenth.withColumn("n_tokens", F.lit(0)), tenth))
+    return store.totals()
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_quality_rules, op3_best_fit_packing, op5_simhash_near_dedup, op6_secret_scan, op10_quality_classifier)}
+        op1_pii_surrogates, op2_quality_rules, op3_best_fit_packing, op4_bpe_transducer, op5_simhash_near_dedup,
+        op6_secret_scan, op7_embedding_near_dedup, op8_token_rollups, op9_lm_scoring, op10_quality_classifier)}
 
-ORACLE: dict[str, str] = {"op2_quality_rules": rules.ORACLE}
+ORACLE: dict[str, str] = {"op2_quality_rules": rules.ORACLE, "op7_embedding_near_dedup": vectors.ORACLE}
