@@ -81,6 +81,8 @@ def literals(text: bytes) -> list[tuple[int, int]]:
         spans, refs = [], []
         for part in _PART.finditer(text, *m.span("value")):
             v = part.group()
+            if v == b"+":  # joins its neighbours
+                continue
             if v[:1] in b"\"'`" and len(v) > 1:
                 inner = v[1:-1]
                 if inner[:1] == b"$" and (r := _REF_NAME.search(inner)):
