@@ -201,8 +201,8 @@ def rank_sum_auc(df: DataFrame, label_col: str, score_col: str,
     cum = cumulative(counts, score_col, ["neg"], group_cols)
     return (cum.groupBy(*group_cols)
             .agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
-                 F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") * 0.5)).alias("u"))
-            .withColumn("auc", F.try_divide(F.col("u"), F.col("n_pos") * F.col("n_neg"))))
+                 F.sum(F.col("pos").cast("double") * (F.col("cum_neg") - F.col("neg") * 0.5)).alias("u"))
+            .withColumn("auc", F.try_divide(F.col("u"), F.col("n_pos").cast("double") * F.col("n_neg"))))
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],

@@ -131,11 +131,18 @@ def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     return per.unionByName(avg.select("m.*")).unionByName(avg.select("w.*"))
 
 
+def _with_score(df: DataFrame, score: str) -> DataFrame:
+    """Rows that were scored: a NULL or NaN score is neither above nor below any threshold."""
+    s = F.col(score).cast("double")
+    return df.where(s.isNotNull() & ~F.isnan(s))
+
+
 # E9 ---------------------------------------------------------------------------------------
 def calibration(df: DataFrame, label: str, score: str, n_bins: int = 8) -> DataFrame:
     """Quantile bins; a score equal to an inner edge goes to the lower bin;
     empty bins are absent. Returns bin, n, mean_score, observed_rate."""
     probs = [i / n_bins for i in range(1, n_bins)]
+    df = _with_score(df, score)
     edges = exact_quantiles(df.select(score), score, probs).agg(
         F.array_sort(F.collect_list("value")).alias("_edges"))  # n_bins - 1 values
     b = F.size(F.filter("_edges", lambda e: e < F.col(score)))
@@ -150,6 +157,7 @@ def threshold_sweep(df: DataFrame, label: str, score: str, lo: int = 5, hi: int
     """Precision / recall / F1 at thresholds k / per for k in [lo, hi]
     (prediction = score >= threshold)."""
     spark = df.sparkSession
+    df = _with_score(df, score)
     ks = list(range(lo, hi + 1))
     cuts = [k / per for k in ks]
     # bucket = number of thresholds <= score: the row is positive at

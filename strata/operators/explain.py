@@ -64,35 +64,36 @@ def _long(matrix: DataFrame, model: LinearModel, key: str) -> DataFrame:
 # X3 / X4 ----------------------------------------------------------------------------------
 def row_contributions(matrix: DataFrame, model: LinearModel, key: str) -> DataFrame:
     """contribution = coef x value per (row, feature); log-odds and p per row;
-    rank by absolute contribution within the row (ties by feature)."""
-    spark = matrix.sparkSession
-    coefs = F.broadcast(model.coef_table(spark))  # one row per model feature
-    c = _long(matrix, model, key).join(coefs, "feature").withColumn("contribution", F.col("value") * F.col("coef"))
-    w = Window.partitionBy(key)  # one row per feature of one row: small partitions
-    lo = F.lit(model.intercept) + F.sum("contribution").over(w)
-    order = Window.partitionBy(key).orderBy(F.abs("contribution").desc(), F.col("feature"))
-    return c.select(key, "feature", "value", "contribution", lo.alias("log_odds"),
-                    (1 / (1 + F.exp(-lo))).alias("probability"), F.row_number().over(order).alias("rank"))
+    rank by absolute contribution within the row (ties by feature). Everything
+    stays within the row: the terms are one sorted array, then exploded."""
+    terms = _terms(model, lambda f: F.col(f).cast("double") * F.lit(float(model.coefs[f])))
+    lo = F.lit(model.intercept) + F.aggregate("t", F.lit(0.0), lambda a, x: a + F.coalesce(x["term"], F.lit(0.0)))
+    rows = matrix.select(key, F.sort_array(terms).alias("t")).select(key, "t", lo.alias("log_odds"))
+    return rows.select(key, "log_odds", F.posexplode("t").alias("pos", "x")).select(
+        key, "x.feature", "x.value", F.col("x.term").alias("contribution"), "log_odds",
+        (1 / (1 + F.exp(-F.col("log_odds")))).alias("probability"), (F.col("pos") + 1).alias("rank"))
+
+
+def _terms(model: LinearModel, term) -> Column:
+    """Array of (order, feature, value, term) of a row; sorting puts the largest |term| first, ties by feature."""
+    return F.array(*[F.struct(F.coalesce(-F.abs(term(f)), F.lit(float("inf"))).alias("order"), F.lit(f).alias("feature"),
+                              F.col(f).cast("double").alias("value"), term(f).alias("term")) for f in model.features])
 
 
 def contribution_strength(matrix: DataFrame, model: LinearModel, key: str, eps: float = 1e-9) -> DataFrame:
     """Active features (|value| > eps), share of the absolute total (%),
-    Strong / Moderate / Weak by rank thirds, sign."""
-    spark = matrix.sparkSession
-    coefs = F.broadcast(model.coef_table(spark))
-    c = (_long(matrix, model, key).where(F.abs("value") > eps).join(coefs, "feature")
-         .withColumn("contribution", F.col("value") * F.col("coef")))
-    w = Window.partitionBy(key)
-    order = Window.partitionBy(key).orderBy(F.abs("contribution").desc(), F.col("feature"))
-    r = F.row_number().over(order) - 1
-    n = F.count(F.lit(1)).over(w)
-    tot = F.sum(F.abs("contribution")).over(w)
-    return c.select(
-        key, "feature", "contribution",
-        F.when(tot > 0, F.abs("contribution") / tot * 100).otherwise(F.lit(0.0)).alias("relative_pct"),
+    Strong / Moderate / Weak by rank thirds, sign. Computed within the row."""
+    terms = _terms(model, lambda f: F.col(f).cast("double") * F.lit(float(model.coefs[f])))
+    active = F.filter(F.sort_array(terms), lambda x: F.abs(x["value"]) > eps)
+    rows = matrix.select(key, active.alias("t")).select(
+        key, F.size("t").alias("n"), F.aggregate("t", F.lit(0.0), lambda a, x: a + F.abs(x["term"])).alias("tot"),
+        F.posexplode("t").alias("r", "x"))
+    r, n, tot, c = F.col("r"), F.col("n"), F.col("tot"), F.col("x.term")
+    return rows.select(
+        key, "x.feature", c.alias("contribution"),
+        F.when(tot > 0, F.abs(c) / tot * 100).otherwise(F.lit(0.0)).alias("relative_pct"),
         F.when(r < n / 3.0, "Strong").when(r < 2 * n / 3.0, "Moderate").otherwise("Weak").alias("strength"),
-        F.when(F.col("contribution") > 0, "positive").when(F.col("contribution") < 0, "negative")
-        .otherwise("zero").alias("direction"))
+        F.when(c > 0, "positive").when(c < 0, "negative").otherwise("zero").alias("direction"))
 
 
 # X5 ---------------------------------------------------------------------------------------

@@ -30,8 +30,9 @@ def _quotas_from_sizes(sizes: DataFrame, strata_col: str, fraction: float) -> Da
     num, den = int(round(fraction * 1_000_000)), 1_000_000
     t = F.ceil(F.col("n") * F.lit(num) / F.lit(den)).cast("long")  # exact for decimal fractions
     q = (sizes.crossJoin(total).withColumn("t_total", t)
-         .withColumn("base", F.floor(F.col("t_total") * F.col("n_s") / F.col("n")).cast("long"))
-         .withColumn("rem", (F.col("t_total") * F.col("n_s")) % F.col("n")))
+         .withColumn("prod", F.col("t_total").cast("decimal(19,0)") * F.col("n_s").cast("decimal(19,0)"))
+         .withColumn("base", F.expr("prod div n"))  # the product passes 2^63 at about 1e10 rows
+         .withColumn("rem", F.col("prod") % F.col("n").cast("decimal(19,0)")))
     w = Window.orderBy(F.col("rem").desc(), F.col(strata_col).asc())  # strata table: few rows
     left = F.col("t_total") - F.sum("base").over(Window.partitionBy(F.lit(0)))
     return (q.withColumn("_r", F.row_number().over(w))
@@ -50,8 +51,8 @@ def stratified_split(df: DataFrame, key: str, strata_col: str, test_fraction: fl
 
     Test rows of a stratum are its ``quota`` smallest ``(hash, key)``. The
     cut is found by counting, never by sorting a stratum in one task:
-    counts per (stratum, hash >> 12) locate the boundary bucket (about
-    n_s / 2^20 rows), and only that bucket is ranked.
+    counts per (stratum, hash >> 16) locate the boundary bucket (about
+    n_s / 2^16 rows), and only that bucket is ranked.
     """
     from strata.functions.ranks import materialize
 

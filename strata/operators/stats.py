@@ -8,7 +8,7 @@ Arrow UDFs of ``functions.special``.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.ranks import exact_quantiles, midranks
@@ -51,6 +51,14 @@ def chi_square(df: DataFrame, features: list[str], label: str, with_p: bool = Fa
     return out
 
 
+def safe_corr(a: Column, b: Column) -> Column:
+    """Pearson r over the rows where both are present; NULL if one of them is constant there."""
+    both = a.isNotNull() & b.isNotNull()
+    sd = F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b))
+    r = F.try_divide(F.covar_pop(a, b), sd)
+    return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+
+
 # T4 ---------------------------------------------------------------------------------------
 def point_biserial(df: DataFrame, features: list[str], label: str, with_p: bool = False) -> DataFrame:
     """Pearson r of each numeric with a 0/1 label (pairwise non-null), t
@@ -58,7 +66,7 @@ def point_biserial(df: DataFrame, features: list[str], label: str, with_p: bool
     long = _long_numeric(df, features, [label]).where(
         F.col("value").isNotNull() & F.col(label).isNotNull())
     agg = long.groupBy(F.col("column").alias("feature")).agg(
-        F.corr(F.col(label).cast("double"), "value").alias("r"), F.count(F.lit(1)).alias("n"))
+        safe_corr(F.col(label).cast("double"), F.col("value")).alias("r"), F.count(F.lit(1)).alias("n"))
     out = agg.withColumn("t", F.col("r") * F.sqrt(F.try_divide((F.col("n") - 2).cast("double"),
                                                               1 - F.col("r") * F.col("r"))))
     if with_p:
@@ -188,15 +196,17 @@ def cohens_d(df: DataFrame, group: str, value: str, a, b) -> DataFrame:
 
 
 def anova(df: DataFrame, group: str, value: str, with_p: bool = False) -> DataFrame:
-    """One-way ANOVA F over all groups (sums per group, then totals)."""
-    st = df.where(F.col(value).isNotNull() & F.col(group).isNotNull()).groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("double")).alias("s"),
-        F.sum(F.col(value).cast("double") ** 2).alias("ss"))
-    tot = st.agg(F.sum("n").alias("N"), F.sum("s").alias("S"), F.sum("ss").alias("SS"),
-                 F.count(F.lit(1)).alias("k"),
-                 F.sum(F.col("s") * F.col("s") / F.col("n")).alias("between_raw"))
-    ssb = F.col("between_raw") - F.col("S") * F.col("S") / F.col("N")
-    ssw = F.col("SS") - F.col("between_raw")
+    """One-way ANOVA F over all groups. Values are taken relative to the
+    overall mean, so a large common offset costs no digits."""
+    rows = df.where(F.col(value).isNotNull() & F.col(group).isNotNull()).select(
+        F.col(group).alias("g"), F.col(value).cast("double").alias("x"))
+    mean = rows.agg(F.avg("x").alias("m"))  # one row
+    st = rows.crossJoin(F.broadcast(mean)).groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.col("x") - F.col("m")).alias("d"), F.var_pop("x").alias("v"))
+    n = F.col("n").cast("double")
+    tot = st.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"), F.sum(n * F.col("d") * F.col("d")).alias("ssb"),
+                 F.sum(n * F.col("v")).alias("ssw"))
+    ssb, ssw = F.col("ssb"), F.col("ssw")
     out = tot.select(F.try_divide(ssb / (F.col("k") - 1), ssw / (F.col("N") - F.col("k"))).alias("f"),
                      (F.col("k") - 1).alias("df1"), (F.col("N") - F.col("k")).alias("df2"))
     if with_p:
@@ -244,7 +254,7 @@ def pearson_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pairwise-deletion Pearson r for every pair a < b, one aggregation."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     dd = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    wide = dd.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    wide = dd.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in pairs])
     long = wide.unpivot([], [f"`{a}|{b}`" for a, b in pairs], "pair", "r")
     return long.select(F.split("pair", r"\|")[0].alias("a"), F.split("pair", r"\|")[1].alias("b"), "r")
 
@@ -267,33 +277,34 @@ def spearman_matrix(df: DataFrame, cols: list[str], key: str) -> DataFrame:
     ra = mr.where(F.col("side") == "a").select("pair", F.col("v").alias("va"), F.col("midrank").alias("ra"))
     rb = mr.where(F.col("side") == "b").select("pair", F.col("v").alias("vb"), F.col("midrank").alias("rb"))
     ranked = long.join(ra, ["pair", "va"]).join(rb, ["pair", "vb"])
-    out = ranked.groupBy("pair").agg(F.corr("ra", "rb").alias("rho"))
+    out = ranked.groupBy("pair").agg(safe_corr(F.col("ra"), F.col("rb")).alias("rho"))
     return out.select(F.split("pair", r"\|")[0].alias("a"), F.split("pair", r"\|")[1].alias("b"), "rho")
 
 
 # T17 --------------------------------------------------------------------------------------
 def vif(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Variance inflation factors: diagonal of the inverse correlation
-    matrix of the complete cases. The p x p matrix is one aggregation; the
-    inverse is taken on the driver (p is the number of regressors).
-    1 - R^2 below 1e-10 gives infinity."""
+    """Variance inflation factors 1 / (1 - R^2) of each column regressed on
+    the others, over the complete cases. The p x p correlation matrix is one
+    aggregation; each regression is solved on the driver by least squares that
+    allow for collinear regressors (p is the number of columns). 1 - R^2 below 1e-10 gives
+    infinity for the columns concerned only; a constant column has no factor
+    (NULL) and does not enter the others."""
     spark = df.sparkSession
     cc = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = cc.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs]).first()
-    p = len(cols)
-    m = np.eye(p)
-    for (a, b) in pairs:
-        i, j = cols.index(a), cols.index(b)
-        m[i, j] = m[j, i] = row[f"{a}|{b}"]
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    row = cc.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in pairs]).first()
+    varies = [c for c in cols if row[f"{c}|{c}"] is not None]
+    m = np.array([[row[f"{a}|{b}"] if (a, b) in pairs else row[f"{b}|{a}"] for b in varies] for a in varies])
     rows = []
-    try:
-        inv = np.linalg.inv(m)
-        for i, c in enumerate(cols):
-            one_minus_r2 = 1.0 / inv[i, i]
-            rows.append((c, float("inf") if one_minus_r2 < 1e-10 else float(inv[i, i])))
-    except np.linalg.LinAlgError:
-        rows = [(c, float("inf")) for c in cols]
+    for c in cols:
+        if c not in varies:
+            rows.append((c, None))
+            continue
+        i = varies.index(c)
+        rest = [j for j in range(len(varies)) if j != i]
+        r = m[rest, i]
+        left = 1.0 - float(r @ np.linalg.pinv(m[np.ix_(rest, rest)], rcond=1e-10, hermitian=True) @ r) if rest else 1.0
+        rows.append((c, float("inf") if left < 1e-10 else 1.0 / left))
     return spark.createDataFrame(rows, "feature string, vif double").withColumn(
         "high", F.col("vif") > 5)
 
@@ -316,7 +327,8 @@ def mutual_information(df: DataFrame, discrete: list[str], continuous: list[str]
     px = cells.groupBy("feature", "level").agg(F.sum("n").alias("_nx"))
     py = cells.groupBy("feature", label).agg(F.sum("n").alias("_ny"))
     j = cells.where(F.col("n") > 0).join(tot, "feature").join(px, ["feature", "level"]).join(py, ["feature", label])
-    term = F.col("n") / F.col("_n") * F.log(F.col("n") * F.col("_n") / (F.col("_nx") * F.col("_ny")))
+    n, n_x, n_y = (F.col(c).cast("double") for c in ("_n", "_nx", "_ny"))  # products pass 2^63
+    term = F.col("n") / n * F.log(F.col("n") * n / (n_x * n_y))
     return j.groupBy("feature").agg(F.sum(term).alias("mi"))
 
 

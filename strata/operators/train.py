@@ -50,7 +50,7 @@ def feature_stages(schema: FeatureSchema) -> list:
                                     stringOrderType="alphabetAsc"))
     stages.append(OneHotEncoder(inputCols=[f"_i_{c}" for c in schema.categorical],
                                 outputCols=[f"_o_{c}" for c in schema.categorical], dropLast=True,
-                                handleInvalid="keep"))
+                                handleInvalid="error"))  # the last is the unknown category: all zeros
     stages.append(VectorAssembler(inputCols=["_num_scaled", *[f"_o_{c}" for c in schema.categorical],
                                              *[f"_p_{c}" for c in schema.passthrough]],
                                   outputCol="features", handleInvalid="keep"))
@@ -115,9 +115,11 @@ def with_probability(pred: DataFrame) -> DataFrame:
 
 
 # M5 ---------------------------------------------------------------------------------------
-def cv_scores(train: DataFrame, make_estimator, fold_col: str = "fold", k: int = 5) -> dict:
+def cv_scores(train: DataFrame, make_estimator, fold_col: str = "fold", k: int = 5,
+              folds: tuple[int, ...] | None = None) -> dict:
     """Per-fold F1 of the positive class, mean and population std. The whole
-    pipeline (features + model) is refitted on each training part."""
+    pipeline (features + model) is refitted on each training part. ``folds``
+    names the folds to hold out, if not all ``k``."""
     from concurrent.futures import ThreadPoolExecutor
 
     def one(f: int) -> float:
@@ -128,7 +130,7 @@ def cv_scores(train: DataFrame, make_estimator, fold_col: str = "fold", k: int =
 
     # the k fits are independent Spark jobs: submit them concurrently
     with ThreadPoolExecutor(max_workers=k) as pool:
-        scores = list(pool.map(one, range(k)))
+        scores = list(pool.map(one, folds or range(k)))
     mean = sum(scores) / len(scores)
     std = math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores))
     return {"fold_f1": scores, "cv_f1_mean": mean, "cv_f1_std": std}
@@ -136,13 +138,12 @@ def cv_scores(train: DataFrame, make_estimator, fold_col: str = "fold", k: int =
 
 # M9 / M10 / M11 ---------------------------------------------------------------------------
 def evaluate_model(name: str, make_estimator, train: DataFrame, test: DataFrame, n_features: int,
-                   with_cv: bool = True) -> tuple[dict, PipelineModel]:
+                   cv_folds: tuple[int, ...] | None = None) -> tuple[dict, PipelineModel]:
     """CV F1, train F1, test metrics, AUC, train seconds, predict ms / row."""
     from strata.functions.ranks import rank_sum_auc
 
     res = {"model": name, "n_features": n_features}
-    if with_cv:
-        res.update({k: v for k, v in cv_scores(train, make_estimator).items() if k != "fold_f1"})
+    res.update({k: v for k, v in cv_scores(train, make_estimator, folds=cv_folds).items() if k != "fold_f1"})
     n_w = train.agg(F.sum("weight")).first()[0]
     t0 = time.time()
     model = make_pipeline(make_estimator(n_w)).fit(train)

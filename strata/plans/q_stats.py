@@ -155,10 +155,10 @@ def q_cohens_d(spark, sf):
 
 
 @register("anova", C + """,
-g AS (SELECT pclass, count(*) AS n, sum(fare) AS s, sum(fare * fare) AS ss FROM cohort
-      WHERE fare IS NOT NULL GROUP BY pclass),
-t AS (SELECT sum(n) AS nn, sum(s) AS s, sum(ss) AS ss, count(*) AS k, sum(s * s / n) AS br FROM g)
-SELECT ((br - s * s / nn) / (k - 1)) / ((ss - br) / (nn - k)) AS f, k - 1 AS df1, CAST(nn - k AS BIGINT) AS df2 FROM t
+c0 AS (SELECT pclass, fare - (SELECT avg(fare) FROM cohort) AS x FROM cohort WHERE fare IS NOT NULL),
+g AS (SELECT pclass, count(*) AS n, avg(x) AS d, var_pop(x) AS v FROM c0 GROUP BY pclass),
+t AS (SELECT sum(n) AS nn, count(*) AS k, sum(n * d * d) AS ssb, sum(n * v) AS ssw FROM g)
+SELECT (ssb / (k - 1)) / (ssw / (nn - k)) AS f, k - 1 AS df1, CAST(nn - k AS BIGINT) AS df2 FROM t
 """)
 def q_anova(spark, sf):
     return ST.anova(cohort(spark, sf), "pclass", "fare")

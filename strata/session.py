@@ -48,7 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local runs, tests) a scratch folder is created.
+    Only when it is unset on a local master a scratch folder is created; on
+    a cluster a machine-local folder would be lost or unseen, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)

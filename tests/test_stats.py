@@ -86,3 +86,45 @@ def test_degenerate_inputs_give_null_not_errors(spark):
     assert chi["const"]["cramers_v"] is None and chi["sex"]["cramers_v"] is not None
     assert ST.levene(df, "label", "flat").first()["w"] is None
     assert ST.cohens_d(df, "label", "flat", 1, 0).first()["cohens_d"] is None
+
+
+def test_constant_and_collinear_columns(spark):
+    from strata.operators import stats as ST
+
+    df = spark.range(60).selectExpr("id", "cast(id as double) a", "cast(id as double) b", "cast(id * 37 % 11 as double) c",
+                                    "1.0d flat", "cast(id % 2 as int) y")
+    r = {(x["a"], x["b"]): x["r"] for x in ST.pearson_matrix(df, ["a", "b", "flat"]).collect()}
+    assert r["a", "flat"] is None and abs(r["a", "b"] - 1) < 1e-12
+    assert {x["feature"]: x["r"] for x in ST.point_biserial(df, ["a", "flat"], "y").collect()}["flat"] is None
+    rho = {(x["a"], x["b"]): x["rho"] for x in ST.spearman_matrix(df, ["a", "b", "flat"], "id").collect()}
+    assert rho["a", "flat"] is None and abs(rho["a", "b"] - 1) < 1e-12
+    v = {x["feature"]: x["vif"] for x in ST.vif(df, ["a", "b", "c", "flat"]).collect()}
+    assert v["a"] == v["b"] == float("inf") and 1 <= v["c"] < 2 and v["flat"] is None
+
+
+def test_anova_keeps_its_digits_under_an_offset(spark):
+    from strata.operators import stats as ST
+
+    rows = spark.range(70).selectExpr("id % 3 as g", "cast(id % 7 as double) as x")
+    low = ST.anova(rows, "g", "x").first()["f"]
+    high = ST.anova(rows.selectExpr("g", "x + 1e9 as x"), "g", "x").first()["f"]
+    assert low > 0 and abs(high - low) < 1e-6 * low
+
+
+def test_counts_beyond_64_bit_products(spark):
+    from strata.functions import ranks
+    from strata.operators import splits
+
+    sizes = spark.createDataFrame([("a", 60_000_000_000), ("b", 50_000_000_000)], "s string, n_s long")
+    q = {r["s"]: r["quota"] for r in splits._quotas_from_sizes(sizes, "s", 0.2).collect()}
+    assert q == {"a": 12_000_000_000, "b": 10_000_000_000}
+    assert ranks.rank_sum_auc(spark.createDataFrame([(1, 0.9), (0, 0.1)], "y int, s double"), "y", "s").first()["auc"] == 1
+
+
+def test_rows_without_score_pass_no_threshold(spark):
+    from strata.operators import evaluate as E
+
+    df = spark.createDataFrame([(1, 0.9), (0, 0.2), (1, None), (0, float("nan"))], "y int, s double")
+    top = E.threshold_sweep(df, "y", "s").where("threshold = 0.95").first()
+    assert (top["tp"], top["fp"], top["recall"]) == (0, 0, 0.0)
+    assert sum(r["n"] for r in E.calibration(df, "y", "s").collect()) == 2
