@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import map_batches, raw_texts
 from strata.llm.tokens import MEMO_ENTRIES, ChunkEncoder
 
-MAX_STEPS = 400_000  # determinised transitions a Python worker keeps
+MAX_STEPS = 150_000  # determinised transitions a Python worker keeps
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -123,7 +123,7 @@ class Transducer:
     def may_follow(self, last: int, token: int) -> bool:
         key = last << 32 | token
         if (ok := self.fit.get(key)) is None:
-            if len(self.fit) > 4 * MAX_STEPS:
+            if len(self.fit) > 2 * MAX_STEPS:
                 self.fit.clear()
             of = self.merges.bytes_of
             ok = self.fit[key] = self.merges.fits(of[last], of[token])

@@ -17,7 +17,7 @@ import numpy as np
 #: A space before white space (ASCII or Unicode, as UTF-8) or at the end.
 _LOOSE_SPACE = re.compile(
     rb" (?:[\t-\r\x1c-\x20]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\Z)")
-MEMO_ENTRIES = 600_000  # chunks a Python worker remembers (about 200 bytes each)
+MEMO_ENTRIES = 250_000  # chunks a Python worker remembers (about 200 bytes each)
 
 
 class ChunkEncoder:
