@@ -2,13 +2,17 @@
 
 Two tokens may stand side by side in an encoding exactly if merging their joined
 bytes does not cross the border between them. A byte string has one
-segmentation whose neighbours all may, and that is its encoding. The merges thus
-compile into a nondeterministic transducer: it walks a trie of tokens, and
-where a token ends that may follow the last one it may emit it and start anew. The
-subset construction is done only for states that texts reach: a state
-holds, for each trie position still open, the tokens not emitted yet. What
-all open positions agree on is emitted, so the lookahead is bounded by the longest
-token. Decoding feeds token bytes to a UTF-8 state machine that may be
+segmentation whose neighbours all may, and that is its encoding; the same holds
+for each of its prefixes. The merges thus compile into a nondeterministic
+transducer: it walks a trie of tokens, and where a token ends that may follow
+the last one it may emit it and start anew. After any prefix every
+earlier position is a possible start, so the open trie positions are those of
+the longest suffix that is still on the trie and of its own suffixes. The
+subset construction therefore has one state per trie node and is done only for
+states and bytes that texts reach. Beside the state a window
+remembers the last token of each prefix. Tokens on which all open
+positions agree are emitted and leave the window, so the lookahead is bounded
+by what open positions still disagree on. Decoding feeds token bytes to a UTF-8 state machine that may be
 interrupted between any two bytes.
 """
 
@@ -26,9 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_batches, raw_texts
-from strata.llm.tokens import MEMO_ENTRIES, ChunkEncoder
+from strata.llm.tokens import MEMO_BYTES, MEMO_ENTRIES, ChunkEncoder
 
 MAX_STEPS = 150_000  # determinised transitions a Python worker keeps
+WINDOW = 4096  # prefixes after which settled tokens are emitted
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -89,88 +94,120 @@ class Merges:
 
 
 class Transducer:
-    """Deterministic steps ``(state, byte) -> (state, tokens out)``, made when first needed."""
+    """Deterministic steps ``(state, byte) -> state``, made when first needed, and the tokens that may end there."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.merges = Merges(ranks)
         self.ranks = ranks
-        self.next: dict[int, int] = {}
+        self.size_of = {i: len(b) for b, i in ranks.items()}
+        self.child: dict[int, int] = {}
+        self.above: list[tuple[int, int]] = [(0, 0)]  # parent and byte of each trie node
         self.token_at: list[int] = [-1]
-        self.inner: list[bool] = [False]
+        self.depth: list[int] = [0]
         for token in ranks:
             if len(token) > 1 and self.merges.split(token) is None:
                 continue  # merging never makes it
             node = 0
             for byte in token:
-                self.inner[node] = True
                 key = node << 8 | byte
-                if key not in self.next:
-                    self.next[key] = len(self.token_at)
+                if key not in self.child:
+                    self.child[key] = len(self.token_at)
+                    self.above.append((node, byte))
+                    self.depth.append(self.depth[node] + 1)
                     self.token_at.append(-1)
-                    self.inner.append(False)
-                node = self.next[key]
+                node = self.child[key]
             self.token_at[node] = ranks[token]
+        self.shorter: dict[int, int] = {0: 0}  # node of the longest proper suffix on the trie
+        self.ending: list[tuple[tuple[int, int], ...] | None] = [()] + [None] * (len(self.token_at) - 1)
+        self.steps: dict[int, int] = {}
         self.fit: dict[int, bool] = {}
-        self.forget()
 
     def forget(self) -> None:
-        """Drop the determinised part; it is made again as texts need it."""
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
-        start = (-1, (((), 0),))
-        self.states: list[tuple] = [start]
-        self.number: dict[tuple, int] = {start: 0}
+        """Drop the determinised steps and the checked pairs; they are made again as texts need them."""
+        self.steps.clear()
+        self.fit.clear()
 
     def may_follow(self, last: int, token: int) -> bool:
-        key = last << 32 | token
-        if (ok := self.fit.get(key)) is None:
-            if len(self.fit) > 2 * MAX_STEPS:
-                self.fit.clear()
-            of = self.merges.bytes_of
-            ok = self.fit[key] = self.merges.fits(of[last], of[token])
+        of = self.merges.bytes_of
+        if len(self.fit) > 2 * MAX_STEPS:
+            self.fit.clear()
+        ok = self.fit[last << 32 | token] = self.merges.fits(of[last], of[token])
         return ok
 
-    def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, open_ = self.states[state]
-        new, done = [], None
-        for held, node in open_:
-            child = self.next.get(node << 8 | byte)
-            if child is None:
-                continue
-            if self.inner[child]:
-                new.append((held, child))
-            token = self.token_at[child]
-            if token >= 0 and done is None:
-                before = held[-1] if held else last
-                if before < 0 or self.may_follow(before, token):
-                    done = ((*held, token), 0)
-        if done is None:
+    def suffix(self, node: int) -> int:
+        path = []
+        while node not in self.shorter:
+            path.append(node)
+            node = self.above[node][0]
+        for node in reversed(path):
+            parent, byte = self.above[node]
+            self.shorter[node] = self.follow(self.shorter[parent], byte) if parent else 0
+        return self.shorter[node]
+
+    def follow(self, node: int, byte: int) -> int:
+        """The longest suffix of the bytes of ``node`` and ``byte`` that is on the trie."""
+        while (to := self.child.get(node << 8 | byte)) is None and node:
+            node = self.suffix(node)
+        return to or 0
+
+    def step(self, state: int, byte: int) -> int:
+        """Make one deterministic step, and the tokens (longest first) that may end in the state it leads to."""
+        to = self.follow(state, byte)
+        if not to:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
-        new.append(done)
-        agreed = 0
-        while all(len(h) > agreed and h[agreed] == done[0][agreed] for h, _ in new):
-            agreed += 1
-        out = done[0][:agreed]
-        key = (out[-1] if out else last, tuple((h[agreed:], n) for h, n in new))
-        number = self.number.get(key)
-        if number is None:
-            number = self.number[key] = len(self.states)
-            self.states.append(key)
-        self.steps[state << 8 | byte] = (number, out)
-        return number, out
-
-    def encode(self, data: bytes) -> list[int]:
+        if self.ending[to] is None:
+            out, node = [], to
+            while node:
+                if (token := self.token_at[node]) >= 0:
+                    out.append((token, self.depth[node]))
+                node = self.suffix(node)
+            self.ending[to] = tuple(out)
+        if len(self.steps) > MAX_STEPS:
+            self.forget()
+        self.steps[state << 8 | byte] = to
+        return to
+
+    def encode(self, data: bytes, window: int = WINDOW) -> list[int]:
         """Token ids of one match of the split pattern; one that is a token by itself is that token."""
         if (token := self.ranks.get(data)) is not None:
             return [token]
-        if len(self.steps) > MAX_STEPS:
-            self.forget()
+        steps, ending, fit = self.steps.get, self.ending, self.fit.get
         ids: list[int] = []
-        state, steps = 0, self.steps
+        last, state, at, full = [-1], 0, 0, window  # the last token of each prefix in the window
         for byte in data:
-            state, out = steps.get(state << 8 | byte) or self.step(state, byte)
-            ids += out
-        ids += next(h for h, n in self.states[state][1] if n == 0)
-        return ids
+            state = steps(state << 8 | byte) or self.step(state, byte)
+            at += 1
+            for token, size in ending[state]:
+                before = last[at - size]
+                if before < 0:
+                    break
+                ok = fit(before << 32 | token)
+                if ok or ok is None and self.may_follow(before, token):
+                    break
+            last.append(token)
+            if at >= full:
+                cut = self._agreed(last, at - self.depth[state])
+                ids += self._back(last, cut)
+                del last[:cut]
+                at -= cut
+                full = at + window  # disagreement may go on
+        return ids + self._back(last, at)
+
+    def _agreed(self, last: list[int], first: int) -> int:
+        """The last border that the encodings of all prefixes from ``first`` on have in common."""
+        ends = set(range(first, len(last)))
+        while len(ends) > 1:
+            end = max(ends)
+            ends.remove(end)
+            ends.add(end - self.size_of[last[end]])
+        return ends.pop()
+
+    def _back(self, last: list[int], end: int) -> list[int]:
+        out = []
+        while end:
+            out.append(last[end])
+            end -= self.size_of[last[end]]
+        return out[::-1]
 
 
 class Utf8Machine:
@@ -225,17 +262,32 @@ class Codec:
         self.matches: dict[str, bytes] = {}
         size = max(ranks.values()) + 1
         self.token_bytes = [self.machine.merges.bytes_of.get(i, b"") for i in range(size)]
-        self.chunks = ChunkEncoder(self._whole, lambda many: [self._whole(b" " + c) for c in many])
+        self.chunks = ChunkEncoder(self._whole, self._many)
 
-    def _whole(self, text: bytes) -> bytes:
-        parts = []
+    def _ids(self, matches: list[str]) -> list[bytes]:
         if len(self.matches) > MEMO_ENTRIES:
             self.matches.clear()
-        for match in self.split(text.decode("utf-8", "replace")):
-            if (raw := self.matches.get(match)) is None:
-                raw = self.matches[match] = array("I", self.machine.encode(match.encode("utf-8"))).tobytes()
-            parts.append(raw)
-        return b"".join(parts)
+        memo, encode, out = self.matches, self.machine.encode, []
+        for match in matches:
+            if (raw := memo.get(match)) is None:
+                raw = array("I", encode(match.encode("utf-8"))).tobytes()
+                if len(match) <= MEMO_BYTES:
+                    memo[match] = raw
+            out.append(raw)
+        return out
+
+    def _whole(self, text: bytes) -> bytes:
+        return b"".join(self._ids(self.split(text.decode("utf-8", "replace"))))
+
+    def _many(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of chunks, split together; the matches that start with a space start the chunks."""
+        matches = self.split((b" " + b" ".join(chunks)).decode("utf-8", "replace"))
+        start = [k for k, m in enumerate(matches) if m[0] == " "]
+        if len(start) != len(chunks):
+            return [self._whole(b" " + c) for c in chunks]
+        ids = self._ids(matches)
+        return [ids[a] if b == a + 1 else b"".join(ids[a:b])
+                for a, b in zip(start, [*start[1:], len(matches)], strict=True)]
 
     def encode(self, text: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

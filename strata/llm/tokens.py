@@ -18,6 +18,8 @@ import numpy as np
 _LOOSE_SPACE = re.compile(
     rb" (?:[\t-\r\x1c-\x20]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\Z)")
 MEMO_ENTRIES = 250_000  # chunks a Python worker remembers (about 200 bytes each)
+MEMO_BYTES = 64  # longer chunks are not remembered
+AT_ONCE = 20_000  # chunks of a text encoded together
 
 
 class ChunkEncoder:
@@ -35,15 +37,21 @@ class ChunkEncoder:
         if _LOOSE_SPACE.search(text):
             return self.whole(text)
         first, *chunks = text.split(b" ")
+        out = [self.whole(first)] if first else []
+        for k in range(0, len(chunks), AT_ONCE):
+            out += self._ids(chunks[k:k + AT_ONCE])
+        return b"".join(out)
+
+    def _ids(self, chunks: list[bytes]) -> list[bytes]:
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
-        get = self.memo.get
-        ids = list(map(get, chunks))
+        ids = list(map(self.memo.get, chunks))
         if None in ids:
             new = list(dict.fromkeys(c for c, i in zip(chunks, ids, strict=True) if i is None))
-            self.memo.update(zip(new, self.many(new), strict=True))
-            ids = list(map(get, chunks))
-        return (self.whole(first) if first else b"") + b"".join(ids)
+            made = dict(zip(new, self.many(new), strict=True))
+            ids = [made[c] if i is None else i for c, i in zip(chunks, ids, strict=True)]
+            self.memo.update((c, i) for c, i in made.items() if len(c) <= MEMO_BYTES)
+        return ids
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
