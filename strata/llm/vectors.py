@@ -5,7 +5,8 @@ For two vectors the dot product differs from s * s' * (q . q') by at most
 |s q| |e'| + |e| |s' q'| + |e| |e'|, numbers kept per vector. A tile product of the
 integers (exact in float32 up to 1,000 dimensions) and these bounds rule out
 almost every pair; the others are computed in double precision from the
-original vectors. Vectors are dealt to tiles of about ``TILE`` and every pair of
+original vectors. Equal vectors are one class with a weight before that. The
+classes are dealt to tiles of at most ``TILE_BYTES`` and every pair of
 tiles meets in one task, which returns link counts and a spanning
 forest of the links it found, never the links themselves.
 """
@@ -23,8 +24,9 @@ from pyspark.sql import functions as F
 from strata.llm.common import written
 from strata.llm.components import components
 
-TILE = 2048
-BLOCK = 256  # rows of a tile multiplied at a time
+TILE_BYTES = 16 << 20  # of a tile's vectors in double precision
+LEAST_TILES = 10  # so that small tables use several tasks; from this on, tiles are full
+BLOCK = 64  # rows of a tile multiplied at a time
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -36,8 +38,8 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return q, s, np.linalg.norm(back, axis=1), np.linalg.norm(u - back, axis=1) + 1e-12
 
 
-def tile_links(x: np.ndarray, y: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i, j) with cosine >= ``least``; of ``x`` with itself (i < j) if ``y`` is None."""
+def tile_links(x: np.ndarray, y: np.ndarray | None, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i, j) with cosine >= ``least``, block by block; of ``x`` with itself (i < j) if ``y`` is None."""
     own = y is None
     y = x if own else y
     kind = np.float32 if x.shape[1] <= 1000 else np.float64  # sums of integer products stay exact
@@ -45,24 +47,22 @@ def tile_links(x: np.ndarray, y: np.ndarray | None, least: float) -> tuple[np.nd
     qy, sy, ny, ey = (qx, sx, nx, ex) if own else quantise(y)
     right = qy.T.astype(kind)
     lx, ly = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
-    found_i, found_j = [], []
+    # the least integer product that could do for any vector of the other tile
+    short = (least - 1e-12 - (nx + ex) * ey.max() - ex * ny.max()) / sx
+    short = np.floor(short / np.where(short > 0, sy.max(), sy.min()) - 1e-6).astype(kind)
     for a in range(0, len(x), BLOCK):
-        r = slice(a, a + BLOCK)
-        bound = (qx[r].astype(kind) @ right).astype(np.float64)
-        bound *= sx[r, None]
-        bound *= sy
-        bound += np.outer(nx[r] + ex[r], ey) + np.outer(ex[r], ny)
-        i, j = np.nonzero(bound >= least - 1e-12)
+        product = qx[a:a + BLOCK].astype(kind) @ right
+        i, j = np.nonzero(product >= short[a:a + BLOCK, None])
+        near = product[i, j].astype(np.float64)
         i += a
         if own:
-            i, j = i[i < j], j[i < j]
+            i, j, near = i[i < j], j[i < j], near[i < j]
+        may = near * sx[i] * sy[j] + (nx[i] + ex[i]) * ey[j] + ex[i] * ny[j] >= least - 1e-12
+        i, j = i[may], j[may]
         for k in range(0, len(i), 100_000):
             p, q = i[k:k + 100_000], j[k:k + 100_000]
             ok = np.einsum("ij,ij->i", x[p], y[q]) / (lx[p] * ly[q]) >= least
-            found_i.append(p[ok].astype(np.int32))
-            found_j.append(q[ok].astype(np.int32))
-    none = np.empty(0, dtype=np.int32)
-    return np.concatenate([none, *found_i]), np.concatenate([none, *found_j])
+            yield p[ok], q[ok]
 
 
 def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -88,36 +88,46 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     vectors of their own. Null ids stay null, are no component's smallest id
     and are not kept. An empty table gives an empty result.
     """
-    v = F.col(f"`{vec_col}`").cast("array<double>")
+    v = F.col(f"`{vec_col}`")
+    if dict(vectors.dtypes)[vec_col] != "array<float>":
+        v = v.cast("array<double>")
     fine = F.coalesce(
         F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists(v, lambda c: c != 0),
         F.lit(False))
     rows = written(vectors.select(F.monotonically_increasing_id().alias("rid"),
                                   F.col(id_col).cast("long").alias("vec_id"), F.when(fine, v).alias("x")), "vectors")
-    usable = rows.filter("x IS NOT NULL").select("rid", "x")
-    tiles = max(1, math.ceil(usable.count() / TILE))
-    met = (usable.withColumn("own", F.pmod(F.xxhash64("rid"), F.lit(tiles)).cast("int"))
+    classes = written(rows.filter("x IS NOT NULL").groupBy("x").agg(F.min("rid").alias("rep"), F.count("*").alias("w")),
+                      "classes")
+    n, dim = classes.agg(F.count("*"), F.max(F.size("x"))).first()
+    tiles = max(LEAST_TILES, math.ceil((n or 0) * 8 * (dim or 1) / TILE_BYTES))
+    met = (classes.withColumn("own", F.pmod(F.xxhash64("rep"), F.lit(tiles)).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
            .select(F.size("x").alias("dim"), F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
-                   (F.col("own") > F.col("other")).alias("second"), "rid", "x")
+                   (F.col("own") > F.col("other")).alias("second"), F.col("rep"), "w", "x")
            .repartition("dim", "a", "b").sortWithinPartitions("dim", "a", "b"))
 
     def linked(key: tuple, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         dim, a, b = key
         t = pa.Table.from_batches(parts)
-        rid, second = t["rid"].to_numpy(), t["second"].to_numpy()
-        x = t["x"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
+        rep, second, w = (t[c].to_numpy() for c in ("rep", "second", "w"))
         order = np.argsort(second, kind="stable")
-        rid, x, n = rid[order], x[order], int((~second).sum())
+        x = t["x"].combine_chunks().flatten().to_numpy().reshape(-1, dim)[order].astype(np.float64)
+        x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])  # exact, and squares stay finite
+        rep, w, n = rep[order], w[order], int((~second).sum())
         if a == b:
-            i, j = tile_links(x, None, least)
+            found, n = tile_links(x, None, least), 0
         else:
-            i, j = tile_links(x[:n], x[n:], least) if 0 < n < len(x) else (np.empty(0, np.int32),) * 2
+            found = tile_links(x[:n], x[n:], least) if 0 < n < len(x) else ()
+        links, low = np.zeros(len(rep), dtype=np.int64), np.arange(len(rep))
+        for i, j in found:
             j = j + n
-        links = np.bincount(i, minlength=len(rid)) + np.bincount(j, minlength=len(rid))
-        low = _forest(len(rid), i, j)
+            np.add.at(links, i, w[j])
+            np.add.at(links, j, w[i])
+            apart = low[i] != low[j]
+            if apart.any():
+                low = _forest(len(rep), low[i[apart]], low[j[apart]])[low]
         has = np.flatnonzero(links)
-        return pa.record_batch({"u": rid[has], "v": rid[low[has]], "n": links[has]})
+        return pa.record_batch({"u": rep[has], "v": rep[low[has]], "n": links[has]})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts = None, []
@@ -137,11 +147,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
             yield linked(key, parts)
 
     found = written(met.mapInArrow(run, "u long, v long, n long"), "links")
-    counts = found.groupBy("u").agg(F.sum("n").alias("n_links")).withColumnRenamed("u", "rid")
-    roots = components(found.select("u", "v")).withColumnRenamed("node", "rid")
-    placed = written(rows.select("rid", "vec_id").join(counts, "rid", "left").join(roots, "rid", "left")
-                     .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
-                             F.coalesce("root", "rid").alias("root")), "placed")
+    counts = found.groupBy("u").agg(F.sum("n").alias("others")).withColumnRenamed("u", "rep")
+    roots = components(found.select("u", "v")).withColumnRenamed("node", "rep")
+    known = classes.join(counts, "rep", "left").join(roots, "rep", "left").select(
+        "x", (F.col("w") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("root"))
+    placed = written(rows.join(known, "x", "left").select(
+        "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "rid").alias("root")), "placed")
     lowest = placed.groupBy("root").agg(F.min("vec_id").alias("component_id"))
     return placed.join(lowest, "root").select(
         "vec_id", "n_links", "component_id",

@@ -220,6 +220,16 @@ def test_transducer_forgets_and_goes_on():
         assert machine.encode(s.encode()) == lib.encode_ordinary(s)
 
 
+def test_transducer_emits_within_a_window():
+    machine, r = bpe.Transducer(bpe.read_ranks(vocabulary(BPE_RANKS))), random.Random(6)
+    for _ in range(40):
+        data = "".join(r.choice(["the", "a", "ion", " ", "é", "zq", "ing"]) for _ in range(r.randint(1, 300))).encode()
+        assert machine.encode(data, window=1) == machine.encode(data) or data in machine.ranks
+    data = b"ab" * 10_000
+    lib = tiktoken.Encoding("one", pat_str=r"[\s\S]+", mergeable_ranks=machine.ranks, special_tokens={})
+    assert machine.encode(data) == lib.encode_ordinary(data.decode())
+
+
 # 5 -----------------------------------------------------------------------------------------------
 def test_simhash_components(docs, odd_docs, no_docs, texts):
     got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()}
@@ -315,11 +325,12 @@ def test_redaction(spark, odd_docs):
 
 # 7 -----------------------------------------------------------------------------------------------
 def test_embedding_links(spark, monkeypatch):
-    monkeypatch.setattr(vectors, "TILE", 40)
+    monkeypatch.setattr(vectors, "TILE_BYTES", 8 * 12 * 14)
     r = np.random.default_rng(8)
     x = r.normal(size=(160, 12))
     x[60:120] = x[:60] + 0.33 * r.normal(size=(60, 12))
     x[120:150] = x[0] + 0.05 * r.normal(size=(30, 12))
+    x[130:140], x[155] = x[3], x[70]
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     odd = [(900, None), (901, [0.0] * 12), (902, [float("nan")] * 12), (903, [1.0, None]), (904, []), (905, [1.0, 2.0]),
            (None, [2.0, 4.0])]
