@@ -152,6 +152,35 @@ def test_plan_keeps_every_limit_and_equals_item_by_item(limits):
         assert sum(n for _, n in b) <= 50 and len(b) <= limits.caps()[1] and sum(n * n for _, n in b) <= limits.caps()[2]
 
 
+def test_plain_vocabulary_encodes_as_the_library():
+    """The fast way of Latin texts, and that the two parts of each token are those of its merge."""
+    import json
+    import random
+
+    from tokenizers import Tokenizer
+
+    from strata.llm import bpe, tokens
+
+    path = vocabulary(BPE_JSON)
+    ranks = tokens.plain_ranks(path)
+    merges, of = bpe.Merges(ranks), {i: b for b, i in ranks.items()}
+    with open(path, encoding="utf-8") as f:
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in json.load(f)["model"]["merges"]]
+    assert all(len(merges.split(of[256 + k])[0]) == len(p[0]) for k, p in enumerate(pairs))
+    lib = Tokenizer.from_file(path)
+    lib.encode_special_tokens = True
+    enc, rnd = tokens.tokenizer_encoder(path), random.Random(3)
+    found = ["", " ", "a" * 3000, " " * 3000, "\t " * 2000 + "x", "<|endoftext|>"]
+    found += ["".join(rnd.choice("ab'sstréßŁd  \n\t\x0b\x1c\x1f\x85\xa0019.,!-_中😀ZQ") for _ in range(rnd.randint(0, 50)))
+              for _ in range(1500)]
+    found += ["".join(rnd.choice("ab'sstréßŁd  \n\t\x0b\x1c\x1f019.,!-_ZQ") for _ in range(rnd.randint(0, 90)))
+              for _ in range(1500)]
+    assert sum(map(tokens.ordinary, found)) > 1500
+    for text in found:
+        ids = list(memoryview(enc.encode(text.encode())).cast("I"))
+        assert ids == lib.encode(text, add_special_tokens=False).ids, text
+
+
 def test_packed_documents(spark, docs, odd_docs, no_docs):
     from tokenizers import Tokenizer
 
