@@ -1,22 +1,20 @@
 """Distributed prefix sums, mid-ranks and exact quantiles.
 
-Never a window over all rows. The recipe used everywhere:
+Never a window over all rows. The recipe used everywhere, at every size:
 
 1. ``groupBy(group, value)``: one row per distinct value (map-side partial
    aggregation, so a hot value is a single row after this step).
-2. ``bucket`` = position of the value among a few hundred cut points taken
-   from ``percentile_approx`` of the distinct values. It is a pure function
-   of the value (a binary-search ``CASE`` tree), so results do not depend on
-   physical partitioning.
+2. These rows are range partitioned by (group, value) and written once with
+   the number of their partition, ``bucket``: buckets are consecutive ranges,
+   there are as many as the session has shuffle partitions, and adaptive
+   execution joins those that are small. A hot group spans many of them.
 3. Running sum inside ``(group, bucket)`` windows (parallel across buckets).
-4. Add the total of all earlier buckets from a small offsets table
-   (groups x buckets rows, size-checked before it is broadcast).
+4. Add the total of all earlier buckets from a small offsets table (one row
+   per group and bucket that has rows of it).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,56 +39,58 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return df
 
 
+_WRITTEN: list[str] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` (an aggregated, reused intermediate) as a table in the
     shared checkpoint folder and read it back: one job, lineage cut, later
     references (and a restarted stage after a lost executor) read the files
-    instead of re-scanning the input. Never a machine-local folder."""
+    instead of re-scanning the input. Never a machine-local folder.
+    ``release`` deletes the tables of finished work."""
     import uuid
 
     from strata.session import shared_dir
 
     path = shared_dir(df.sparkSession, f"materialized/{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-# Distinct-value tables up to this size are ranked in one bucket per group
-# (size read from the written table's footers); larger ones are bucketed.
-SMALL_DISTINCT = 1_000_000
-
-
-def _n_buckets(df: DataFrame) -> int:
-    try:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    except Exception:
-        parts = 200
-    return max(4, min(512, 4 * parts))
-
-
-def cut_points(df: DataFrame, value_col: str, n_buckets: int | None = None,
-               accuracy: int = 10_000) -> list[float]:
-    """Sorted distinct approximate quantiles of ``value_col`` (bounded list)."""
-    k = n_buckets or _n_buckets(df)
-    probs = [i / k for i in range(1, k)]
-    row = df.select(F.percentile_approx(F.col(value_col).cast("double"), probs, accuracy)).first()
-    vals = row[0] or []
-    return sorted({float(v) for v in vals if v is not None and not math.isnan(v)})
-
-
-def sampled_cut_points(df: DataFrame, value_col: str, n_buckets: int | None = None,
-                       sample_rows: int = 20_000, seed: int = 7) -> list:
-    """Cut points for values without ``percentile_approx`` (strings): a
-    seeded sample of about ``sample_rows`` values, sorted on the driver."""
-    k = n_buckets or _n_buckets(df)
-    base = df.select(value_col).where(F.col(value_col).isNotNull())
-    n = base.count()
-    frac = min(1.0, sample_rows / max(n, 1))
-    vals = sorted(r[0] for r in base.sample(False, frac, seed).limit(4 * sample_rows).collect())
-    if not vals:
-        return []
-    picks = [vals[min(len(vals) - 1, (i * len(vals)) // k)] for i in range(1, k)]
-    return sorted(set(picks))
+    _WRITTEN.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark) -> int:
+    """Delete every table ``materialize`` wrote so far; call it when no result built on them is read any more."""
+    n = 0
+    while _WRITTEN:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+    return n
+
+
+def in_ranges(counts: DataFrame, order_col: str, group_cols: list[str] | None = None,
+              n_buckets: int | None = None) -> DataFrame:
+    """``counts`` (one row per group and value), written in consecutive ranges
+    numbered by ``_bucket``. The number is stored, so it never changes when a
+    later task runs again. ``n_buckets``: ranges, if not the session's number
+    of shuffle partitions."""
+    keys = [*(group_cols or []), order_col]
+    dealt = counts.repartitionByRange(n_buckets, *keys) if n_buckets else counts.repartitionByRange(*keys)
+    return materialize(dealt.withColumn("_bucket", F.spark_partition_id()))
+
+
+def bucket_offsets(ranged: DataFrame, sum_cols: list[str], group_cols: list[str] | None = None,
+                   descending: bool = False) -> DataFrame:
+    """Per (group, bucket): the sum ``_b_<c>`` of its rows, ``_off_<c>`` of all
+    buckets before it and ``tot_<c>`` of the group."""
+    group_cols = list(group_cols or [])
+    per_bucket = ranged.groupBy(*group_cols, "_bucket").agg(*[F.sum(c).alias(f"_b_{c}") for c in sum_cols])
+    wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+    order = F.col("_bucket").desc() if descending else F.col("_bucket")
+    wprev = wg.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return per_bucket.select(
+        *group_cols, "_bucket", *[f"_b_{c}" for c in sum_cols],
+        *[F.coalesce(F.sum(f"_b_{c}").over(wprev), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
+        *[F.sum(f"_b_{c}").over(wg).alias(f"tot_{c}") for c in sum_cols])
 
 
 def bucket_expr(c: Column, cuts: list) -> Column:
@@ -114,7 +114,7 @@ def bucket_expr(c: Column, cuts: list) -> Column:
 
 def cumulative(counts: DataFrame, order_col: str, sum_cols: list[str],
                group_cols: list[str] | None = None, descending: bool = False,
-               cuts: list | None = None, n_groups: int | None = None) -> DataFrame:
+               n_groups: int | None = None, n_buckets: int | None = None) -> DataFrame:
     """Running sums over a table with one row per ``(group, order value)``.
 
     Adds ``cum_<c>`` (inclusive running sum of ``c`` in value order) and
@@ -122,41 +122,26 @@ def cumulative(counts: DataFrame, order_col: str, sum_cols: list[str],
     internal ``_bucket`` column. ``n_groups``: known number of groups (lets
     the offsets table be broadcast under a proven bound).
     """
+    ranged = in_ranges(counts, order_col, group_cols, n_buckets)
+    return _running(ranged, bucket_offsets(ranged, sum_cols, group_cols, descending), order_col, sum_cols, group_cols,
+                    descending, n_groups)
+
+
+def _running(ranged: DataFrame, offsets: DataFrame, order_col: str, sum_cols: list[str],
+             group_cols: list[str] | None, descending: bool, n_groups: int | None) -> DataFrame:
     group_cols = list(group_cols or [])
-    if cuts is None:
-        counts = materialize(counts)  # read by the cut-point job and by the windows below
-        if counts.count() <= SMALL_DISTINCT:
-            cuts = []
-        else:
-            numeric = dict(counts.dtypes)[order_col] not in ("string", "binary")
-            cuts = cut_points(counts, order_col) if numeric else sampled_cut_points(counts, order_col)
-    bexpr = bucket_expr(F.col(order_col), cuts)
-    if descending:
-        bexpr = F.lit(len(cuts)) - bexpr
-    with_b = counts.withColumn("_bucket", bexpr)
-
-    per_bucket = with_b.groupBy(*group_cols, "_bucket").agg(
-        *[F.sum(c).alias(f"_b_{c}") for c in sum_cols])
-    wg = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
-    wprev = wg.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        *group_cols, "_bucket",
-        *[F.coalesce(F.sum(f"_b_{c}").over(wprev), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
-        *[F.sum(f"_b_{c}").over(wg).alias(f"tot_{c}") for c in sum_cols],
-    )
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     wrun = (Window.partitionBy(*group_cols, "_bucket").orderBy(order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = with_b.withColumns({f"_run_{c}": F.sum(c).over(wrun) for c in sum_cols})
-    # groups x buckets rows; groups are few (labels, features, models).
-    bound = (len(cuts) + 1) * (n_groups if group_cols else 1) if (n_groups or not group_cols) else None
-    joined = running.join(bounded_broadcast(offsets, known_rows=bound), on=[*group_cols, "_bucket"],
-                          how="inner")
+    running = ranged.withColumns({f"_run_{c}": F.sum(c).over(wrun) for c in sum_cols})
+    # consecutive ranges: at most groups + buckets pairs of a group and a bucket
+    known = n_groups if group_cols else 1
+    bound = known + int(ranged.sparkSession.conf.get("spark.sql.shuffle.partitions")) if known else None
+    joined = running.join(bounded_broadcast(offsets, known_rows=bound), on=[*group_cols, "_bucket"], how="inner")
     return joined.select(
-        *[c for c in running.columns if not c.startswith("_run_")],
+        *ranged.columns,
         *[(F.col(f"_off_{c}") + F.col(f"_run_{c}")).alias(f"cum_{c}") for c in sum_cols],
-        *[F.col(f"tot_{c}") for c in sum_cols],
-    )
+        *[F.col(f"tot_{c}") for c in sum_cols])
 
 
 def label_counts(df: DataFrame, value_col: str, label_col: str | None = None,
@@ -206,46 +191,36 @@ def rank_sum_auc(df: DataFrame, label_col: str, score_col: str,
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
-                    group_cols: list[str] | None = None, n_groups: int | None = None) -> DataFrame:
+                    group_cols: list[str] | None = None, n_groups: int | None = None,
+                    n_buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy default, Spark
     ``percentile``, DuckDB ``quantile_cont``), nulls skipped.
 
     Unlike the built-in ``percentile`` aggregate, no task ever holds the
-    value map of a whole group: the distinct-value counts are written once,
-    their running sums come from ``cumulative``, and the few wanted ranks
-    (groups x probs x 2 rows) are joined to the running sums in one pass.
-    Returns group..., p, value.
+    value map of a whole group: the distinct-value counts are written once
+    in ranges; the few wanted ranks (groups x probs x 2 rows) are located in
+    the table of bucket totals, and only the values of the buckets that hold
+    one meet them. Returns group..., p, value.
     """
     group_cols = list(group_cols or [])
-    spark = df.sparkSession
-    counts = materialize(label_counts(df, value_col, None, group_cols))
-    if counts.count() <= SMALL_DISTINCT:  # footer row counts: no extra scan
-        cuts: list = []
-    else:
-        cuts = cut_points(counts, value_col)
-    cum = cumulative(counts, value_col, ["cnt"], group_cols, cuts=cuts, n_groups=n_groups)
-    # ranks (0-based) needed per (group, p): floor and ceil of p * (n - 1)
-    sizes = counts.groupBy(*group_cols).agg(F.sum("cnt").alias("n"))
-    pr = spark.createDataFrame([(float(p), i) for i, p in enumerate(probs)], "p double, p_idx int")
-    targets = (sizes.crossJoin(F.broadcast(pr))
-               .withColumn("pos", F.col("p") * (F.col("n") - 1))
-               .withColumn("k_lo", F.floor("pos").cast("long"))
-               .withColumn("k_hi", F.ceil("pos").cast("long"))
-               .withColumn("frac", F.col("pos") - F.col("k_lo")))
-    ks = (targets.select(*group_cols, "p_idx", F.col("k_lo").alias("k"), F.lit("lo").alias("side"))
-          .unionByName(targets.select(*group_cols, "p_idx", F.col("k_hi").alias("k"), F.lit("hi").alias("side"))))
-    g = 1 if not group_cols else n_groups
-    ks = bounded_broadcast(ks, known_rows=None if g is None else g * len(probs) * 2)
-    located = cum.select(*group_cols, value_col, (F.col("cum_cnt") - F.col("cnt")).alias("start"),
-                         F.col("cum_cnt").alias("end"))
-    joined = located.join(ks, on=group_cols, how="inner") if group_cols else located.crossJoin(ks)
-    hit = (joined.where((F.col("k") >= F.col("start")) & (F.col("k") < F.col("end")))
-           .groupBy(*group_cols, "p_idx")
-           .agg(F.max(F.when(F.col("side") == "lo", F.col(value_col))).alias("v_lo"),
-                F.max(F.when(F.col("side") == "hi", F.col(value_col))).alias("v_hi")))
-    out = (hit.join(targets.select(*group_cols, "p_idx", "p", "frac"), on=[*group_cols, "p_idx"])
-           .select(*group_cols, "p",
-                   F.when(F.col("frac") == 0, F.col("v_lo").cast("double"))
-                   .otherwise(F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac"))
-                   .alias("value")))
-    return out
+    ranged = in_ranges(label_counts(df, value_col, None, group_cols), value_col, group_cols, n_buckets)
+    offsets = bucket_offsets(ranged, ["cnt"], group_cols)
+    each = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.lit(i).alias("p_idx")) for i, p in enumerate(probs)])
+    at = F.col("p") * (F.col("tot_cnt") - 1)
+    wanted = (offsets.select("*", F.inline(each))  # buckets x probs
+              .withColumns({"k_lo": F.floor(at).cast("long"), "k_hi": F.ceil(at).cast("long")})
+              .withColumn("frac", at - F.col("k_lo"))
+              .withColumn("k", F.explode(F.array_distinct(F.array("k_lo", "k_hi"))))
+              .where((F.col("k") >= F.col("_off_cnt")) & (F.col("k") < F.col("_off_cnt") + F.col("_b_cnt"))))
+    known = n_groups if group_cols else 1
+    wanted = bounded_broadcast(wanted.select(*group_cols, "_bucket", "p", "p_idx", "frac", "k", "k_lo", "k_hi"),
+                               known_rows=2 * known * len(probs) if known else None)
+    cum = _running(ranged, offsets, value_col, ["cnt"], group_cols, False, n_groups)
+    hit = (cum.join(wanted, [*group_cols, "_bucket"])
+           .where((F.col("k") >= F.col("cum_cnt") - F.col("cnt")) & (F.col("k") < F.col("cum_cnt")))
+           .groupBy(*group_cols, "p_idx", "p", "frac")
+           .agg(F.max(F.when(F.col("k") == F.col("k_lo"), F.col(value_col))).alias("v_lo"),
+                F.max(F.when(F.col("k") == F.col("k_hi"), F.col(value_col))).alias("v_hi")))
+    return hit.select(*group_cols, "p",
+                      F.when(F.col("frac") == 0, F.col("v_lo").cast("double"))
+                      .otherwise(F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value"))

@@ -240,35 +240,33 @@ def nearest_rows(queries: DataFrame, history: DataFrame, key: str, features: lis
 def permutation_importance(raw: DataFrame, model: LinearModel, key: str, label: str, columns: list[str],
                            repeats: int = 30, seed: int = 42) -> DataFrame:
     """Mean F1 drop when one raw column is permuted across rows, over
-    ``repeats`` seeded permutations per column.
-
-    The permutation of column c in repeat r pairs the row of rank i by key
-    with the row of rank i by hash(key, c, r): both ranks come from bucketed
-    prefix sums, and the pairing is an equi-join on the rank.
+    ``repeats`` permutations.
+
+    The rows are put in a random order once (by the hash of their key, ranked
+    by distributed prefix sums); permutation r gives each row the value of the row
+    ``1 + r * (n - 1) div repeats`` places further on, cyclically: a bijection,
+    different for each r while n > repeats. All columns share the
+    permutations, so a repeat shuffles each row once; the columns are tried
+    one by one after the join, within the row.
     """
-    from strata.functions.ranks import cumulative
+    from strata.functions.ranks import materialize
 
-    spark = raw.sparkSession
-    reps = spark.createDataFrame([(c, r) for c in columns for r in range(repeats)], "column string, rep int")
-    # donor rank: position of each row in key order
-    keys = raw.select(key).withColumn("cnt", F.lit(1))
-    base_rank = raw.join(cumulative(keys, key, ["cnt"]).select(key, F.col("cum_cnt").alias("_i")), key)
+    rows = materialize(hash_rank(raw, key, seed=seed, out_col="_i").withColumn("_i", F.col("_i") - 1))
+    n = rows.agg(F.count(F.lit(1)).alias("_n"))  # one row
     lo = model.logit()
-    base_pred = model.matrix(raw, [key, label]).select(key, label, (lo > 0).cast("int").alias("_pred"))
+    base_pred = model.matrix(rows, [key, label]).select(key, label, (lo > 0).cast("int").alias("_pred"))
     base_f1 = base_pred.agg(_div0(2 * F.count_if((F.col("_pred") == 1) & (F.col(label) == 1)),
                                   2 * F.count_if((F.col("_pred") == 1) & (F.col(label) == 1))
                                   + F.count_if((F.col("_pred") == 1) & (F.col(label) != 1))
                                   + F.count_if((F.col("_pred") != 1) & (F.col(label) == 1))).alias("base_f1"))
-    rows = raw.crossJoin(F.broadcast(reps))  # rows x (columns x repeats): the work itself
-    grp = F.concat_ws("|", F.col("column"), F.col("rep").cast("string"))
-    pk = F.concat_ws("|", F.col(key).cast("string"), F.col("column"), F.col("rep").cast("string"))
-    shuffled = hash_rank(rows.withColumn("_g", grp).withColumn("_pk", pk), "_pk", "_g", seed=seed, out_col="_i")
-    donors = base_rank.select(F.col("_i"), *[F.col(c).alias(f"_d_{c}") for c in columns], key)
-    perm = shuffled.join(donors.drop(key), "_i").drop("_pk", "_g")
-    out = perm
+    donors = rows.select(F.col("_i").alias("_j"), *[F.col(c).alias(f"_d_{c}") for c in columns])
+    out = (rows.crossJoin(F.broadcast(n))
+           .withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+           .withColumn("_j", F.expr(f"(_i + 1 + (rep * (_n - 1)) div {int(repeats)}) % _n"))
+           .join(donors, "_j")
+           .withColumn("column", F.explode(F.array(*[F.lit(c) for c in columns]))))
     for c in columns:
         out = out.withColumn(c, F.when(F.col("column") == c, F.col(f"_d_{c}")).otherwise(F.col(c)))
-    out = out.drop(*[f"_d_{c}" for c in columns])
     m = model.matrix(out, [key, label, "column", "rep"])
     pred = (model.logit() > 0).cast("int")
     f1 = m.withColumn("_pred", pred).groupBy("column", "rep").agg(

@@ -139,11 +139,14 @@ def cv_scores(train: DataFrame, make_estimator, fold_col: str = "fold", k: int =
 # M9 / M10 / M11 ---------------------------------------------------------------------------
 def evaluate_model(name: str, make_estimator, train: DataFrame, test: DataFrame, n_features: int,
                    cv_folds: tuple[int, ...] | None = None) -> tuple[dict, PipelineModel]:
-    """CV F1, train F1, test metrics, AUC, train seconds, predict ms / row."""
+    """CV F1, train F1, test metrics, AUC, train seconds, predict ms / row.
+    ``cv_folds``: the folds held out in turn, all if None; without any the CV
+    columns are NULL."""
     from strata.functions.ranks import rank_sum_auc
 
     res = {"model": name, "n_features": n_features}
-    res.update({k: v for k, v in cv_scores(train, make_estimator, folds=cv_folds).items() if k != "fold_f1"})
+    if cv_folds is None or cv_folds:
+        res.update({k: v for k, v in cv_scores(train, make_estimator, folds=cv_folds).items() if k != "fold_f1"})
     n_w = train.agg(F.sum("weight")).first()[0]
     t0 = time.time()
     model = make_pipeline(make_estimator(n_w)).fit(train)

@@ -70,7 +70,7 @@ def q_class_weights(spark, sf):
 def q_train_logreg(spark, sf):
     """M1 + M9: logistic regression (L2, C=1, balanced) on the 8 features."""
     train, test = model_frame(spark, sf)
-    res, _ = M.evaluate_model("logistic", lr_est, train, test, N_FEATURES, with_cv=True)
+    res, _ = M.evaluate_model("logistic", lr_est, train, test, N_FEATURES)
     return M.results_frame(spark, [res])
 
 
@@ -78,7 +78,7 @@ def q_train_logreg(spark, sf):
 def q_train_rf(spark, sf):
     """M2: random forest, 300 trees, balanced (no CV here; see compare_models)."""
     train, test = model_frame(spark, sf)
-    res, _ = M.evaluate_model("random_forest", rf_est, train, test, N_FEATURES, with_cv=False)
+    res, _ = M.evaluate_model("random_forest", rf_est, train, test, N_FEATURES, cv_folds=())
     return M.results_frame(spark, [res])
 
 
@@ -86,7 +86,7 @@ def q_train_rf(spark, sf):
 def q_train_gbt(spark, sf):
     """M3: gradient boosting, 100 rounds, rate 0.1, depth 3."""
     train, test = model_frame(spark, sf)
-    res, _ = M.evaluate_model("gradient_boosting", gbt_est, train, test, N_FEATURES, with_cv=False)
+    res, _ = M.evaluate_model("gradient_boosting", gbt_est, train, test, N_FEATURES, cv_folds=())
     return M.results_frame(spark, [res])
 
 

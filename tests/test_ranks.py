@@ -58,37 +58,39 @@ def test_label_encode_alphabetical(spark):
     assert got == {"a": 0, "b": 1, "c": 2, None: None}
 
 
-def test_bucketed_path_equals_single_bucket(spark, monkeypatch):
-    """Force the multi-bucket prefix sums (used above SMALL_DISTINCT values)."""
+def test_quantiles_do_not_depend_on_buckets(spark):
     df = scored(spark, SF001)
-    small_auc = R.rank_sum_auc(df, "label", "score").first()["auc"]
-    small_q = sorted(r["value"] for r in R.exact_quantiles(df, "score", [0.1, 0.5, 0.9]).collect())
-    monkeypatch.setattr(R, "SMALL_DISTINCT", 0)
-    assert abs(R.rank_sum_auc(df, "label", "score").first()["auc"] - small_auc) < 1e-12
-    big_q = sorted(r["value"] for r in R.exact_quantiles(df, "score", [0.1, 0.5, 0.9]).collect())
-    assert max(abs(a - b) for a, b in zip(small_q, big_q)) < 1e-12
-    codes = {r["name"]: r["name_code"] for r in
-             __import__("strata.operators.features", fromlist=["x"]).label_encode(
-                 cohort(spark, SF001), "name", "name_code").collect()}
-    names = sorted(codes)
-    assert [codes[n] for n in names] == list(range(len(names)))
-
-
-def test_cumulative_random_ties_any_partitioning(spark, monkeypatch):
-    """Running counts per group equal numpy's, for any partition count and
-    on the bucketed path (forced)."""
+    got = [sorted(r["value"] for r in R.exact_quantiles(df, "score", [0.1, 0.5, 0.9], n_buckets=n).collect())
+           for n in (None, 1, 7, 64)]
+    assert got == [got[0]] * 4
+    names = cohort(spark, SF001).select("name").distinct().withColumn("cnt", F.lit(1))
+    codes = {r["name"]: r["cum_cnt"] for r in R.cumulative(names, "name", ["cnt"], n_buckets=13).collect()}
+    assert [codes[n] for n in sorted(codes)] == list(range(1, len(codes) + 1))
+
+
+def test_cumulative_random_ties_any_partitioning(spark):
+    """Running counts per group equal numpy's for any number of partitions and buckets."""
     rng = np.random.default_rng(7)
     vals = rng.integers(0, 50, size=600).astype(float)
     grp = rng.integers(0, 3, size=600)
     df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, v double")
     counts = R.label_counts(df, "v", None, ["g"])
-    want = {}
+    up, down = {}, {}
     for g in range(3):
         u, c = np.unique(vals[grp == g], return_counts=True)
-        want.update({(g, float(x)): int(s) for x, s in zip(u, np.cumsum(c))})
-    monkeypatch.setattr(R, "SMALL_DISTINCT", 0)
-    for parts in (1, 5):
-        got = R.cumulative(counts.repartition(parts), "v", ["cnt"], ["g"], cuts=[10.0, 25.0, 40.0])
-        assert {(r["g"], r["v"]): r["cum_cnt"] for r in got.collect()} == want
-    got = R.cumulative(counts, "v", ["cnt"], ["g"])  # cut points from percentile_approx
-    assert {(r["g"], r["v"]): r["cum_cnt"] for r in got.collect()} == want
+        up.update({(g, float(x)): int(s) for x, s in zip(u, np.cumsum(c))})
+        down.update({(g, float(x)): int(s) for x, s in zip(u[::-1], np.cumsum(c[::-1]))})
+    for parts, buckets in ((1, 9), (5, 40), (3, None)):
+        for want, desc in ((up, False), (down, True)):
+            got = R.cumulative(counts.repartition(parts), "v", ["cnt"], ["g"], descending=desc, n_buckets=buckets)
+            assert {(r["g"], r["v"]): r["cum_cnt"] for r in got.collect()} == want
+
+
+def test_two_million_distinct_values_in_64_buckets(spark):
+    n = 2_000_000
+    df = spark.range(n).select((F.col("id") * 7919 % n).cast("double").alias("v"))
+    cum = R.cumulative(R.label_counts(df, "v"), "v", ["cnt"], n_buckets=64)
+    r = cum.agg(F.count("*").alias("n"), F.countDistinct("_bucket").alias("b"), F.max("tot_cnt").alias("t"),
+                F.count_if(F.col("cum_cnt") != F.col("v") + 1).alias("wrong")).first()
+    assert (r["n"], r["t"], r["wrong"]) == (n, n, 0) and r["b"] > 50
+    assert R.release(spark) > 0
