@@ -42,18 +42,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 _WRITTEN: list[str] = []
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write ``df`` (an aggregated, reused intermediate) as a table in the
     shared checkpoint folder and read it back: one job, lineage cut, later
     references (and a restarted stage after a lost executor) read the files
     instead of re-scanning the input. Never a machine-local folder.
-    ``release`` deletes the tables of finished work."""
+    ``by``: a column with a folder for each of its values, so that a reader of
+    few values skips the others. ``release`` deletes the tables of finished work."""
     import uuid
 
     from strata.session import shared_dir
 
     path = shared_dir(df.sparkSession, f"materialized/{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -75,7 +76,7 @@ def in_ranges(counts: DataFrame, order_col: str, group_cols: list[str] | None =
     of shuffle partitions."""
     keys = [*(group_cols or []), order_col]
     dealt = counts.repartitionByRange(n_buckets, *keys) if n_buckets else counts.repartitionByRange(*keys)
-    return materialize(dealt.withColumn("_bucket", F.spark_partition_id()))
+    return materialize(dealt.withColumn("_bucket", F.spark_partition_id()), by="_bucket")
 
 
 def bucket_offsets(ranged: DataFrame, sum_cols: list[str], group_cols: list[str] | None = None,
