@@ -7,6 +7,7 @@ import uuid
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from strata.functions.ranks import rank_sum_auc
 from strata.operators import features as FT
 from strata.operators import splits as S
 from strata.operators import train as M
@@ -198,8 +199,9 @@ def q_train_promote(spark, sf):
     path = shared_dir(spark, f"models-{uuid.uuid4().hex}/model/version={version}")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    m = M.f1_of(loaded.transform(test))
-    return m.withColumn("model_version", F.lit(version))
+    pred = M.with_probability(loaded.transform(test))
+    auc = rank_sum_auc(pred, "label", "score").select(F.col("auc").alias("roc_auc"))
+    return M.f1_of(pred).crossJoin(auc).withColumn("model_version", F.lit(version))
 
 
 @register("score_trained")
