@@ -12,6 +12,8 @@ entities of their own, so "Mr. Roe" and "Mr. Al Roe" agree).
 Distinct values must get distinct replacements. All distinct values are
 grouped, and a value whose replacement is a real value of the table, or is
 taken by another value, tries again with the next attempt until none collides.
+Draws keep the shape of the value ``SHAPED`` times; after that they come from a space
+that grows with each attempt, so a shape with too few values (1.2.3.4) does not end the query.
 Only documents with entities, their values and the replacements are shuffled.
 """
 
@@ -19,7 +21,9 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import itertools
 import re
+import sys
 import unicodedata
 
 import pyarrow as pa
@@ -42,9 +46,13 @@ _PATTERNS = (
     ("name", rf"\b(?P<title>{'|'.join(_WOMEN + _MEN + _ANY)})(?:\.[ ]?|[ ])(?P<who>{_CAP}(?:[ ]{_CAP})?)"),
 )
 _ALL = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS))
-#: Texts without a match of this have no entity.
-MAY_HOLD = r"@|[0-9]{2}|[0-9]\.[0-9]|" + "|".join(_WOMEN + _MEN + _ANY)
-_ASCII_DIGIT = re.compile("[0-9]")
+#: The decimal digits of every script, as ``\\d`` of Python has them and ``\\d`` of Java has not.
+_DIGIT = "[" + "".join(f"\\x{{{z:x}}}-\\x{{{z + 9:x}}}" for z in range(sys.maxunicode)
+                       if unicodedata.decimal(chr(z), -1) == 0) + "]"
+#: Texts without a match of this (in Java's syntax) have no entity.
+MAY_HOLD = rf"@|{_DIGIT}{{2}}|{_DIGIT}\.{_DIGIT}|" + "|".join(_WOMEN + _MEN + _ANY)
+#: Attempts that keep the shape of a value.
+SHAPED = 16
 
 #: Syllables for made-up names, and how they end, by script and gender (w, m, n: none known).
 _SYLLABLES = {
@@ -104,12 +112,17 @@ def _luhn(digits: list[int]) -> int:
     return sum(d if k % 2 == 0 else d * 2 - 9 * (d > 4) for k, d in enumerate(reversed(digits))) % 10
 
 
+def _digit(like: str, d: int) -> str:
+    """The digit ``d`` in the script of the digit ``like``."""
+    return chr(ord(like) - unicodedata.decimal(like) + d)
+
+
 def _shaped(value: str, draw: _Draw, keep_digits: int = 0) -> str:
-    """Digits for digits, letters for letters of the same case and script; the first ``keep_digits`` digits stay."""
+    """Digits for digits of the same script, letters for letters of the same case and script; the first ``keep_digits`` digits stay."""
     out = []
     for c in value:
-        if _ASCII_DIGIT.match(c):
-            out.append(c if keep_digits > 0 else str(draw.below(10)))
+        if c.isdecimal():
+            out.append(c if keep_digits > 0 else _digit(c, draw.below(10)))
             keep_digits -= 1
         elif c.isalpha() and c.isascii():
             out.append(chr((65 if c.isupper() else 97) + draw.below(26)))
@@ -124,26 +137,36 @@ def _shaped(value: str, draw: _Draw, keep_digits: int = 0) -> str:
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
-    """The replacement of a value at an attempt; never the value itself."""
+    """The replacement of a value at an attempt; never the value itself.
+
+    From attempt ``SHAPED`` on it is longer by a character an attempt; an IP
+    address may have octets of any length, and 16 attempts later it is one of version 6.
+    """
+    more = max(0, attempt - SHAPED + 1)
     for extra in range(64):
         draw = _Draw(key, kind, value, attempt, extra)
         if kind == "email":
             local, _, host = value.partition("@")
             labels = host.split(".")
-            new = _shaped(local, draw) + "@" + ".".join([_shaped(x, draw) for x in labels[:-1]] + labels[-1:])
+            new = _shaped(local + "x" * more, draw) + "@" + ".".join([_shaped(x, draw) for x in labels[:-1]] + labels[-1:])
         elif kind == "ip":
             spans = {1: (1, 9), 2: (10, 99), 3: (100, 254)}
-            new = ".".join(str(lo + draw.below(hi - lo + 1)) for lo, hi in (spans[min(3, len(x))] for x in value.split(".")))
+            if more > 16:
+                new = "2001:db8:" + ":".join(f"{draw.below(1 << 16):x}" for _ in range(6))
+            else:
+                octets = value.split(".")
+                drawn = [(1, 254) if more else spans[min(3, len(x))] for x in octets]
+                new = ".".join("".join(_digit(x[0], int(d)) for d in str(lo + draw.below(hi - lo + 1)))
+                               for x, (lo, hi) in zip(octets, drawn, strict=True))
         elif kind == "card":
-            new = _shaped(value, draw, keep_digits=1)
-            was = [int(c) for c in value if c.isdigit()]
-            now = [int(c) for c in new if c.isdigit()]
+            new = _shaped(value + value[-1] * more, draw, keep_digits=1)
+            was = [int(c) for c in value if c.isdecimal()]
+            now = [int(c) for c in new if c.isdecimal()]
             if _luhn(was) == 0:
-                now[-1] = (now[-1] - _luhn(now)) % 10
-                new = new[:-1] + str(now[-1])
+                new = new[:-1] + _digit(new[-1], (now[-1] - _luhn(now)) % 10)
         elif kind == "phone":
             code = re.match(r"\+(\d{1,3})", value)
-            new = _shaped(value, draw, keep_digits=len(code[1]) if code and not value[1:].isdigit() else 0)
+            new = _shaped(value + value[-1] * more, draw, keep_digits=len(code[1]) if code and not value[1:].isdigit() else 0)
         elif kind.startswith("given_") or kind == "family":
             script, sex = script_of(value), kind[6:] if kind != "family" else "n"
             parts = _SYLLABLES[script]
@@ -151,21 +174,21 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
             new = "".join(parts[draw.below(len(parts))] for _ in range(n)) + _ENDS[script][sex][draw.below(3)]
             new = new.upper() if value.isupper() and len(value) > 1 else new.capitalize()
         else:
-            new = _shaped(value, draw)
+            new = _shaped(value + value[-1] * more, draw)
         if new != value:
             return new
     return new
 
 
-def mapping(values: DataFrame, key: bytes, attempts: int = 64) -> DataFrame:
+def mapping(values: DataFrame, key: bytes) -> DataFrame:
     """Distinct ``values(kind, value)`` -> ``(kind, value, new)``; no two values of a kind share a ``new``.
 
     Nor is any ``new`` a value of its kind in the input. A value that collides tries the next
-    attempt, so the rounds end when none does.
+    attempt, so the rounds end when none does; the space of the draws grows without bound.
     """
     real = values.select("kind", F.col("value").alias("new"))
     pending, done = values.select("kind", "value"), None
-    for attempt in range(attempts):
+    for attempt in itertools.count():
 
         def batch(b: pa.RecordBatch, attempt: int = attempt) -> pa.RecordBatch:
             new = [surrogate(key, k, v, attempt) for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
@@ -180,7 +203,6 @@ def mapping(values: DataFrame, key: bytes, attempts: int = 64) -> DataFrame:
         pending = written(tried.join(good, ["kind", "value"], "left_anti").select("kind", "value"), "pending")
         if pending.isEmpty():
             return done
-    raise ValueError(f"values left without a distinct replacement after {attempts} attempts")
 
 
 _MENTIONS = "array<struct<a:int,b:int,kind:string,value:string>>"

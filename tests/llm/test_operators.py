@@ -82,6 +82,26 @@ def test_pii_collisions_are_resolved(spark):
 
 
 # 2 -----------------------------------------------------------------------------------------------
+def test_pii_digits_of_every_script(spark):
+    rows = [(1, "call +٩٦٦ ٥٥ ١٢٣ ٤٥٦٧"), (2, "host ١.٢.٣.٤ is up"), (3, "१२३-४५-६७८९")]
+    out = by_id(pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), b"k"))
+    for i, text in rows:
+        assert out[i]["n_entities"] == 1 and out[i]["text"] != text
+    assert out[1]["text"].startswith("call +٩٦٦ ") and re.fullmatch(r"call \+٩٦٦ [٠-٩]{2} [٠-٩]{3} [٠-٩]{4}", out[1]["text"])
+    assert re.fullmatch(r"host [٠-٩](\.[٠-٩]){3} is up", out[2]["text"])
+    assert re.fullmatch(r"[०-९]{3}-[०-९]{2}-[०-९]{4}", out[3]["text"])
+
+
+def test_pii_exhausted_shapes_are_widened(spark):
+    ips = [f"{a}.{b}.{c}.{d}" for a in range(10) for b in range(10) for c in range(10) for d in range(10)]
+    values = [("ip", x) for x in ips] + [("email", f"{d}@x.io") for d in range(10)]
+    got = pii.mapping(spark.createDataFrame(values, "kind string, value string"), b"k").collect()
+    new = {(r["kind"], r["new"]) for r in got}
+    assert len(got) == len(new) == len(values) and not new & set(values)
+    kinds = {k: re.compile(p) for k, p in pii._PATTERNS}
+    assert all(kinds[k].fullmatch(v) for k, v in new)
+
+
 def plain_rules(text):
     words, lines = WORD.findall(text or ""), [x for x in (text or "").split("\n") if WORD.search(x)]
     windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
