@@ -1,13 +1,16 @@
 """PII surrogates: detected entities get keyed, type-consistent replacements.
 
 Entities: e-mail and IP addresses, phone, card and social security numbers, and
-names after an honorific. A replacement is drawn from a keyed hash of (type, value,
+names after one or more honorifics: any number of capitalised words and initials, and
+every other whole-word mention of those words in the same document (not of single letters).
+A replacement is drawn from a keyed hash of (type, value,
 attempt): digits stay digits (a valid card number stays valid, an octet
 keeps its length), letters stay letters of the same case and script, separators,
 country codes and top-level domains stay, names become names of the
 honorific's gender in the same script. The same value always gets the
 same replacement, across all documents (coreference; the parts of a name are
-entities of their own, so "Mr. Roe" and "Mr. Al Roe" agree).
+entities of their own, so "Mr. Roe" and "Mr. Al Roe" agree). An initial becomes
+another letter of its alphabet, the same one everywhere.
 
 Distinct values must get distinct replacements. All distinct values are
 grouped, and a value whose replacement is a real value of the table, or is
@@ -25,6 +28,7 @@ import itertools
 import re
 import sys
 import unicodedata
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,7 +39,10 @@ from strata.llm.common import map_batches, written
 _WOMEN = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Mme", "Madame", "Mlle", "Г-жа", "Κα")
 _MEN = ("Mr", "Herr", "Señor", "Sr", "Monsieur", "Г-н", "Κος")
 _ANY = ("Dr", "Prof", "Mx")
-_CAP = r"[^\W\d_]\w*(?:[-'’][^\W\d_]\w*)*"
+_TITLE = "|".join(_WOMEN + _MEN + _ANY)
+_UPPER = "[" + "".join(c for c in map(chr, range(sys.maxunicode)) if c.isupper() and c.isalpha()) + "]"
+_CAP = rf"(?!(?:{_TITLE})\b){_UPPER}\w*(?:[-'’][^\W\d_]\w*)*"
+_PART = rf"(?:{_UPPER}\.|{_CAP})"
 _PATTERNS = (
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
     ("ip", r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"),
@@ -43,14 +50,13 @@ _PATTERNS = (
     ("card", r"(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d-])"),
     ("phone", r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
               r"|(?<!\d)(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)"),
-    ("name", rf"\b(?P<title>{'|'.join(_WOMEN + _MEN + _ANY)})(?:\.[ ]?|[ ])(?P<who>{_CAP}(?:[ ]{_CAP})?)"),
+    ("name", rf"\b(?P<titles>(?:(?:{_TITLE})(?:\.[ ]?|[ ]))+)(?P<who>{_PART}(?:(?:[ ]|(?<=\.)){_PART})*)"),
 )
 _ALL = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS))
-#: The decimal digits of every script, as ``\\d`` of Python has them and ``\\d`` of Java has not.
-_DIGIT = "[" + "".join(f"\\x{{{z:x}}}-\\x{{{z + 9:x}}}" for z in range(sys.maxunicode)
-                       if unicodedata.decimal(chr(z), -1) == 0) + "]"
+#: The decimal digits of every script; the ranges hold those that are newer than Java's tables.
+_DIGIT = r"[\p{Nd}\x{10D30}-\x{11F59}\x{16AC0}-\x{16AC9}\x{1E140}-\x{1E4F9}\x{1FBF0}-\x{1FBF9}]"
 #: Texts without a match of this (in Java's syntax) have no entity.
-MAY_HOLD = rf"@|{_DIGIT}{{2}}|{_DIGIT}\.{_DIGIT}|" + "|".join(_WOMEN + _MEN + _ANY)
+MAY_HOLD = rf"@|{_DIGIT}\.?{_DIGIT}|" + "|".join(_WOMEN + _MEN + _ANY)
 #: Attempts that keep the shape of a value.
 SHAPED = 16
 
@@ -70,27 +76,62 @@ _ENDS = {
 }
 
 
+_INITIALS = {"latin": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ",
+             "greek": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"}
+
+
 def script_of(word: str) -> str:
     kinds = [unicodedata.name(c, "").split(" ")[0].lower() for c in word if c.isalpha()]
     return max(_SYLLABLES, key=lambda s: (kinds.count(s), s == "latin"))
 
 
-def detect(text: str) -> list[tuple[int, int, str, str]]:
-    """``(start, end, type, value)`` in order; the parts of a name are ``given_w``, ``given_m``, ``given_n`` or ``family``."""
-    out = []
+_NAME_PART = re.compile(rf"{_UPPER}\.|[^\s.]+")
+_WORD = re.compile(r"\b[^\W\d_]\w*")
+_OWNER = re.compile(r"['’]s$")
+
+
+def _entities(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """The entities that the patterns find, in order."""
     for m in _ALL.finditer(text):
         kind = next(k for k, _ in _PATTERNS if m[k] is not None)
         if kind != "name":
-            out.append((m.start(), m.end(), kind, m[0]))
+            yield m.start(), m.end(), kind, m[0]
             continue
-        parts = [(p.start() + m.start("who"), p.end() + m.start("who"), p[0]) for p in re.finditer(r"\S+", m["who"])]
-        if not parts[0][2][0].isupper():
+        titles = re.findall(_TITLE, m["titles"])
+        sex = next(("w" if t in _WOMEN else "m" for t in titles if t not in _ANY), "n")
+        parts = [(p.start() + m.start("who"), _OWNER.sub("", p[0])) for p in _NAME_PART.finditer(m["who"])]
+        for k, (a, w) in enumerate(parts):
+            if w[1:] == ".":
+                yield a, a + 1, "initial", w[0]
+            else:
+                yield a, a + len(w), "family" if k == len(parts) - 1 else f"given_{sex}", w
+
+
+def detect(text: str) -> list[tuple[int, int, str, str]]:
+    """``(start, end, type, value)`` in order; the parts of a name are ``given_w``, ``given_m``, ``given_n``, ``family`` or ``initial``.
+
+    Further mentions of the parts (but of single letters) have the type of the first one.
+    """
+    out = list(_entities(text))
+    names: dict[str, str] = {}
+    for _, _, kind, w in out:
+        if (kind == "family" or kind.startswith("given_")) and len(w) > 1:
+            names.setdefault(w, kind)
+    if not names:
+        return out
+    taken, more, i, done = [x[:2] for x in out], [], 0, 0
+    words = list(_WORD.finditer(text))
+    longest = max(len(_WORD.findall(w)) for w in names)
+    for k, m in enumerate(words):
+        if m.start() < done:
             continue
-        parts = [p for p in parts if p[2][0].isupper()]
-        sex = "w" if m["title"] in _WOMEN else "m" if m["title"] in _MEN else "n"
-        for k, (a, b, w) in enumerate(parts):
-            out.append((a, b, f"given_{sex}" if len(parts) > 1 and k == 0 else "family", w))
-    return out
+        end = next((w.end() for w in reversed(words[k:k + longest]) if text[m.start():w.end()] in names), 0)
+        while i < len(taken) and taken[i][1] <= m.start():
+            i += 1
+        if end and (i == len(taken) or end <= taken[i][0]):
+            more.append((m.start(), end, names[text[m.start():end]], text[m.start():end]))
+            done = end
+    return sorted(out + more)
 
 
 class _Draw:
@@ -167,6 +208,10 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         elif kind == "phone":
             code = re.match(r"\+(\d{1,3})", value)
             new = _shaped(value + value[-1] * more, draw, keep_digits=len(code[1]) if code and not value[1:].isdigit() else 0)
+        elif kind == "initial":
+            letters = _INITIALS[script_of(value)]
+            turn = 1 + _Draw(key, kind, letters).below(len(letters) - 1)
+            new = letters[(letters.find(value) + turn) % len(letters)]
         elif kind.startswith("given_") or kind == "family":
             script, sex = script_of(value), kind[6:] if kind != "family" else "n"
             parts = _SYLLABLES[script]
@@ -220,7 +265,7 @@ def replace(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str =
 
     @F.pandas_udf("boolean")
     def holds(t):
-        return t.map(lambda s: bool(detect(s)))
+        return t.map(lambda s: s is not None and next(_entities(s), None) is not None)
 
     def found(b: pa.RecordBatch) -> pa.RecordBatch:
         rows = [detect(t) for t in b.column(1).to_pylist()]
@@ -232,7 +277,14 @@ def replace(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str =
     held = written(map_batches(src.filter(may), found, f"doc_id long, text string, mentions {_MENTIONS}")
                    .withColumn("rid", F.monotonically_increasing_id()), "held")
     each = held.select("rid", F.explode("mentions").alias("m")).select("rid", "m.*")
-    new = mapping(written(each.select("kind", "value").distinct(), "values"), key)
+    values = written(each.select("kind", "value").distinct(), "values")
+
+    def letters(b: pa.RecordBatch) -> pa.RecordBatch:
+        new = [surrogate(key, "initial", v) for v in b.column(1).to_pylist()]
+        return pa.record_batch({"kind": b.column(0), "value": b.column(1), "new": pa.array(new, pa.string())})
+
+    initials = map_batches(values.filter("kind = 'initial'"), letters, "kind string, value string, new string")
+    new = mapping(values.filter("kind != 'initial'"), key).unionByName(initials)
     edits = (each.join(new, ["kind", "value"]).groupBy("rid")
              .agg(F.array_sort(F.collect_list(F.struct("a", "b", "kind", "new"))).alias("edits")))
 
@@ -251,5 +303,5 @@ def replace(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str =
 
     edited = map_batches(held.select("rid", "doc_id", "text").join(edits, "rid").select("doc_id", "text", "edits"),
                          changed, "doc_id long, text string, n_entities long, entities string")
-    none = src.filter(~may).unionByName(src.filter(may).filter(~holds(F.col("text"))))
+    none = src.filter(~holds(F.when(may, F.col("text"))))
     return edited.unionByName(none.withColumns({"n_entities": F.lit(0).cast("long"), "entities": F.lit("")}))

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -13,6 +14,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 
 from strata.llm import bpe, common, components, lm, packing, pii, quality, rollups, rules, secrets, simhash, vectors
 from strata.llm.queries import BPE_JSON, BPE_RANKS, QUERIES, vocabulary
@@ -92,6 +94,11 @@ def test_pii_digits_of_every_script(spark):
     assert re.fullmatch(r"[०-९]{3}-[०-९]{2}-[०-९]{4}", out[3]["text"])
 
 
+def test_pii_prefilter_knows_every_digit(spark):
+    rows = [(c + c,) for c in map(chr, range(sys.maxunicode)) if c.isdecimal()]
+    assert spark.createDataFrame(rows, "t string").filter(~F.col("t").rlike(pii.MAY_HOLD)).count() == 0
+
+
 def test_pii_exhausted_shapes_are_widened(spark):
     ips = [f"{a}.{b}.{c}.{d}" for a in range(10) for b in range(10) for c in range(10) for d in range(10)]
     values = [("ip", x) for x in ips] + [("email", f"{d}@x.io") for d in range(10)]
@@ -102,6 +109,27 @@ def test_pii_exhausted_shapes_are_widened(spark):
     assert all(kinds[k].fullmatch(v) for k, v in new)
 
 
+@pytest.mark.parametrize("text,parts", [
+    ("Mr. John Paul Smith left", "John Paul Smith"), ("Dr. Anna Maria Schmidt, Bonn", "Anna Maria Schmidt"),
+    ("Mr. J. Smith", "J Smith"), ("Mr. J.R. Smith", "J R Smith"), ("Herr Dr. Braun sagt", "Braun"),
+    ("Prof. Dr. Müller", "Müller"), ("Mr. Smith Mrs. Jones", "Smith Jones"), ("Mr. Smith's car. Then", "Smith"),
+    ("Mrs. Anna Smith called. Smith said: Smith's, Anna-Lena, Smithson, smith", "Anna Smith Smith Smith Anna"),
+    ("Smith-Jones met Ms. Smith-Jones and O'Hara, Mr. O'Hara.", "Smith-Jones Smith-Jones O'Hara O'Hara"),
+    ("Г-жа Анна Петрова пришла. Петрова ушла", "Анна Петрова Петрова"), ("Mr. who knows", ""),
+    ("Mr. Smith wrote to Smith@mail.example.com", "Smith Smith@mail.example.com"),
+])
+def test_pii_whole_names(text, parts):
+    found = pii.detect(text)
+    assert " ".join(v for *_, v in found) == parts and all(text[a:b] == v for a, b, _, v in found)
+
+
+def test_pii_mentions_agree_with_their_name(spark):
+    text = "Mrs. Anna Smith called. Smith said that J. was here with Dr. J. Anna Smith."
+    out = pii.replace(spark.createDataFrame([(1, text)], "doc_id long, text string"), b"k").first()
+    m = re.fullmatch(r"Mrs\. (\w+) (\w+) called\. (\w+) said that J\. was here with Dr\. ([A-Z])\. (\w+) (\w+)\.", out["text"])
+    assert m and m[2] == m[3] == m[6] != "Smith" and m[4] != "J" and "Anna" not in out["text"] and out["n_entities"] == 6
+
+
 def plain_rules(text):
     words, lines = WORD.findall(text or ""), [x for x in (text or "").split("\n") if WORD.search(x)]
     windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
