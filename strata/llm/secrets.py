@@ -49,6 +49,7 @@ _PAIR = re.compile(
     rb"(?P<value>(?:" + _VALUE + rb")(?:[\x20\t]*\+[\x20\t]*(?:" + _VALUE + rb"))*))")
 _PART = re.compile(_VALUE)
 _WORDS = re.compile(rb"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+_TEMPLATE = re.compile(rb"\$\{" + _NAME + rb"\}")
 _REF_NAME = re.compile(rb"(" + _NAME + rb")[\"'\])}]*$")
 
 
@@ -87,7 +88,7 @@ def literals(text: bytes) -> list[tuple[int, int]]:
                 inner = v[1:-1]
                 if inner[:1] == b"$" and (r := _REF_NAME.search(inner)):
                     refs.append(r[1])
-                else:
+                if not _TEMPLATE.fullmatch(inner):  # a string with $ is a literal if no such name is known
                     spans.append((part.start() + 1, part.end() - 1))
             elif (v[:1] == b"$" or re.match(_REF, v)) and (r := _REF_NAME.search(v)):
                 refs.append(r[1])
@@ -124,7 +125,7 @@ def literals(text: bytes) -> list[tuple[int, int]]:
 def scan(text: bytes) -> list[tuple[str, int, int]]:
     """``(kind, start, end)`` of all spans in code points, by start and then kind.
 
-    A literal that overlaps a base span is left out: the base one stands for it.
+    A literal that lies within one base span is left out: the base one stands for it.
     """
     low = text.lower()
     spans = []
@@ -136,7 +137,7 @@ def scan(text: bytes) -> list[tuple[str, int, int]]:
     if b"=" in text or b":" in text or b"</" in text:
         if any(k in low for k in SENSITIVE):
             base = list(spans)
-            spans += [("literal", a, b) for a, b in literals(text) if not any(x < b and a < y for _, x, y in base)]
+            spans += [("literal", a, b) for a, b in literals(text) if not any(x <= a and b <= y for _, x, y in base)]
     if not spans:
         return []
     if not text.isascii():

@@ -387,11 +387,20 @@ def test_secret_base_spans(spark, docs, odd_docs, no_docs):
     ("<privateKey>Mn4Bv7Cx1Za8</privateKey>", ["Mn4Bv7Cx1Za8"]),
     ('passphrase = "changeme-please1"', []), ("the key: a quiet word", []), ('color = "Qw8Er5Ty2Ui9Op"', []),
     ("a = b\nb = a\npwd = a", []),
+    ('password = "S3curePassw0rd!2024#prod"', ["S3curePassw0rd!2024#prod"]), ('password = "S3curePassw0rd2024"', []),
+    ('password = "$ecr3tP4ss!x9Q"', ["$ecr3tP4ss!x9Q"]), ('pwd = "$ecr3tP4ss9xQ"', ["$ecr3tP4ss9xQ"]),
+    ("passwd: '$2b$12$Q9vR7kLmZx3NpT5wYb8HcuD1'", ["$2b$12$Q9vR7kLmZx3NpT5wYb8HcuD1"]),
+    ('a = "Zx81Cv72Bn63"\npwd = "$a"', ["Zx81Cv72Bn63"]), ('pwd = "${DB_PASSWORD_1}"', []),
 ])
 def test_literals_by_name(text, found):
     assert [text[a:b] for k, a, b in secrets.scan(text.encode()) if k == "literal"] == found
 
 
+def test_redaction_leaves_no_tail():
+    assert secrets.masked('password = "S3curePassw0rd!2024#prod" # x') == '[SECRET]" # x'
+    assert secrets.masked('password = "$ecr3tP4ss!x9Q"') == 'password = "[SECRET]"'
+
+
 def test_redaction(spark, odd_docs):
     df = spark.createDataFrame([(1, "é token=abcdefghijklmnop end", 27), (2, "plain", 5), (3, None, None)],
                                "doc_id long, text string, n_chars int")
