@@ -76,7 +76,7 @@ class Rollup:
         if self.committed(batch):
             return False
         (deltas.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-         .coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch}"))
+         .write.mode("overwrite").parquet(f"{self.path}/batch={batch}"))
         return True
 
     def batches(self) -> list[str]:

@@ -473,6 +473,19 @@ def test_rollup_is_additive_and_idempotent(spark, docs, odd_docs):
     assert have() == want(first) and store.batches() == ["1", "2", "3", "4"]
 
 
+def test_rollup_batches_are_written_by_all_tasks(spark):
+    from strata.session import shared_dir
+
+    path = shared_dir(spark, f"llm/rollup-test-{random.random()}")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rollups.Rollup(spark, path).commit("1", spark.range(2000).selectExpr(
+            "cast(id as string) source", "'en' lang", "'a' version", "1L docs", "id tokens"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(spark.read.parquet(f"{path}/batch=1").inputFiles()) > 1
+
+
 # 9 -----------------------------------------------------------------------------------------------
 def test_lm_counts_and_probabilities(spark, docs, odd_docs, no_docs):
     for source in (docs, odd_docs):
