@@ -80,21 +80,24 @@ class Model:
 
 
 def fit_pu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 800, rate: float = 0.03,
-           decay: float = 1e-4) -> Model:
-    """Non-negative risk minimisation by Adam over all given rows."""
+           decay: float = 1e-4, pos_n: np.ndarray | None = None, unl_n: np.ndarray | None = None) -> Model:
+    """Non-negative risk minimisation by Adam over all given rows, each as often as ``pos_n`` and ``unl_n`` say (once if None)."""
+    np_, nu = (np.ones(len(x)) if n is None else n for x, n in ((pos, pos_n), (unl, unl_n)))
     if not len(pos) or not len(unl):
-        return Model(np.zeros(N_STATS), np.ones(N_STATS), np.zeros(N_STATS), 0.0, prior, len(pos), len(unl))
-    mean, scale = unl.mean(axis=0), np.maximum(unl.std(axis=0), 1e-3)
+        return Model(np.zeros(N_STATS), np.ones(N_STATS), np.zeros(N_STATS), 0.0, prior, int(np_.sum()), int(nu.sum()))
+    wp, wu = np_ / np_.sum(), nu / nu.sum()
+    mean = wu @ unl
+    scale = np.maximum(np.sqrt(wu @ (unl - mean) ** 2), 1e-3)
     p, u = (np.clip((x - mean) / scale, -6, 6) for x in (pos, unl))
     w, b = np.zeros(N_STATS), np.log(prior / (1 - prior))
     m, v = np.zeros(N_STATS + 1), np.zeros(N_STATS + 1)
     sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     for k in range(1, steps + 1):
         zp, zu = p @ w + b, u @ w + b
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        negative = wu @ np.logaddexp(0, zu) - prior * (wp @ np.logaddexp(0, zp))
         # derivatives of the loss by the margin, averaged
-        up = prior * (sig(zp) - 1) / len(p)
-        un_u, un_p = sig(zu) / len(u), -prior * sig(zp) / len(p)
+        up = prior * (sig(zp) - 1) * wp
+        un_u, un_p = sig(zu) * wu, -prior * sig(zp) * wp
         if negative >= 0:
             gp, gu = up + un_p, un_u
         else:
@@ -103,7 +106,7 @@ def fit_pu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 800, rat
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.999 ** k)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
-    return Model(mean, scale, w, float(b), prior, len(pos), len(unl))
+    return Model(mean, scale, w, float(b), prior, int(np_.sum()), int(nu.sum()))
 
 
 def _sample(rows: DataFrame, n: int) -> list[int]:
@@ -111,16 +114,18 @@ def _sample(rows: DataFrame, n: int) -> list[int]:
     return [r["id"] for r in rows.select("id").distinct().orderBy(F.xxhash64("id", F.lit(7)), "id").limit(n).collect()]
 
 
-def _stats_of(docs: DataFrame, ids: list[int]) -> np.ndarray:
+def _stats_of(docs: DataFrame, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Statistics of the rows with these ids, equal ones of an id as one, and how many rows each stands for."""
     if not ids:
-        return np.empty((0, N_STATS))
+        return np.empty((0, N_STATS)), np.empty(0)
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.record_batch({"x": pa.array([statistics(t) for t in raw_texts(b, "text")], pa.list_(pa.float64()))})
+        return pa.record_batch({"id": b.column(0), "x": pa.array([statistics(t) for t in raw_texts(b, "text")], pa.list_(pa.float64()))})
 
     own = docs.sparkSession.createDataFrame([(i,) for i in ids], "id long")  # at most FIT_ROWS ids
-    rows = map_batches(docs.join(F.broadcast(own), "id").select("text"), batch, "x array<double>").collect()
-    return np.array([r["x"] for r in rows]).reshape(-1, N_STATS)
+    rows = (map_batches(docs.join(F.broadcast(own), "id").select("id", "text"), batch, "id long, x array<double>")
+            .groupBy("id", "x").agg(F.count("*").alias("n")).collect())
+    return np.array([r["x"] for r in rows]).reshape(-1, N_STATS), np.array([r["n"] for r in rows], dtype=np.float64)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -138,7 +143,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     prior = min(max((ones or 0) / n, 0.01), 0.99) if n else 0.5
     pos = _sample(marks.filter("y = 1"), fit_rows)
     unl = _sample(rows.select("id").filter(F.col("id").isNotNull() & learn), fit_rows)
-    return fit_pu(_stats_of(rows, pos), _stats_of(rows, unl), prior)
+    (p, pos_n), (u, unl_n) = _stats_of(rows, pos), _stats_of(rows, unl)
+    return fit_pu(p, u, prior, pos_n=pos_n, unl_n=unl_n)
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:

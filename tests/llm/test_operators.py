@@ -533,6 +533,19 @@ def test_quality_classifier_separates_held_out_rows(spark, docs, odd_docs, no_do
     assert {r["score"] for r in empty} == {0.5} and {r["predicted"] for r in empty} == {1}
 
 
+def test_repeated_rows_reach_the_fit_once_with_their_number(spark):
+    rows = [(1, "one text, many rows")] * 500 + [(1, "another text of the id")] * 3 + [(2, "plain words here")]
+    x, n = quality._stats_of(spark.createDataFrame(rows, "id long, text string"), [1, 2])
+    assert x.shape == (3, quality.N_STATS) and sorted(n) == [1, 3, 500]
+    r = np.random.default_rng(3)
+    p, u = r.random((5, quality.N_STATS)), r.random((7, quality.N_STATS))
+    k, m = r.integers(1, 4, 5), r.integers(1, 4, 7)
+    a = quality.fit_pu(p, u, 0.4, pos_n=k, unl_n=m)
+    b = quality.fit_pu(np.repeat(p, k, axis=0), np.repeat(u, m, axis=0), 0.4)
+    assert np.allclose(a.weight, b.weight, atol=1e-6) and abs(a.bias - b.bias) < 1e-6
+    assert (a.positives, a.unlabelled) == (b.positives, b.unlabelled)
+
+
 def test_non_negative_risk_from_positives_only():
     r = np.random.default_rng(3)
     pos, neg = r.normal(1, 1, (400, quality.N_STATS)), r.normal(-1, 1, (200, quality.N_STATS))
