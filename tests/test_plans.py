@@ -36,3 +36,18 @@ def test_filter_reaches_scan(spark):
     text = plan(read_table(spark, SF, "orders").where(F.col("o_totalprice") > 180000).select("o_orderkey"))
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,180000.0)]" in text
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in text
+
+
+def test_compare_models_validates_every_model_on_all_folds(spark, monkeypatch):
+    from strata.plans import q_train
+
+    held = []
+
+    def one(name, make_estimator, train, test, n_features, cv_folds=None):
+        held.append((name, cv_folds))
+        return {"model": name, "cv_f1_mean": 0.0, "f1": 0.0}, None
+
+    monkeypatch.setattr(q_train, "model_frame", lambda spark, sf: (None, None))
+    monkeypatch.setattr(q_train.M, "evaluate_model", one)
+    q_train.q_compare_models(spark, SF)
+    assert held == [("logistic", None), ("random_forest", None), ("gradient_boosting", None)]
