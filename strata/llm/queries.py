@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, lm, packing, pii, quality, rollups, rules, secrets, simhash, vectors
+from strata.llm import (
+    bpe, lm, packing, periodic, phrases, pii, quality, rollups, rules, secrets, sharding, simhash, vectors)
 from strata.llm.common import table, written
 from strata.session import shared_dir
 
@@ -74,9 +75,23 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.detect(table(spark, sf_dir, "documents"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pii_surrogates, op2_quality_rules, op3_best_fit_packing, op4_bpe_transducer, op5_simhash_near_dedup,
-        op6_secret_scan, op7_embedding_near_dedup, op8_token_rollups, op9_lm_scoring, op10_quality_classifier)}
+        op6_secret_scan, op7_embedding_near_dedup, op8_token_rollups, op9_lm_scoring, op10_quality_classifier,
+        op11_phrase_collocations, op12_periodic_runs, op13_sharding)}
 
-ORACLE: dict[str, str] = {"op2_quality_rules": rules.ORACLE, "op7_embedding_near_dedup": vectors.ORACLE}
+ORACLE: dict[str, str] = {"op2_quality_rules": rules.ORACLE, "op7_embedding_near_dedup": vectors.ORACLE,
+                          "op11_phrase_collocations": phrases.ORACLE}
