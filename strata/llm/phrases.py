@@ -15,10 +15,11 @@ unary: nothing else passes it. Edges joined by such nodes are compacted into
 paths (by pointer doubling, all paths at once). Its nodes never occur outside
 the path, so none of them is a phrase of its own.
 
-A word with fewer than ``least`` occurrences is in no phrase of ``least``
-occurrences, so pieces are also cut at such words, which loses no phrase.
-Which words these are is told to the tasks by a bitmap of fixed size: a rare
-word that shares a bit with a frequent one is kept and only costs time.
+A word, or a pair of neighbours, with fewer than ``least`` occurrences is in
+no phrase of ``least`` occurrences, so pieces are also cut at such words and
+between such neighbours, which loses no phrase. Which ones are frequent is
+told to the tasks by bitmaps of fixed size over 64-bit hashes: a rare one that
+shares a bit with a frequent one is kept and only costs time.
 """
 
 from __future__ import annotations
@@ -38,8 +39,10 @@ from strata.llm.common import raw_texts, written
 LONGEST = 5
 LEAST = 100
 TOP = 2000
-BITS = 24  # the bitmap of frequent words has 2**BITS bits
+BITS = 24  # a bitmap of frequent words or pairs has 2**BITS bits
+TEXT_BYTES = 1 << 20  # text of a language taken at a time
 HELD = 200_000  # distinct grams that a task counts before it hands them on
+PAIRS = 4_000_000  # hashes of pairs that a task counts at a time
 ROWS_A_SALT = 100_000  # candidates ranked in one window
 #: floor(1000 * a * total / (l * r)) in 38 digits
 SCORE = ("(cast(a as decimal(18, 0)) * cast(total as decimal(18, 0)) * 1000) div "
@@ -48,9 +51,27 @@ SCORE = ("(cast(a as decimal(18, 0)) * cast(total as decimal(18, 0)) * 1000) div
 _ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 
 
-def _pieces(text: bytes) -> list[list[bytes]]:
-    """Words of each piece; A-Z in lower case."""
-    return [p.split() for p in text.lower().translate(_ENDS).split(b"\n")]
+def _flat(texts: list[bytes]) -> list[bytes | None]:
+    """The words of all pieces in a row, A-Z in lower case; None after each piece."""
+    out: list[bytes | None] = []
+    for piece in b"\n".join(texts).lower().translate(_ENDS).split(b"\n"):
+        out += piece.split()
+        out.append(None)
+    return out
+
+
+def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+    """Texts of one language at a time, ``TEXT_BYTES`` of them or one longer text."""
+    held: dict[str, list] = {}
+    for lang, text in zip(batch.column(0).to_pylist(), raw_texts(batch, "text"), strict=True):
+        own = held.setdefault(lang, [0])
+        own[0] += len(text)
+        own.append(text)
+        if own[0] >= TEXT_BYTES:
+            yield lang, own[1:]
+            del held[lang]
+    for lang, own in held.items():
+        yield lang, own[1:]
 
 
 def _langs(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -76,19 +97,14 @@ class _Counts:
 
 
 def _counted(docs: DataFrame, adder) -> DataFrame:
-    """``(lang, gram, n)``, every gram once; ``adder()(pieces, lang, counts)`` adds the grams of a text."""
+    """``(lang, gram, n)``, every gram once; ``adder()(lang, texts, counts)`` adds the grams of texts."""
 
     def run(batches):
         add, held = adder(), _Counts()
         for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), raw_texts(b, "text"), strict=True):
-                counts = held.of.get(lang)
-                if counts is None:
-                    counts = held.of[lang] = defaultdict(int)
-                add(_pieces(text), lang, counts)
-                if len(counts) >= HELD:
-                    yield from held.batches(HELD)
-            yield from held.batches(HELD)
+            for lang, texts in _by_lang(b):
+                add(lang, texts, held.of.setdefault(lang, defaultdict(int)))
+                yield from held.batches(HELD)
         yield from held.batches(1)
 
     return docs.mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -98,60 +114,111 @@ def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     """``(lang, gram, n)`` of single words."""
 
     def adder():
-        def add(pieces, lang, counts):
-            for p in pieces:
-                for w in p:
-                    counts[w] += 1
+        def add(lang, texts, counts):
+            for w in _flat(texts):
+                counts[w] += 1
+            del counts[None]
         return add
 
     return _counted(_langs(docs, text_col, lang_col), adder)
 
 
-def _bitmap(frequent: DataFrame) -> np.ndarray:
-    """Bits of the hashes of (lang, gram); at most 2**BITS / 64 rows come to the driver."""
-    at = F.shiftrightunsigned(F.xxhash64("lang", "gram"), 64 - BITS)
-    got = (frequent.select(at.alias("at")).select(
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """Bits at the upper ``BITS`` bits of ``h``; at most 2**BITS / 64 rows come to the driver."""
+    got = (hashes.select(F.shiftrightunsigned("h", 64 - BITS).alias("at")).select(
         F.shiftright("at", 6).alias("cell"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("mask"))
         .groupBy("cell").agg(F.expr("bit_or(mask)").alias("mask")).toArrow())
-    bits = np.zeros(1 << (BITS - 6), dtype=np.int64)
-    bits[got["cell"].to_numpy()] = got["mask"].to_numpy()
+    bits = np.zeros(1 << (BITS - 6), dtype=np.uint64)
+    bits[got["cell"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
     return bits
 
 
+def _is_set(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = h >> np.uint64(64 - BITS)
+    return (bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+class _Hashes(dict):
+    """Hash of each word of a language, 0 for a rare one and for the end of a piece."""
+
+    def __init__(self, lang: str, bits: np.ndarray) -> None:
+        super().__init__()
+        self.seed, self.bits = xxhash.xxh64_intdigest(lang.encode(), 42), bits
+
+    def __missing__(self, word: bytes | None) -> int:
+        h = 0 if word is None else xxhash.xxh64_intdigest(word, self.seed)
+        at = h >> 64 - BITS
+        if word is None or not int(self.bits[at >> 6]) >> (at & 63) & 1:
+            h = 0
+        if len(self) >= HELD:
+            self.clear()
+        self[word] = h
+        return h
+
+    def of(self, words: list[bytes | None]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def _pair_hashes(h: np.ndarray) -> np.ndarray:
+    x = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]
+    x ^= x >> np.uint64(32)
+    return x * np.uint64(0xD6E8FEB86659FD93)
+
+
+def _pairs(docs: DataFrame, words) -> DataFrame:
+    """``(h, n)`` of neighbouring frequent words; ``words``: the broadcast bitmap of those."""
+
+    def run(batches):
+        langs: dict[str, _Hashes] = {}
+        held: list[np.ndarray] = []
+
+        def out():
+            h, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.record_batch({"h": h.view(np.int64), "n": n.astype(np.int64)})
+
+        for b in batches:
+            for lang, texts in _by_lang(b):
+                h = langs.setdefault(lang, _Hashes(lang, words.value)).of(_flat(texts))
+                held.append(_pair_hashes(h)[(h[:-1] != 0) & (h[1:] != 0)])
+                if sum(map(len, held)) >= PAIRS:
+                    yield out()
+        if held:
+            yield out()
+
+    return docs.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
 def graph(docs: DataFrame, words: DataFrame, longest: int = LONGEST, least: int = LEAST, text_col: str = "text",
           lang_col: str = "lang") -> DataFrame:
     """``(lang, gram, n)``: the edges (grams of ``longest`` words) and the piece ends (the shorter grams)."""
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(words.filter(F.col("n") >= least)))
+    sc, src = docs.sparkSession.sparkContext, _langs(docs, text_col, lang_col)
+    many = F.col("n") >= least
+    frequent = sc.broadcast(_bitmap(words.filter(many).select(F.xxhash64("lang", "gram").alias("h"))))
+    pairs = sc.broadcast(_bitmap(_pairs(src, frequent).filter(many)))
 
     def adder():
-        cells, seeds, known, join = bits.value, {}, {}, b" ".join
-
-        def frequent(w, lang):
-            x = xxhash.xxh64_intdigest(w, seeds[lang]) >> 64 - BITS
-            return bool(int(cells[x >> 6]) >> (x & 63) & 1)
-
-        def add(pieces, lang, counts):
-            if lang not in seeds:
-                seeds[lang], known[lang] = xxhash.xxh64_intdigest(lang.encode(), 42), {}
-            own = known[lang]
-            if len(own) > HELD:
-                own.clear()
-            for p in pieces:
-                start = 0
-                for at, w in enumerate([*p, None]):
-                    keep = own.get(w)
-                    if keep is None:
-                        keep = own[w] = w is not None and frequent(w, lang)
-                    if not keep:
-                        if at > start:
-                            for i in range(start, at - longest + 1):
-                                counts[join(p[i:i + longest])] += 1
-                            counts[join(p[max(start, at - longest + 1):at])] += 1
-                        start = at + 1
+        langs: dict[str, _Hashes] = {}
+        join = b" ".join
+
+        def add(lang, texts, counts):
+            flat = _flat(texts)
+            h = langs.setdefault(lang, _Hashes(lang, frequent.value)).of(flat)
+            word = h != 0
+            link = np.zeros(len(h) + 1, dtype=bool)  # of a word to the one after it
+            link[1:-1] = word[:-1] & word[1:] & _is_set(pairs.value, _pair_hashes(h))
+            first, last = np.flatnonzero(word & ~link[:-1]), np.flatnonzero(word & ~link[1:])
+            for at in first[first == last].tolist():
+                counts[flat[at]] += 1
+            more = first < last
+            for start, end in zip(first[more].tolist(), (last[more] + 1).tolist(), strict=True):
+                for i in range(start, end - longest + 1):
+                    counts[join(flat[i:i + longest])] += 1
+                counts[join(flat[max(start, end - longest + 1):end])] += 1
 
         return add
 
-    return _counted(_langs(docs, text_col, lang_col), adder)
+    return _counted(src, adder)
 
 
 def _first(k: int) -> Column:
