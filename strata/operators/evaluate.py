@@ -1,4 +1,4 @@
-"""Evaluation of a scored table ``(id, label, score, pred, group...)``.
+"""Evaluation of a scored table ``(id, label, score, pred, group...)``.
 
 Curves and rank metrics go through per-distinct-score counts and the
 bucketed prefix sums of ``functions.ranks`` (never a window over all rows);
@@ -8,8 +8,6 @@ pass plus a reverse running sum over the 91 thresholds (not rows x 91).
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -246,81 +244,7 @@ def extreme_cases(df: DataFrame, label: str, pred: str, score: str, key: str) ->
         .alias("r")).select("case", "r.id", "r.score")
 
 
-# R4 / E14 ---------------------------------------------------------------------------------
-def _score_bins(df: DataFrame, score: str, max_bins: int) -> Column:
-    """Bin of a score: exact distinct value order when the edges separate
-    every value, else quantile bins (cut points bounded by max_bins)."""
-    edges = exact_quantiles(df.select(score), score, [i / max_bins for i in range(1, max_bins)])
-    cuts = sorted({r["value"] for r in edges.collect()})  # at most max_bins - 1 values
-    return bucket_expr(F.col(score), cuts)
-
-
-def bootstrap_ci(df: DataFrame, label: str, scores: dict[str, str], n_boot: int = 1000,
-                 ci: float = 0.95, threshold: float = 0.5, seed: int = 42, max_bins: int = 64,
-                 partitions: int | None = None) -> DataFrame:
-    """Paired percentile bootstrap of accuracy / precision / recall / F1 /
-    AUC for several models scored on the same rows.
-
-    Resampling n rows with replacement is one multinomial draw over the
-    distinct joint cells (label, bin and prediction of every model): the
-    cell table is bounded (2 x (2 x max_bins)^k rows) no matter how many
-    rows are scored. Replicates run in parallel (``spark.range`` +
-    ``mapInPandas``, one generator per replicate id); one-class replicates
-    are dropped; AUC is computed on the score bins (exact while each bin
-    holds one distinct score)."""
-    spark = df.sparkSession
-    names = sorted(scores)
-    bins = {m: _score_bins(df, scores[m], max_bins) for m in names}
-    cells = (df.select(F.col(label).cast("int").alias("y"),
-                       *[bins[m].alias(f"b_{m}") for m in names],
-                       *[(F.col(scores[m]) >= threshold).cast("int").alias(f"p_{m}") for m in names])
-             .groupBy("y", *[f"b_{m}" for m in names], *[f"p_{m}" for m in names])
-             .agg(F.count(F.lit(1)).alias("n")))
-    pdf = cells.toPandas()  # bounded: 2 x (2 x max_bins)^k rows
-    counts = pdf["n"].to_numpy(dtype=np.int64)
-    n_total = int(counts.sum())
-    probs = counts / n_total
-    y = pdf["y"].to_numpy()
-
-    def run(batches):
-        for b in batches:
-            out = []
-            for rep in b["id"].to_numpy():
-                rng = np.random.default_rng([seed, int(rep)])
-                w = rng.multinomial(n_total, probs)
-                pos = (w * (y == 1)).sum()
-                if pos == 0 or pos == n_total:
-                    continue
-                for m in names:
-                    pm = pdf[f"p_{m}"].to_numpy()
-                    tp = (w * ((pm == 1) & (y == 1))).sum()
-                    fp = (w * ((pm == 1) & (y == 0))).sum()
-                    fn = (w * ((pm == 0) & (y == 1))).sum()
-                    tn = n_total - tp - fp - fn
-                    prec = tp / (tp + fp) if tp + fp else 0.0
-                    rec = tp / (tp + fn) if tp + fn else 0.0
-                    f1 = 2 * prec * rec / (prec + rec) if prec + rec else 0.0
-                    bm = pdf[f"b_{m}"].to_numpy()
-                    nb = bm.max() + 1
-                    pos_b = np.bincount(bm, weights=w * (y == 1), minlength=nb)
-                    neg_b = np.bincount(bm, weights=w * (y == 0), minlength=nb)
-                    below = np.cumsum(neg_b) - neg_b
-                    u = float((pos_b * (below + 0.5 * neg_b)).sum())
-                    auc = u / (pos * (n_total - pos))
-                    for metric, v in (("accuracy", (tp + tn) / n_total), ("precision", prec),
-                                      ("recall", rec), ("f1", f1), ("roc_auc", auc)):
-                        out.append((int(rep), m, metric, float(v)))
-            yield pd.DataFrame(out, columns=["replicate", "model", "metric", "value"])
-
-    parts = partitions or max(1, min(64, n_boot // 50))
-    reps = spark.range(0, n_boot, 1, parts).mapInPandas(
-        run, "replicate long, model string, metric string, value double")
-    alpha = (1 - ci) / 2
-    return (reps.groupBy("model", "metric")
-            .agg(F.percentile("value", alpha).alias("lower"), F.percentile("value", 1 - alpha).alias("upper"),
-                 F.count(F.lit(1)).alias("n_valid")))
-
-
+# E14 --------------------------------------------------------------------------------------
 def metric_intervals(point: DataFrame, intervals: DataFrame) -> DataFrame:
     """Point metric with clipped lower / upper error bars and width.
     ``point``: (model, metric, value); ``intervals``: bootstrap output."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata.operators import bootstrap as B
 from strata.operators import evaluate as E
 from strata.plans.catalog import register
 from strata.plans.fixtures import oracle_with, scored
@@ -214,19 +215,32 @@ def q_extreme_cases(spark, sf):
     return E.extreme_cases(sp(spark, sf), "label", "pred", "score", "id")
 
 
+def four_models(spark, sf):
+    """The two fixture scores and two blends of them."""
+    a, b = F.col("score"), F.col("score_b")
+    return scored(spark, sf).withColumns({"score_c": (a + b) / 2, "score_d": F.greatest(a, b)}), {
+        "model_a": "score", "model_b": "score_b", "model_c": "score_c", "model_d": "score_d"}
+
+
 @register("bootstrap_ci")
 def q_bootstrap_ci(spark, sf):
-    """Paired bootstrap intervals of two models on the same rows (rows-only)."""
-    return E.bootstrap_ci(scored(spark, sf), "label", {"model_a": "score", "model_b": "score_b"}, n_boot=1000)
+    """Paired bootstrap intervals of four models on the same rows, AUC on the scores (rows-only)."""
+    df, models = four_models(spark, sf)
+    return B.bootstrap_ci(df, "label", models)
 
 
 @register("metric_intervals")
 def q_metric_intervals(spark, sf):
     """Point metrics with clipped bootstrap error bars (rows-only)."""
-    df = scored(spark, sf)
-    models = {"model_a": "score", "model_b": "score_b"}
-    return E.metric_intervals(E.long_metrics(df, "label", models),
-                              E.bootstrap_ci(df, "label", models, n_boot=1000))
+    df, models = four_models(spark, sf)
+    return E.metric_intervals(E.long_metrics(df, "label", models), B.bootstrap_ci(df, "label", models))
+
+
+@register("paired_difference")
+def q_paired_difference(spark, sf):
+    """Intervals of each model's advantage over the first one in the same replicates (rows-only)."""
+    df, models = four_models(spark, sf)
+    return B.paired_difference(B.bootstrap_values(df, "label", models), "model_a")
 
 
 @register("paired_predictions", S + """

@@ -70,11 +70,12 @@ def test_smooth_rate_in_unit_interval(spark):
 
 
 def test_bootstrap_interval_contains_point(spark):
+    from strata.operators import bootstrap as B
     from strata.operators import evaluate as E
     from strata.plans.fixtures import scored
     df = scored(spark, SF001)
     ci = {(r["model"], r["metric"]): r for r in
-          E.bootstrap_ci(df, "label", {"a": "score"}, n_boot=200).collect()}
+          B.bootstrap_ci(df, "label", {"a": "score"}, n_boot=200).collect()}
     pt = {r["metric"]: r["value"] for r in E.long_metrics(df, "label", {"a": "score"}).collect()}
     for m in ("accuracy", "precision", "recall", "f1"):
         assert ci[("a", m)]["lower"] <= pt[m] <= ci[("a", m)]["upper"]
