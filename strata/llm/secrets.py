@@ -39,18 +39,20 @@ PLACEHOLDERS = (b"example", b"changeme", b"placeholder", b"your", b"dummy", b"xx
                 b"true", b"false", b"undefined", b"****", b"todo")
 THRESHOLD = 0.5
 
-_NAME = rb"[A-Za-z_][A-Za-z0-9_.\-]*"
+_NAME = rb"[A-Za-z_][A-Za-z0-9_.\-]*+"  # whole, so that a long run is read once
+_RUN = rb"(?<![A-Za-z0-9_.\-])[0-9.\-]*+"  # what may stand before a name in its run
 _STRING = rb"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`"
 _REF = rb"\$\{?" + _NAME + rb"\}?|(?:os\.)?(?:environ|env|getenv)[\[(.]\s*[\"']?" + _NAME + rb"[\"']?[\])]?"
 _VALUE = _STRING + rb"|" + _REF + rb"|[A-Za-z0-9+/_.=~!@%^&*-]+"
 _PAIR = re.compile(
     rb"(?:<(?P<tag>" + _NAME + rb")>(?P<body>[^<>\n]+)</|"
-    rb"(?P<quote>[\"']?)(?P<name>" + _NAME + rb")(?P=quote)\]?[\x20\t]*(?::=|=>|=(?!=)|:(?![:/]))[\x20\t]*"
+    rb"(?:(?P<quote>[\"'])(?P<quoted>" + _NAME + rb")(?P=quote)|" + _RUN + rb"(?P<name>" + _NAME + rb"))"
+    rb"\]?[\x20\t]*(?::=|=>|=(?!=)|:(?![:/]))[\x20\t]*"
     rb"(?P<value>(?:" + _VALUE + rb")(?:[\x20\t]*\+[\x20\t]*(?:" + _VALUE + rb"))*))")
 _PART = re.compile(_VALUE)
 _WORDS = re.compile(rb"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _TEMPLATE = re.compile(rb"\$\{" + _NAME + rb"\}")
-_REF_NAME = re.compile(rb"(" + _NAME + rb")[\"'\])}]*$")
+_REF_NAME = re.compile(_RUN + rb"(" + _NAME + rb")[\"'\])}]*$")
 
 
 def sensitivity(name: bytes) -> float:
@@ -61,15 +63,20 @@ def sensitivity(name: bytes) -> float:
 
 
 def randomness(literal: bytes) -> float:
-    """0 to 1, from length, character kinds and entropy; placeholders and plain words get 0."""
+    """0 to 1, from length, character kinds and entropy; placeholders and plain words get 0.
+
+    Several words with a digit among them (a passphrase) get half, so only the
+    most sensitive names make them secret; several words without one get 0.
+    """
     low, n = literal.lower(), len(literal)
-    if n < 8 or any(p in low for p in PLACEHOLDERS) or b" " in literal.strip():
+    phrase = b" " in literal.strip()
+    if n < 8 or any(p in low for p in PLACEHOLDERS) or phrase and not re.search(rb"[0-9]", literal):
         return 0.0
     kinds = sum(bool(re.search(p, literal)) for p in (rb"[a-z]", rb"[A-Z]", rb"[0-9]", rb"[^A-Za-z0-9]"))
     if kinds < 2 or not re.search(rb"[0-9]", literal) and kinds < 3:
         return 0.0
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
-    return min(1.0, entropy / 3.2) * min(1.0, n / 12)
+    return min(1.0, entropy / 3.2) * min(1.0, n / 12) * (0.5 if phrase else 1.0)
 
 
 def literals(text: bytes) -> list[tuple[int, int]]:
@@ -97,27 +104,31 @@ def literals(text: bytes) -> list[tuple[int, int]]:
                 spans.append(part.span())  # a bare word: a name if one is known, else a literal
             else:
                 spans.append(part.span())
-        pairs.append((m["name"], spans, refs))
+        pairs.append((m["name"] or m["quoted"], spans, refs))
     last = lambda name: name.rpartition(b".")[2]
     known: dict[bytes, list[int]] = {}
     for i, (name, _, _) in enumerate(pairs):
         known.setdefault(last(name), []).append(i)
     found: set[tuple[int, int]] = set()
-    for i, (name, _, _) in enumerate(pairs):
-        s = sensitivity(name)
-        if not s:
-            continue
-        todo, seen = [i], set()
+    score = [sensitivity(name) for name, _, _ in pairs]
+    seen, asked = set(), set()  # a pair, a name: met first from the most sensitive name that leads to it
+    for i in sorted((i for i, s in enumerate(score) if s), key=lambda i: -score[i]):
+        todo = [i]
         while todo:
             j = todo.pop()
             if j in seen:
                 continue
             seen.add(j)
             _, spans, refs = pairs[j]
-            to = [k for r in refs for k in known.get(last(r), []) if k != j]
-            todo += to
+            leads = False
+            for r in map(last, refs):
+                to = known.get(r, [])
+                leads |= len(to) > 1 or to not in ([], [j])
+                if r not in asked:
+                    asked.add(r)
+                    todo += to
             whole = b"".join(text[a:b] for a, b in spans)
-            if not (refs and to) and s * randomness(whole) >= THRESHOLD:
+            if not leads and score[i] * randomness(whole) >= THRESHOLD:
                 found.update(spans)
     return sorted(found)
 

@@ -4,12 +4,13 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 
-from strata.llm import common, periodic, phrases, sharding
+from strata.llm import common, periodic, phrases, secrets, sharding
 from tests.conftest import SF001
 
 ODD = [(0, None, None, "x", 1), (1, "", "en", "y", 2), (2, "one two", None, None, 3), (2, "one two", None, None, 3),
@@ -239,3 +240,24 @@ def test_shards_of_odd_rows_and_files(spark, odd, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(map(repr, back.select("doc_id", "text", "lang", "h", "keep").collect())) == sorted(
         map(repr, odd.withColumnRenamed("shard", "keep").collect()))
+
+
+# 6 -----------------------------------------------------------------------------------------------
+@pytest.mark.parametrize("run", [b"a" * 10**6, b"7" * 10**6, b"." * 10**6, b"a.b-" * 250_000, b"aGVsbG8/+" * 111_111,
+                                 b"password = password\n" * 50_000, b'"' * 10**6, b"a=" * 500_000,
+                                 b"password " + b" " * 10**6, b"password = $" + b"a" * 10**6 + b"!"])
+def test_secret_scan_reads_long_runs_once(run):
+    start = time.time()
+    secrets.scan(b"password: x " + run + b" token")
+    assert time.time() - start < 10  # hours if it grew with the square
+
+
+def test_secret_names_inside_runs_and_passphrases():
+    def found(text):
+        return [text[a:b] for k, a, b in secrets.scan(text) if k == "literal"]
+
+    assert found(b"--db-password: Zx9!kq7Lp2wQ") == [b"Zx9!kq7Lp2wQ"]
+    assert found(b'1.password = "Zx9!kq7Lp2wQ"; a = "Zx9!kq7Lp2wQ"') == [b"Zx9!kq7Lp2wQ"]
+    assert found(b'db_password: "correct horse battery staple 42"') == [b"correct horse battery staple 42"]
+    assert found(b'password: "please type it here"') == found(b'key: "chapter 12 of the book"') == []
+    assert found(b"password = a\na = b\nb = password\nb = 'Zx9!kq7Lp2wQ'") == [b"Zx9!kq7Lp2wQ"]
