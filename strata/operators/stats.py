@@ -11,6 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.information import knn_information
 from strata.functions.ranks import exact_quantiles, midranks
 from strata.functions.special import chi2_sf_udf, f_sf_udf, norm_sf2_udf, t_sf2_udf
 from strata.operators.profile import _long_numeric, contingency
@@ -310,26 +311,18 @@ def vif(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 # T18 --------------------------------------------------------------------------------------
-def mutual_information(df: DataFrame, discrete: list[str], continuous: list[str], label: str,
-                       bins: int = 10) -> DataFrame:
-    """MI (nats) of each feature with the label. Discrete features from their
-    cells; continuous ones after equal-width binning (documented deviation
-    from the k-nearest-neighbour estimator)."""
-    binned = df
-    for c in continuous:
-        x = F.col(c).cast("double")
-        rng = df.agg(F.min(x).alias(f"_lo_{c}"), F.max(x).alias(f"_hi_{c}"))
-        lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
-        b = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((x - lo) / ((hi - lo) / bins)), F.lit(bins - 1)))
-        binned = binned.crossJoin(F.broadcast(rng)).withColumn(c, b.cast("int")).drop(f"_lo_{c}", f"_hi_{c}")
-    cells = contingency(binned, discrete + continuous, label)
+def mutual_information(df: DataFrame, discrete: list[str], continuous: list[str], label: str, k: int = 3) -> DataFrame:
+    """MI (nats) of each feature with the label, largest first: discrete
+    features from their cells, continuous ones by their ``k`` nearest neighbours."""
+    cells = contingency(df, discrete, label)
     tot = cells.groupBy("feature").agg(F.sum("n").alias("_n"))
     px = cells.groupBy("feature", "level").agg(F.sum("n").alias("_nx"))
     py = cells.groupBy("feature", label).agg(F.sum("n").alias("_ny"))
     j = cells.where(F.col("n") > 0).join(tot, "feature").join(px, ["feature", "level"]).join(py, ["feature", label])
     n, n_x, n_y = (F.col(c).cast("double") for c in ("_n", "_nx", "_ny"))  # products pass 2^63
     term = F.col("n") / n * F.log(F.col("n") * n / (n_x * n_y))
-    return j.groupBy("feature").agg(F.sum(term).alias("mi"))
+    out = j.groupBy("feature").agg(F.sum(term).alias("mi"))
+    return out.unionByName(knn_information(df, continuous, label, k)).orderBy(F.desc("mi"), "feature")
 
 
 def normality_ks(df: DataFrame, col: str) -> DataFrame:

@@ -227,21 +227,60 @@ def q_vif(spark, sf):
     return ST.vif(cohort(spark, sf), ["fare", "sibsp", "parch"])
 
 
-@register("mutual_information", C + """,
-r AS (SELECT min(fare) AS lo, max(fare) AS hi FROM cohort),
-b AS (SELECT sex, CAST(pclass AS VARCHAR) AS pclass, embarked, label,
-             CAST(CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((fare - lo) / ((hi - lo) / 10)), 9) END AS INT)
-                  AS VARCHAR) AS fare FROM cohort, r)""" + chi_sql(["sex", "pclass", "embarked", "fare"], "b") + """,
+MI_DISCRETE = ["pclass", "sex", "embarked", "has_cabin", "is_alone", "title", "deck", "age_group"]
+MI_CONTINUOUS = ["age", "sibsp", "parch", "fare", "family_size", "fare_per_person"]
+#: The fourteen features of the information ranking, over the cohort; shared by Spark and the oracle.
+MI_SQL = """
+SELECT label, CAST(pclass AS STRING) AS pclass, sex, COALESCE(embarked, 'S') AS embarked,
+       CASE WHEN cabin IS NULL THEN '0' ELSE '1' END AS has_cabin,
+       CASE WHEN sibsp + parch = 0 THEN '1' ELSE '0' END AS is_alone,
+       CASE WHEN name LIKE '%Mrs.%' THEN 'Mrs' WHEN name LIKE '%Miss.%' THEN 'Miss' WHEN name LIKE '%Master.%' THEN 'Master'
+            WHEN name LIKE '%Mr.%' THEN 'Mr' ELSE 'Rare' END AS title,
+       COALESCE(substr(cabin, 1, 1), 'M') AS deck,
+       CASE WHEN age IS NULL THEN 'adult' WHEN age <= 12 THEN 'child' WHEN age <= 19 THEN 'teen' WHEN age <= 59 THEN 'adult'
+            ELSE 'senior' END AS age_group,
+       COALESCE(age, 40.0) AS age, CAST(sibsp AS DOUBLE) AS sibsp, CAST(parch AS DOUBLE) AS parch, fare,
+       CAST(sibsp + parch + 1 AS DOUBLE) AS family_size, fare / (sibsp + parch + 1) AS fare_per_person
+FROM {cohort}
+"""
+
+
+def _psi(n: str) -> str:
+    low = " + ".join(f"1.0 / ({n} + {i})" for i in range(8))
+    z = f"({n} + 8.0)"
+    return (f"(ln{z} - 1 / (2 * {z}) - 1 / (12 * {z} ** 2) + 1 / (120 * {z} ** 4) - 1 / (252 * {z} ** 6) "
+            f"+ 1 / (240 * {z} ** 8) - 1 / (132 * {z} ** 10) - ({low}))")
+
+
+def _sides(n: int) -> str:
+    return ", ".join(f"x - lag(x, {i}) OVER w, lead(x, {i}) OVER w - x" for i in range(1, n + 1))
+
+
+@register("mutual_information", C + ", f AS (" + MI_SQL.format(cohort="cohort") + ")" + chi_sql(MI_DISCRETE, "f") + """,
 mi AS (SELECT cells.feature, cells.n, nt.nn, rt.r, ct.c FROM cells
        JOIN rt ON cells.feature = rt.feature AND cells.level = rt.level
        JOIN ct ON cells.feature = ct.feature AND cells.lab = ct.lab
-       JOIN nt ON cells.feature = nt.feature WHERE cells.n > 0)
+       JOIN nt ON cells.feature = nt.feature WHERE cells.n > 0),
+x AS (""" + _u("SELECT '{c}' AS feature, {c} AS x, label AS y FROM f WHERE {c} IS NOT NULL AND label IS NOT NULL", MI_CONTINUOUS)
+          + """),
+d AS (SELECT row_number() OVER () AS id, feature, x, y, count(*) OVER (PARTITION BY feature) AS nn,
+             count(*) OVER (PARTITION BY feature, y) AS ny, count(*) OVER (PARTITION BY feature, x) AS here,
+             list_sort(list_filter([""" + _sides(3) + """], lambda v: v IS NOT NULL))[3] AS r
+      FROM x WINDOW w AS (PARTITION BY feature, y ORDER BY x)),
+m AS (SELECT d.feature, d.id, d.nn, d.ny, count(*) AS m FROM d
+      JOIN d e ON e.feature = d.feature AND e.x >= d.x - d.r AND e.x <= d.x + d.r
+      WHERE d.r > 0 AND abs(e.x - d.x) < d.r GROUP BY ALL
+      UNION ALL SELECT feature, id, nn, ny, here FROM d WHERE r = 0)
 SELECT feature, sum(CAST(n AS DOUBLE) / nn * ln(CAST(n AS DOUBLE) * nn / (CAST(r AS DOUBLE) * c))) AS mi
 FROM mi GROUP BY feature
+UNION ALL
+SELECT feature, greatest(0.0, """ + _psi("max(nn)") + " + " + _psi("3") + " - avg(" + _psi("ny") + ") - avg(" + _psi("m") + """))
+FROM m GROUP BY feature
 """)
 def q_mutual_information(spark, sf):
-    df = cohort(spark, sf)
-    return ST.mutual_information(df, ["sex", "pclass", "embarked"], ["fare"], "label")
+    """Information of fourteen features with the label: from cells, or by three nearest neighbours."""
+    df = spark.sql(MI_SQL, cohort=cohort(spark, sf))
+    return ST.mutual_information(df, MI_DISCRETE, MI_CONTINUOUS, "label")
 
 
 DL = oracle_with("doc_labels")
