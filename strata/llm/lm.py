@@ -171,34 +171,38 @@ def context(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], cls[:-1])), np.concatenate(([0, 0], cls[:-2]))[:len(cls)]
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
 def train_steps(model: Model, seen: np.ndarray, w: np.ndarray, a: np.ndarray, b: np.ndarray, share: np.ndarray,
                 rng: np.random.Generator) -> None:
     """Noise-contrastive minibatch steps (AdaGrad) over the tokens; ``model`` and ``seen`` change in place.
 
     A token is told from ``NOISE`` samples of the class frequencies, which its minibatch shares.
     """
-    sums = Model(model.size, seen, model.dim)
+    size, dim = model.size, model.dim
     edge, log_share = np.cumsum(share), np.log(share) + np.log(NOISE)
-    sig = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    lanes, r_end = np.arange(dim), 2 * size * dim
     for s in range(0, len(w), BATCH):
         x, ca, cb = w[s:s + BATCH], a[s:s + BATCH], b[s:s + BATCH]
-        noise = np.minimum(np.searchsorted(edge, rng.random(NOISE)), model.size - 1)
+        noise = np.minimum(np.searchsorted(edge, rng.random(NOISE)), size - 1)
         qa, qb = model.q[ca], model.q[cb]
         h = qa * model.c[0] + qb * model.c[1]
         rx, rn = model.r[x], model.r[noise]
-        g = sig((h * rx).sum(axis=1) + model.bias[x] - log_share[x]) - 1
-        gn = sig(h @ rn.T + model.bias[noise] - log_share[noise])
+        g = _sigmoid(np.einsum("ij,ij->i", h, rx) + model.bias[x] - log_share[x]) - 1
+        # all pairs of a token and a sample: single precision, summed in double
+        gn = _sigmoid((h @ rn.T + (model.bias[noise] - log_share[noise])).astype(np.float32)).astype(np.float64)
         dh = g[:, None] * rx + gn @ rn
-        grad = Model(model.size, np.zeros_like(model.flat), model.dim)
-        np.add.at(grad.r, x, g[:, None] * h)
-        np.add.at(grad.r, noise, gn.T @ h)
-        np.add.at(grad.bias, x, g)
-        np.add.at(grad.bias, noise, gn.sum(axis=0))
-        np.add.at(grad.q, ca, dh * model.c[0])
-        np.add.at(grad.q, cb, dh * model.c[1])
-        grad.c[0], grad.c[1] = (dh * qa).sum(axis=0), (dh * qb).sum(axis=0)
-        sums.flat += grad.flat ** 2
-        model.flat -= RATE * grad.flat / np.sqrt(sums.flat + 1e-6)
+        rows = np.concatenate([ca, cb, x + size, noise + size])  # Q and R lie one after the other
+        grad = np.empty_like(model.flat)
+        grad[:r_end] = np.bincount((rows[:, None] * dim + lanes).ravel(), minlength=r_end, weights=np.concatenate(
+            [dh * model.c[0], dh * model.c[1], g[:, None] * h, gn.T @ h]).ravel())
+        grad[r_end:r_end + size] = np.bincount(np.concatenate([x, noise]), minlength=size,
+                                               weights=np.concatenate([g, gn.sum(axis=0)]))
+        grad[r_end + size:] = np.concatenate([(dh * qa).sum(axis=0), (dh * qb).sum(axis=0)])
+        seen += grad ** 2
+        model.flat -= RATE * grad / np.sqrt(seen + 1e-6)
 
 
 def train(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Model:
