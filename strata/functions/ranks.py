@@ -39,6 +39,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return df
 
 
+def with_totals(agg: DataFrame, group: str, n_groups: int, **totals: Column) -> DataFrame:
+    """Aggregates of all rows of a group beside each of its rows: joined, so the rows of one group stay in many
+    tasks. ``agg``'s shuffle is read twice, its input once; the totals (one row for each of ``n_groups`` known
+    names) are broadcast."""
+    each = agg.groupBy(group).agg(*[c.alias(k) for k, c in totals.items()])
+    return agg.join(bounded_broadcast(each, known_rows=n_groups), group)
+
+
 _WRITTEN: list[str] = []
 
 

@@ -41,7 +41,7 @@ class Contract:
 COHORT_CONTRACT = Contract(
     required=["pclass", "name", "sex", "age", "sibsp", "parch", "fare", "cabin", "embarked"],
     nullable={"age", "cabin", "embarked"},
-    optional={"id", "label", "ticket"},
+    optional={"id", "label", "ticket", "split", "fold"},
     kinds={"pclass": "iu", "name": "O", "sex": "O", "age": "fiu", "sibsp": "iu", "parch": "iu",
            "fare": "fiu", "cabin": "O", "embarked": "O"},
 )

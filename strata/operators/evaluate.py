@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.ranks import bucket_expr, cumulative, exact_quantiles, label_counts, rank_sum_auc
+from strata.functions.ranks import bucket_expr, cumulative, exact_quantiles, label_counts, rank_sum_auc, with_totals
 
 
 def _div0(a: Column, b: Column) -> Column:
@@ -191,8 +191,8 @@ def subgroup_metrics(df: DataFrame, label: str, pred: str, groups: list[str]) ->
     long = (df.select(label, pred, *[F.col(g).cast("string").alias(g) for g in groups])
             .unpivot([label, pred], groups, "grouping", "value"))
     m = classification_metrics(long, label, pred, ["grouping", "value"])
-    w = Window.partitionBy("grouping")  # one row per group value: small
-    return m.withColumn("lowest_recall", F.col("recall") == F.min("recall").over(w)).select(
+    least = with_totals(m, "grouping", len(groups), _least=F.min("recall"))
+    return least.withColumn("lowest_recall", F.col("recall") == F.col("_least")).select(
         "grouping", "value", "n", "accuracy", "precision", "recall", "f1", "lowest_recall")
 
 
@@ -207,12 +207,11 @@ def error_composition(df: DataFrame, label: str, pred: str, groups: list[str]) -
     every = long.groupBy("grouping", "value").agg(
         F.count(F.lit(1)).alias("n_all"), F.count_if(F.col("set") == "FP").alias("n_fp"),
         F.count_if(F.col("set") == "FN").alias("n_fn"))
-    w = Window.partitionBy("grouping")  # one row per group value: small
-    return every.select(
-        "grouping", "value", "n_all", "n_fp", "n_fn",
-        (F.col("n_all") / F.sum("n_all").over(w)).alias("share_all"),
-        _div0(F.col("n_fp"), F.sum("n_fp").over(w)).alias("share_fp"),
-        _div0(F.col("n_fn"), F.sum("n_fn").over(w)).alias("share_fn"))
+    sums = {f"_{c}": F.sum(c) for c in ("n_all", "n_fp", "n_fn")}
+    return with_totals(every, "grouping", len(groups), **sums).select(
+        "grouping", "value", "n_all", "n_fp", "n_fn", (F.col("n_all") / F.col("_n_all")).alias("share_all"),
+        _div0(F.col("n_fp"), F.col("_n_fp")).alias("share_fp"),
+        _div0(F.col("n_fn"), F.col("_n_fn")).alias("share_fn"))
 
 
 def error_rows(df: DataFrame, label: str, pred: str) -> DataFrame:

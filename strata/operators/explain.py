@@ -50,10 +50,16 @@ class LinearModel:
 
 
 # M15 --------------------------------------------------------------------------------------
-def batch_score(matrix: DataFrame, model: LinearModel, key: str) -> DataFrame:
-    """Log-odds, probability, class (log-odds > 0) and model version."""
+def batch_score(matrix: DataFrame, model: LinearModel, key: str, digits: int | None = None,
+                version: str | None = None) -> DataFrame:
+    """Log-odds, probability (rounded to ``digits`` if given), class (log-odds
+    > 0) and model version. ``version``: that of the features of ``matrix``;
+    a model of another one is refused before anything is scored."""
+    if version is not None and version != model.version:
+        raise ValueError(f"the model has version {model.version!r}, the features have {version!r}")
     lo = model.logit()
-    return matrix.select(key, lo.alias("log_odds"), (1 / (1 + F.exp(-lo))).alias("probability"),
+    p = 1 / (1 + F.exp(-lo))
+    return matrix.select(key, lo.alias("log_odds"), (p if digits is None else F.round(p, digits)).alias("probability"),
                          (lo > 0).cast("int").alias("pred"), F.lit(model.version).alias("model_version"))
 
 
@@ -101,19 +107,19 @@ def linear_shap(matrix: DataFrame, background: DataFrame, model: LinearModel, ke
     """Exact SHAP of a linear model with an independent background:
     shap = coef x (value - background mean); base = intercept + sum coef x
     mean; running total in order of |shap| (waterfall). All features are
-    returned; ``active`` flags non-zero values."""
-    spark = matrix.sparkSession
-    means = background.agg(*[F.avg(f).alias(f) for f in model.features]).unpivot(
-        [], model.features, "feature", "mean")
-    coefs = model.coef_table(spark).join(means, "feature")  # one row per model feature
-    base = coefs.agg((F.lit(model.intercept) + F.sum(F.col("coef") * F.col("mean"))).alias("base"))
-    s = (_long(matrix, model, key).join(F.broadcast(coefs), "feature").crossJoin(F.broadcast(base))
-         .withColumn("shap", F.col("coef") * (F.col("value") - F.col("mean"))))
-    order = (Window.partitionBy(key).orderBy(F.abs("shap").desc(), F.col("feature"))
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return s.select(key, "feature", "value", "shap", "base",
-                    (F.col("base") + F.sum("shap").over(order)).alias("running_total"),
-                    (F.abs("value") > 1e-9).alias("active"))
+    returned; ``active`` flags non-zero values. Computed within the row;
+    ``background`` is the training split, one aggregate; its means are rounded
+    to 9 decimals, so that they do not depend on the order of summation."""
+    means = background.agg(*[F.round(F.avg(f), 9).alias(f"_mean_{f}") for f in model.features])  # one row
+    coef = {f: F.lit(float(c)) for f, c in model.coefs.items()}
+    base = F.lit(model.intercept) + sum((coef[f] * F.col(f"_mean_{f}") for f in model.features), F.lit(0.0))
+    terms = _terms(model, lambda f: coef[f] * (F.col(f).cast("double") - F.col(f"_mean_{f}")))
+    rows = matrix.crossJoin(F.broadcast(means)).select(key, base.alias("base"), F.sort_array(terms).alias("t"))
+    upto = F.transform("t", lambda x, i: F.struct(x["feature"].alias("feature"), x["value"].alias("value"), x["term"].alias(
+        "shap"), (F.col("base") + F.aggregate(F.slice("t", 1, i + 1), F.lit(0.0), lambda a, y: a + F.coalesce(
+            y["term"], F.lit(0.0)))).alias("running_total")))
+    return rows.select(key, "base", F.explode(upto).alias("x")).select(
+        key, "x.feature", "x.value", "x.shap", "base", "x.running_total", (F.abs("x.value") > 1e-9).alias("active"))
 
 
 # X6 ---------------------------------------------------------------------------------------

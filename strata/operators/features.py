@@ -171,10 +171,11 @@ class FittedFeatures:
     cols: FeatureColumns = field(default_factory=FeatureColumns)
     version: str = FEATURES_VERSION
 
-    def transform(self, df: DataFrame, check_contract: bool = False) -> DataFrame:
+    def transform(self, df: DataFrame, check_contract: bool = True) -> DataFrame:
         """Engineered columns appended in fixed order; input columns keep
-        their place (age and embarked are imputed in place)."""
-        if check_contract:
+        their place (age and embarked are imputed in place). A table that breaks
+        the contract is refused; the rows of a stream have their own rules."""
+        if check_contract and not df.isStreaming:
             from strata.operators.contracts import assert_contract
             assert_contract(df)
         c = self.cols
@@ -243,7 +244,7 @@ class CohortFeatures:
         self.cols = cols or FeatureColumns()
         self.round_digits = round_digits
 
-    def fit(self, train: DataFrame, check_contract: bool = False) -> FittedFeatures:
+    def fit(self, train: DataFrame, check_contract: bool = True) -> FittedFeatures:
         if check_contract:
             from strata.operators.contracts import assert_contract
             assert_contract(train)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.ranks import exact_quantiles
+from strata.functions.ranks import exact_quantiles, with_totals
 
 
 def _long_numeric(df: DataFrame, cols: list[str], ids: list[str] | None = None) -> DataFrame:
@@ -95,15 +95,15 @@ def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     The total is the sum of the counts of each column (no second scan)."""
     long = _long_text(df, cols)
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column")  # aggregated table: one row per value
-    return counts.select("column", "value", "n", (F.col("n") / F.sum("n").over(w)).alias("share"))
+    return with_totals(counts, "column", len(cols), _all=F.sum("n")).select(
+        "column", "value", "n", (F.col("n") / F.col("_all")).alias("share"))
 
 
 def target_distribution(df: DataFrame, label: str) -> DataFrame:
     """Rows per label value and share (total from the same aggregate)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(F.lit(0))  # one row per label value
-    return counts.select(label, "n", (F.col("n") / F.sum("n").over(w)).alias("share"))
+    total = counts.agg(F.sum("n").alias("_all"))  # one row
+    return counts.crossJoin(F.broadcast(total)).select(label, "n", (F.col("n") / F.col("_all")).alias("share"))
 
 
 # A6 ---------------------------------------------------------------------------------------
@@ -120,8 +120,8 @@ def rate_by_factor(df: DataFrame, factors: list[str], label: str) -> DataFrame:
     y = F.col(label).cast("double")
     agg = long.groupBy("factor", "level").agg(
         F.count(F.lit(1)).alias("n"), F.count(y).alias("_n_lab"), F.sum(y).alias("_s"))
-    w = Window.partitionBy("factor")  # aggregated table: one row per level
-    return (agg.withColumn("overall_rate", F.try_divide(F.sum("_s").over(w), F.sum("_n_lab").over(w)))
+    overall = F.try_divide(F.sum("_s"), F.sum("_n_lab"))
+    return (with_totals(agg, "factor", len(factors), overall_rate=overall)
             .where(F.col("level").isNotNull())
             .select("factor", "level", "n", F.try_divide(F.col("_s"), F.col("_n_lab")).alias("rate"),
                     "overall_rate"))

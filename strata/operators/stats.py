@@ -8,12 +8,14 @@ Arrow UDFs of ``functions.special``.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.information import knn_information
-from strata.functions.ranks import exact_quantiles, midranks
+from strata.functions.ranks import exact_quantiles, materialize, midranks
 from strata.functions.special import chi2_sf_udf, f_sf_udf, norm_sf2_udf, t_sf2_udf
+from strata.operators.information import knn_information
 from strata.operators.profile import _long_numeric, contingency
 
 
@@ -45,7 +47,7 @@ def chi_square_cells(cells: DataFrame, group: str, row: str, col: str, n: str =
 
 def chi_square(df: DataFrame, features: list[str], label: str, with_p: bool = False) -> DataFrame:
     """T1/T2/T3 for several categorical features in one aggregation."""
-    cells = contingency(df, features, label)
+    cells = materialize(contingency(df, features, label))  # read five times: counted once
     out = chi_square_cells(cells, "feature", "level", label)
     if with_p:
         out = out.withColumn("p_value", chi2_sf_udf(F.col("chi2"), F.col("dof").cast("double")))
@@ -89,7 +91,7 @@ def decide(p: str = "p_value", caveat: str = "has_caveat", nonlinear_p: str = "n
 def feature_audit(df: DataFrame, categorical: list[str], numeric: list[str], label: str,
                   with_p: bool = False, count_features: list[str] | None = None,
                   caveats: dict[str, str] | None = None, alpha: float = 0.05) -> DataFrame:
-    """One row per feature: test, statistic, effect size, expected<5
+    """One row per feature, the largest effect first: test, statistic, effect size, expected<5
     flag; with ``with_p`` also p-value, non-linear re-check of count
     features (chi-square on the count as categories), decision, and the
     Bonferroni-adjusted significance over all tested features."""
@@ -103,7 +105,7 @@ def feature_audit(df: DataFrame, categorical: list[str], numeric: list[str], lab
         F.lit(None).cast("boolean").alias("expected_lt5"), *(["p_value"] if with_p else []))
     out = chi.unionByName(pb)
     if not with_p:
-        return out
+        return out.orderBy(F.desc_nulls_last("effect_size"), "feature")
     counts = count_features or []
     if counts:
         nl = chi_square(df, counts, label, True).select("feature", F.col("p_value").alias("nonlinear_p"))
@@ -116,7 +118,8 @@ def feature_audit(df: DataFrame, categorical: list[str], numeric: list[str], lab
     return (out.withColumn("has_caveat", has_cav)
             .withColumn("decision", decide(alpha=alpha))
             .withColumn("bonferroni_alpha", F.lit(alpha / m))
-            .withColumn("significant_bonferroni", F.col("p_value") < F.lit(alpha / m)))
+            .withColumn("significant_bonferroni", F.col("p_value") < F.lit(alpha / m))
+            .orderBy(F.desc_nulls_last("effect_size"), "feature"))
 
 
 # T8-T10, T13 ------------------------------------------------------------------------------
@@ -251,13 +254,48 @@ def mann_whitney(df: DataFrame, group: str, value: str, a, b, with_p: bool = Fal
 
 
 # T15 / T16 --------------------------------------------------------------------------------
+def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``(a, b, n, r)`` for every pair of columns, a column with itself included, over the rows where both are present.
+
+    One pass whatever the number of columns (after the means, which the values
+    are taken from first): a task adds up p x p products of its Arrow batches
+    for counts, sums, squares and products, and hands on a row for each column.
+    ``r`` is NULL where one of the two is constant.
+    """
+    p = len(cols)
+    dd = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    means = dd.agg(*[F.avg(f"c{i}") for i in range(p)]).first()
+    shift = np.array([0.0 if m is None else m for m in means])
+
+    def run(batches):
+        total = np.zeros((4, p, p))
+        for b in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1) - shift
+            here = ~np.isnan(x)
+            x[~here] = 0.0
+            m = here.astype(np.float64)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        n, s, q, xy = total
+        rows = np.concatenate([n, s, s.T, q, q.T, xy], axis=1)
+        yield pa.record_batch({"i": pa.array(np.arange(p)), "v": pa.array(rows.tolist(), pa.list_(pa.float64()))})
+
+    def finish(pdf):
+        i = int(pdf["i"].iloc[0])
+        n, s, t, q, r, xy = (v[i:] for v in np.sum(np.stack(pdf["v"].tolist()), axis=0).reshape(6, p))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            va, vb = n * q - s * s, n * r - t * t
+            flat = (va <= 1e-12 * n * q) | (vb <= 1e-12 * n * r) | (n == 0)
+            rho = np.where(flat, np.nan, np.clip((n * xy - s * t) / np.sqrt(np.where(flat, 1, va * vb)), -1, 1))
+        return pd.DataFrame({"a": cols[i], "b": cols[i:], "n": n.astype(np.int64),
+                             "r": pd.Series(rho).astype(object).where(~flat, None)})
+
+    sums = dd.mapInArrow(run, "i long, v array<double>")
+    return sums.groupBy("i").applyInPandas(finish, "a string, b string, n long, r double")
+
+
 def pearson_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pairwise-deletion Pearson r for every pair a < b, one aggregation."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    dd = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    wide = dd.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in pairs])
-    long = wide.unpivot([], [f"`{a}|{b}`" for a, b in pairs], "pair", "r")
-    return long.select(F.split("pair", r"\|")[0].alias("a"), F.split("pair", r"\|")[1].alias("b"), "r")
+    """Pairwise-deletion Pearson r for every pair a < b, in one pass."""
+    return correlations(df, cols).where(F.col("a") != F.col("b")).select("a", "b", "r")
 
 
 def spearman_matrix(df: DataFrame, cols: list[str], key: str) -> DataFrame:
@@ -285,17 +323,16 @@ def spearman_matrix(df: DataFrame, cols: list[str], key: str) -> DataFrame:
 # T17 --------------------------------------------------------------------------------------
 def vif(df: DataFrame, cols: list[str]) -> DataFrame:
     """Variance inflation factors 1 / (1 - R^2) of each column regressed on
-    the others, over the complete cases. The p x p correlation matrix is one
-    aggregation; each regression is solved on the driver by least squares that
+    the others, over the complete cases. The p x p correlation matrix takes one
+    pass; each regression is solved on the driver by least squares that
     allow for collinear regressors (p is the number of columns). 1 - R^2 below 1e-10 gives
     infinity for the columns concerned only; a constant column has no factor
     (NULL) and does not enter the others."""
     spark = df.sparkSession
     cc = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    row = cc.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in pairs]).first()
-    varies = [c for c in cols if row[f"{c}|{c}"] is not None]
-    m = np.array([[row[f"{a}|{b}"] if (a, b) in pairs else row[f"{b}|{a}"] for b in varies] for a in varies])
+    r = {(x["a"], x["b"]): x["r"] for x in correlations(cc, cols).collect()}  # p (p + 1) / 2 rows
+    varies = [c for c in cols if r.get((c, c)) is not None]
+    m = np.array([[r[(a, b)] if (a, b) in r else r[(b, a)] for b in varies] for a in varies])
     rows = []
     for c in cols:
         if c not in varies:
@@ -314,7 +351,7 @@ def vif(df: DataFrame, cols: list[str]) -> DataFrame:
 def mutual_information(df: DataFrame, discrete: list[str], continuous: list[str], label: str, k: int = 3) -> DataFrame:
     """MI (nats) of each feature with the label, largest first: discrete
     features from their cells, continuous ones by their ``k`` nearest neighbours."""
-    cells = contingency(df, discrete, label)
+    cells = materialize(contingency(df, discrete, label))
     tot = cells.groupBy("feature").agg(F.sum("n").alias("_n"))
     px = cells.groupBy("feature", "level").agg(F.sum("n").alias("_nx"))
     py = cells.groupBy("feature", label).agg(F.sum("n").alias("_ny"))

@@ -52,11 +52,11 @@ def matrix(spark, sf):
 
 
 @register("batch_score", C + """
-SELECT id, log_odds, 1 / (1 + exp(-log_odds)) AS probability, CAST(log_odds > 0 AS INT) AS pred,
+SELECT id, log_odds, round(1 / (1 + exp(-log_odds)), 4) AS probability, CAST(log_odds > 0 AS INT) AS pred,
        'given-1' AS model_version FROM sc
 """)
 def q_batch_score(spark, sf):
-    return X.batch_score(matrix(spark, sf), MODEL, "id")
+    return X.batch_score(matrix(spark, sf), MODEL, "id", digits=4, version="given-1")
 
 
 LONG_SQL = ",\nlong AS (" + "\nUNION ALL\n".join(
@@ -88,8 +88,9 @@ def q_contribution_strength(spark, sf):
     return X.contribution_strength(matrix(spark, sf), MODEL, "id")
 
 
-@register("linear_shap", C + LONG_SQL + f""",
-means AS (SELECT feature, avg(value) AS mean FROM long GROUP BY feature),
+@register("linear_shap", C + split_cte() + LONG_SQL + f""",
+means AS (SELECT feature, round(avg(value), 9) AS mean FROM long WHERE id IN (SELECT _key FROM split WHERE split = 'train')
+          GROUP BY feature),
 base AS (SELECT {_lit(INTERCEPT)} + sum(coef * mean) AS base FROM (SELECT DISTINCT feature, coef FROM long) c
          JOIN means USING (feature)),
 s AS (SELECT l.id, l.feature, l.value, l.coef * (l.value - m.mean) AS shap FROM long l JOIN means m USING (feature))
@@ -100,8 +101,10 @@ SELECT id, feature, value, shap, base,
 FROM s, base
 """)
 def q_linear_shap(spark, sf):
-    m = matrix(spark, sf)
-    return X.linear_shap(m, m, MODEL, "id")
+    """Against the mean of the training split."""
+    df, m = cohort(spark, sf), matrix(spark, sf)
+    train = S.stratified_split(df, "id", "label").where(F.col("split") == "train").select("id")
+    return X.linear_shap(m, m.join(train, "id", "left_semi"), MODEL, "id")
 
 
 TEST_IDS = "id IN (SELECT _key FROM split WHERE split = 'test')"

@@ -53,6 +53,15 @@ def q_stratified_folds(spark, sf):
     return S.stratified_folds(cohort(spark, sf), "id", "label", 5).select("id", "label", "fold")
 
 
+@register("ordered_folds", C + """
+SELECT id, label, CAST(floor((row_number() OVER (PARTITION BY label ORDER BY id) - 1) * 5
+                             / count(*) OVER (PARTITION BY label)) AS INT) AS fold FROM cohort
+""")
+def q_ordered_folds(spark, sf):
+    """R2, unshuffled: folds in key order."""
+    return S.ordered_folds(cohort(spark, sf), "id", "label", 5).select("id", "label", "fold")
+
+
 @register("hash_sample", C + """
 SELECT id, label, fare FROM cohort
 ORDER BY CAST('0x' || substr(md5(CAST(id AS VARCHAR) || '|42'), 1, 8) AS BIGINT), id LIMIT 500

@@ -70,13 +70,16 @@ def q_cramers_v(spark, sf):
 
 @register("missing_mechanism", C + """,
 flags AS (SELECT CAST(age IS NULL AS INT) AS age_missing, CAST(cabin IS NULL AS INT) AS cabin_missing,
-                 label, pclass FROM cohort)""" + chi_sql(["age_missing", "cabin_missing"], "flags", "label") + """
-SELECT feature, chi2, dof, n FROM chi
-""")
+                 label, pclass FROM cohort)""" + "\nUNION ALL".join(f"""
+SELECT '{t}' AS target, * FROM (WITH one AS (SELECT 1)""" + chi_sql(["age_missing", "cabin_missing"], "flags", t) + """
+SELECT feature, chi2, dof, n FROM chi)""" for t in ("label", "pclass")))
 def q_missing_mechanism(spark, sf):
+    """Missing flags against the label and against the class."""
     df = cohort(spark, sf).select(F.col("age").isNull().cast("int").alias("age_missing"),
-                                  F.col("cabin").isNull().cast("int").alias("cabin_missing"), "label")
-    return ST.chi_square(df, ["age_missing", "cabin_missing"], "label").select("feature", "chi2", "dof", "n")
+                                  F.col("cabin").isNull().cast("int").alias("cabin_missing"), "label", "pclass")
+    parts = [ST.chi_square(df, ["age_missing", "cabin_missing"], t).select(
+        F.lit(t).alias("target"), "feature", "chi2", "dof", "n") for t in ("label", "pclass")]
+    return parts[0].unionByName(parts[1])
 
 
 @register("point_biserial", C + PB_SQL + """
@@ -227,6 +230,17 @@ def q_vif(spark, sf):
     return ST.vif(cohort(spark, sf), ["fare", "sibsp", "parch"])
 
 
+VIF_REFERENCE = ["pclass", "sex_male", "age", "sibsp", "parch", "fare", "family_size", "is_alone", "has_cabin",
+                 "fare_per_person"]
+
+
+@register("vif_reference")
+def q_vif_reference(spark, sf):
+    """The whole collinear set with the drop-first dummy of sex; infinite factors included (rows-only)."""
+    df = spark.sql(MI_SQL, cohort=cohort(spark, sf)).withColumn("sex_male", (F.col("sex") == "male").cast("int"))
+    return ST.vif(df, VIF_REFERENCE)
+
+
 MI_DISCRETE = ["pclass", "sex", "embarked", "has_cabin", "is_alone", "title", "deck", "age_group"]
 MI_CONTINUOUS = ["age", "sibsp", "parch", "fare", "family_size", "fare_per_person"]
 #: The fourteen features of the information ranking, over the cohort; shared by Spark and the oracle.

@@ -75,3 +75,29 @@ def test_columns_by_kind(spark):
     df = cohort(spark, SF001)
     assert columns_by_kind(df, "numeric", ["id", "label"]) == ["pclass", "age", "sibsp", "parch", "fare"]
     assert columns_by_kind(df, "text") == ["sex", "name", "cabin", "embarked"]
+
+
+def test_contract_is_checked_by_default(spark, passengers):
+    import pytest
+    from strata.operators.features import CohortFeatures
+
+    bad = passengers.drop("fare")
+    with pytest.raises(ValueError, match="fare"):
+        CohortFeatures().fit(bad)
+    fitted = CohortFeatures().fit(passengers)
+    with pytest.raises(ValueError, match="fare"):
+        fitted.transform(bad)
+    assert CohortFeatures().fit(passengers, check_contract=False).transform(passengers).count() == passengers.count()
+
+
+def test_scoring_rounds_and_refuses_another_version(spark):
+    import pytest
+    from strata.operators.explain import batch_score
+    from strata.plans.q_explain import MODEL, matrix
+    from tests.conftest import SF001
+
+    rows = matrix(spark, SF001)
+    got = batch_score(rows, MODEL, "id", digits=4, version=MODEL.version).collect()
+    assert got and all(r["probability"] == round(r["probability"], 4) for r in got)
+    with pytest.raises(ValueError, match=MODEL.version):
+        batch_score(rows, MODEL, "id", version="other-2")

@@ -129,3 +129,33 @@ def test_rows_without_score_pass_no_threshold(spark):
     top = E.threshold_sweep(df, "y", "s").where("threshold = 0.95").first()
     assert (top["tp"], top["fp"], top["recall"]) == (0, 0, 0.0)
     assert sum(r["n"] for r in E.calibration(df, "y", "s").collect()) == 2
+
+
+def test_correlations_of_many_columns_with_gaps(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(120, 40)) * 10.0 ** rng.integers(-3, 4, 40) + 1e4 * rng.random(40)
+    x[:, 7] = x[:, 3] * 2 + 1
+    x[:, 9] = 5.5
+    gaps = rng.random(x.shape) < 0.2
+    cols = [f"v{i}" for i in range(40)]
+    rows = [tuple(None if g else float(v) for v, g in zip(r, m, strict=True)) for r, m in zip(x, gaps, strict=True)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(3)
+    got = {(r["a"], r["b"]): (r["n"], r["r"]) for r in ST.correlations(df, cols).collect()}
+    assert len(got) == 40 * 41 // 2
+    for i in range(40):
+        for j in range(i, 40):
+            both = ~gaps[:, i] & ~gaps[:, j]
+            n, r = got[cols[i], cols[j]]
+            assert n == both.sum()
+            if 9 in (i, j):
+                assert r is None
+            else:
+                assert abs(r - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 1e-9
+    assert {r["r"] for r in ST.correlations(df.limit(0), cols[:2]).collect()} <= {None}
+
+
+def test_vif_of_collinear_set_with_dummy(spark):
+    from strata.plans.q_stats import q_vif_reference
+    got = {r["feature"]: r["vif"] for r in q_vif_reference(spark, SF001).collect()}
+    assert all(np.isinf(got[c]) for c in ("sibsp", "parch", "family_size"))
+    assert all(1 <= got[c] < 1e6 for c in ("pclass", "sex_male", "age", "fare", "is_alone", "has_cabin", "fare_per_person"))
