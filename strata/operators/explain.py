@@ -108,9 +108,10 @@ def linear_shap(matrix: DataFrame, background: DataFrame, model: LinearModel, ke
     shap = coef x (value - background mean); base = intercept + sum coef x
     mean; running total in order of |shap| (waterfall). All features are
     returned; ``active`` flags non-zero values. Computed within the row;
-    ``background`` is the training split, one aggregate; its means are rounded
-    to 9 decimals, so that they do not depend on the order of summation."""
-    means = background.agg(*[F.round(F.avg(f), 9).alias(f"_mean_{f}") for f in model.features])  # one row
+    ``background`` is the training split, one aggregate; its values are summed
+    as decimals of 9 places, so the means do not depend on the order."""
+    means = background.agg(*[F.try_divide(F.sum(F.col(f).cast("decimal(28, 9)")).cast("double"), F.count(f))
+                             .alias(f"_mean_{f}") for f in model.features])  # one row
     coef = {f: F.lit(float(c)) for f, c in model.coefs.items()}
     base = F.lit(model.intercept) + sum((coef[f] * F.col(f"_mean_{f}") for f in model.features), F.lit(0.0))
     terms = _terms(model, lambda f: coef[f] * (F.col(f).cast("double") - F.col(f"_mean_{f}")))

@@ -89,7 +89,7 @@ def q_contribution_strength(spark, sf):
 
 
 @register("linear_shap", C + split_cte() + LONG_SQL + f""",
-means AS (SELECT feature, round(avg(value), 9) AS mean FROM long WHERE id IN (SELECT _key FROM split WHERE split = 'train')
+means AS (SELECT feature, CAST(sum(CAST(value AS DECIMAL(28, 9))) AS DOUBLE) / count(value) AS mean FROM long WHERE id IN (SELECT _key FROM split WHERE split = 'train')
           GROUP BY feature),
 base AS (SELECT {_lit(INTERCEPT)} + sum(coef * mean) AS base FROM (SELECT DISTINCT feature, coef FROM long) c
          JOIN means USING (feature)),
