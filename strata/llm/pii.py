@@ -8,16 +8,19 @@ attempt): digits stay digits (a valid card number stays valid, an octet
 keeps its length), letters stay letters of the same case and script, separators,
 country codes and top-level domains stay, names become names of the
 honorific's gender in the same script. The same value always gets the
-same replacement, across all documents (coreference; the parts of a name are
-entities of their own, so "Mr. Roe" and "Mr. Al Roe" agree). An initial becomes
-another letter of its alphabet, the same one everywhere.
-
-Distinct values must get distinct replacements. All distinct values are
-grouped, and a value whose replacement is a real value of the table, or is
+same replacement, across all documents (coreference; the words of a name are
+entities of their own, so "Mr. Roe" and "Mr. Al Roe" agree, and so do "Mr. Roe" and "Mr. Roe Al":
+a word has one identity whatever its place in a name, with the gender that most of its
+titled mentions as a given name have; none, if there are none or as many of each).
+An initial becomes another letter of its alphabet, the same one everywhere.
+
+Distinct values must get distinct replacements, all words of names among
+each other. All distinct values are grouped, and a value whose replacement is a real value of the table, or is
 taken by another value, tries again with the next attempt until none collides.
 Draws keep the shape of the value ``SHAPED`` times; after that they come from a space
 that grows with each attempt, so a shape with too few values (1.2.3.4) does not end the query.
-Only documents with entities, their values and the replacements are shuffled.
+Only documents with entities, their values and the replacements are shuffled. Detection takes
+time in proportion to a text's length, whatever it holds.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,19 +47,22 @@ _TITLE = "|".join(_WOMEN + _MEN + _ANY)
 _UPPER = "[" + "".join(c for c in map(chr, range(sys.maxunicode)) if c.isupper() and c.isalpha()) + "]"
 _CAP = rf"(?!(?:{_TITLE})\b){_UPPER}\w*(?:[-'’][^\W\d_]\w*)*"
 _PART = rf"(?:{_UPPER}\.|{_CAP})"
+_HOST = r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 _PATTERNS = (
-    ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+    ("email", rf"[A-Za-z0-9][A-Za-z0-9._%+-]*{_HOST}"),
     ("ip", r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     ("card", r"(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d-])"),
     ("phone", r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
               r"|(?<!\d)(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)"),
-    ("name", rf"\b(?P<titles>(?:(?:{_TITLE})(?:\.[ ]?|[ ]))+)(?P<who>{_PART}(?:(?:[ ]|(?<=\.)){_PART})*)"),
+    ("name", rf"\b(?P<titles>(?:(?:{_TITLE})(?:\.[ ]?|[ ]))++)(?P<who>{_PART}(?:(?:[ ]|(?<=\.)){_PART})*)?"),
 )
-_ALL = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS))
+_BUT_MAIL = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS[1:]))
+_AT = re.compile(_HOST)
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 #: The decimal digits of every script; the ranges hold those that are newer than Java's tables.
 _DIGIT = r"[\p{Nd}\x{10D30}-\x{11F59}\x{16AC0}-\x{16AC9}\x{1E140}-\x{1E4F9}\x{1FBF0}-\x{1FBF9}]"
-#: Texts without a match of this (in Java's syntax) have no entity.
+#: Texts without a match of this (in the syntax of Java and of Arrow) have no entity.
 MAY_HOLD = rf"@|{_DIGIT}\.?{_DIGIT}|" + "|".join(_WOMEN + _MEN + _ANY)
 #: Attempts that keep the shape of a value.
 SHAPED = 16
@@ -90,13 +97,38 @@ _WORD = re.compile(r"\b[^\W\d_]\w*")
 _OWNER = re.compile(r"['’]s$")
 
 
+def _mails(text: str) -> Iterator[tuple[int, int]]:
+    """The e-mail addresses: from each host back over its local part, so that no character is read more than twice."""
+    done = 0
+    for m in _AT.finditer(text):
+        a = m.start()
+        while a > done and text[a - 1] in _LOCAL:
+            a -= 1
+        while a < m.start() and text[a] in "._%+-":
+            a += 1
+        if a < m.start():
+            yield a, m.end()
+            done = m.end()
+
+
 def _entities(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """The entities that the patterns find, in order."""
-    for m in _ALL.finditer(text):
-        kind = next(k for k, _ in _PATTERNS if m[k] is not None)
+    """The entities that the patterns find, in order: e-mail addresses first, the others between them."""
+    done = 0
+    for a, b in _mails(text):
+        yield from _between(text, done, a)
+        yield a, b, "email", text[a:b]
+        done = b
+    yield from _between(text, done, len(text))
+
+
+def _between(text: str, start: int, end: int) -> Iterator[tuple[int, int, str, str]]:
+    for m in _BUT_MAIL.finditer(text, start, end):
+        kind = next(k for k, _ in _PATTERNS[1:] if m[k] is not None)
         if kind != "name":
             yield m.start(), m.end(), kind, m[0]
             continue
+        if m["who"] is None:
+            continue
         titles = re.findall(_TITLE, m["titles"])
         sex = next(("w" if t in _WOMEN else "m" for t in titles if t not in _ANY), "n")
         parts = [(p.start() + m.start("who"), _OWNER.sub("", p[0])) for p in _NAME_PART.finditer(m["who"])]
@@ -120,12 +152,14 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     if not names:
         return out
     taken, more, i, done = [x[:2] for x in out], [], 0, 0
-    words = list(_WORD.finditer(text))
-    longest = max(len(_WORD.findall(w)) for w in names)
-    for k, m in enumerate(words):
-        if m.start() < done:
+    starting: dict[str, list[str]] = {}  # longest first, by the first word
+    for w in sorted(names, key=len, reverse=True):
+        starting.setdefault(_WORD.search(w)[0], []).append(w)
+    for m in _WORD.finditer(text):
+        if m.start() < done or m[0] not in starting:
             continue
-        end = next((w.end() for w in reversed(words[k:k + longest]) if text[m.start():w.end()] in names), 0)
+        end = next((e for w in starting[m[0]] if text.startswith(w, m.start())
+                    and not text[(e := m.start() + len(w)):e + 1].isalnum() and text[e:e + 1] != "_"), 0)
         while i < len(taken) and taken[i][1] <= m.start():
             i += 1
         if end and (i == len(taken) or end <= taken[i][0]):
@@ -177,6 +211,11 @@ def _shaped(value: str, draw: _Draw, keep_digits: int = 0) -> str:
     return "".join(out)
 
 
+def is_name(kind: str) -> bool:
+    """Types of words of names; ``name_w``, ``name_m`` and ``name_n`` are identities, the others places in a name."""
+    return kind.startswith(("given_", "name_")) or kind == "family"
+
+
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """The replacement of a value at an attempt; never the value itself.
 
@@ -212,8 +251,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
             letters = _INITIALS[script_of(value)]
             turn = 1 + _Draw(key, kind, letters).below(len(letters) - 1)
             new = letters[(letters.find(value) + turn) % len(letters)]
-        elif kind.startswith("given_") or kind == "family":
-            script, sex = script_of(value), kind[6:] if kind != "family" else "n"
+        elif is_name(kind):
+            script, sex = script_of(value), kind[-1] if kind != "family" else "n"
             parts = _SYLLABLES[script]
             n = 1 + (len(value) > 5) + attempt + extra
             new = "".join(parts[draw.below(len(parts))] for _ in range(n)) + _ENDS[script][sex][draw.below(3)]
@@ -228,10 +267,11 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
 def mapping(values: DataFrame, key: bytes) -> DataFrame:
     """Distinct ``values(kind, value)`` -> ``(kind, value, new)``; no two values of a kind share a ``new``.
 
-    Nor is any ``new`` a value of its kind in the input. A value that collides tries the next
+    Nor is any ``new`` a value of its kind in the input; all ``name_`` kinds count as one. A value that collides tries the next
     attempt, so the rounds end when none does; the space of the draws grows without bound.
     """
-    real = values.select("kind", F.col("value").alias("new"))
+    space = F.when(F.col("kind").startswith("name_"), F.lit("name")).otherwise(F.col("kind")).alias("space")
+    real = values.select(space, F.col("value").alias("new"))
     pending, done = values.select("kind", "value"), None
     for attempt in itertools.count():
 
@@ -240,10 +280,11 @@ def mapping(values: DataFrame, key: bytes) -> DataFrame:
             return pa.record_batch({"kind": b.column(0), "value": b.column(1), "new": pa.array(new, pa.string())})
 
         tried = written(map_batches(pending, batch, "kind string, value string, new string"), "tried")
-        free = tried.join(real, ["kind", "new"], "left_anti")
+        free = tried.withColumn("space", space).join(real, ["space", "new"], "left_anti")
         if done is not None:
-            free = free.join(done.select("kind", "new"), ["kind", "new"], "left_anti")
-        good = written(free.groupBy("kind", "new").agg(F.min("value").alias("value")).select("kind", "value", "new"), "good")
+            free = free.join(done.select(space, "new"), ["space", "new"], "left_anti")
+        good = written(free.groupBy("space", "new").agg(F.min(F.struct("value", "kind")).alias("x"))
+                       .select("x.kind", "x.value", "new"), "good")
         done = good if done is None else done.unionByName(good)
         pending = written(tried.join(good, ["kind", "value"], "left_anti").select("kind", "value"), "pending")
         if pending.isEmpty():
@@ -261,31 +302,43 @@ def replace(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str =
     ignored; an empty table gives an empty result.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    may = F.coalesce(F.col("text").rlike(MAY_HOLD), F.lit(False))
 
-    @F.pandas_udf("boolean")
-    def holds(t):
-        return t.map(lambda s: s is not None and next(_entities(s), None) is not None)
+    def may(b: pa.RecordBatch) -> pa.Array:
+        return pc.fill_null(pc.match_substring_regex(b.column(1), MAY_HOLD), False)
 
     def found(b: pa.RecordBatch) -> pa.RecordBatch:
+        b = b.filter(may(b))
         rows = [detect(t) for t in b.column(1).to_pylist()]
         has = pa.array([bool(r) for r in rows], pa.bool_())
         kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("kind", pa.string()), ("value", pa.string())]))
         own = pa.array([[dict(zip(("a", "b", "kind", "value"), x, strict=True)) for x in r] for r in rows], kind)
         return pa.RecordBatch.from_arrays([b.column(0), b.column(1), own], ["doc_id", "text", "mentions"]).filter(has)
 
-    held = written(map_batches(src.filter(may), found, f"doc_id long, text string, mentions {_MENTIONS}")
+    def without(b: pa.RecordBatch) -> pa.RecordBatch:
+        texts = pc.if_else(may(b), b.column(1), pa.scalar(None, b.column(1).type)).to_pylist()
+        return b.filter(pa.array([t is None or next(_entities(t), None) is None for t in texts], pa.bool_()))
+
+    held = written(map_batches(src, found, f"doc_id long, text string, mentions {_MENTIONS}")
                    .withColumn("rid", F.monotonically_increasing_id()), "held")
     each = held.select("rid", F.explode("mentions").alias("m")).select("rid", "m.*")
-    values = written(each.select("kind", "value").distinct(), "values")
+    named = F.col("kind").startswith("given_") | (F.col("kind") == "family")
+    each = each.withColumn("identity", F.when(named, F.lit("name")).otherwise(F.col("kind")))
+    sex = F.count_if(F.col("kind") == "given_w") - F.count_if(F.col("kind") == "given_m")
+    values = written(
+        each.groupBy("identity", "value").agg(sex.alias("sex"))
+        .withColumn("kind", F.when(F.col("identity") != "name", F.col("identity"))
+                    .otherwise(F.when(F.col("sex") > 0, "name_w").when(F.col("sex") < 0, "name_m").otherwise("name_n")))
+        .select("kind", "value"), "values")
 
     def letters(b: pa.RecordBatch) -> pa.RecordBatch:
         new = [surrogate(key, "initial", v) for v in b.column(1).to_pylist()]
         return pa.record_batch({"kind": b.column(0), "value": b.column(1), "new": pa.array(new, pa.string())})
 
     initials = map_batches(values.filter("kind = 'initial'"), letters, "kind string, value string, new string")
-    new = mapping(values.filter("kind != 'initial'"), key).unionByName(initials)
-    edits = (each.join(new, ["kind", "value"]).groupBy("rid")
+    new = (mapping(values.filter("kind != 'initial'"), key).unionByName(initials)
+           .select(F.when(F.col("kind").startswith("name_"), F.lit("name")).otherwise(F.col("kind")).alias("identity"),
+                   "value", "new"))
+    edits = (each.join(new, ["identity", "value"]).groupBy("rid")
              .agg(F.array_sort(F.collect_list(F.struct("a", "b", "kind", "new"))).alias("edits")))
 
     def changed(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -303,5 +356,5 @@ def replace(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str =
 
     edited = map_batches(held.select("rid", "doc_id", "text").join(edits, "rid").select("doc_id", "text", "edits"),
                          changed, "doc_id long, text string, n_entities long, entities string")
-    none = src.filter(~holds(F.when(may, F.col("text"))))
+    none = map_batches(src, without, "doc_id long, text string")
     return edited.unionByName(none.withColumns({"n_entities": F.lit(0).cast("long"), "entities": F.lit("")}))

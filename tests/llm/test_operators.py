@@ -7,6 +7,7 @@ import math
 import random
 import re
 import sys
+import time
 import zlib
 
 import numpy as np
@@ -130,6 +131,46 @@ def test_pii_mentions_agree_with_their_name(spark):
     assert m and m[2] == m[3] == m[6] != "Smith" and m[4] != "J" and "Anna" not in out["text"] and out["n_entities"] == 6
 
 
+def test_pii_words_of_names_have_one_identity(spark):
+    text = ["Mrs. Anna Smith came. Dr. Anna Smith left.", "Mr. Roe met Mr. Roe Al."]
+    text += [f"Mr. Given{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]} Ito" for i in range(100)]
+    text += [f"Mr. Ed Family{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}" for i in range(100)]
+    out = by_id(pii.replace(spark.createDataFrame(list(enumerate(text)), "doc_id long, text string"), b"k"))
+    m = re.fullmatch(r"Mrs\. (\w+ \w+) came\. Dr\. (\w+ \w+) left\.", out[0]["text"])
+    assert m[1] == m[2] and m[1].split()[0].endswith(pii._ENDS["latin"]["w"])
+    m = re.fullmatch(r"Mr\. (\w+) met Mr\. (\w+) (\w+)\.", out[1]["text"])
+    assert m[1] == m[2] != m[3]
+    new = {w for i in range(2, 202) for w in out[i]["text"].split()[1:]}
+    assert len(new) == 202
+
+
+@pytest.mark.parametrize("run", ["a", "A1.", "9", ".", "+1 ", "Zm9vYmFy+/", "Mr. ", "Mr. Aa-", "Aa-", "x@", "@a.", "1.2.", "Anna Mr. Anna "])
+def test_pii_time_is_linear(run):
+    text = "Mrs. Anna-Lena Roe, jo@x.org. " + run * (1_000_000 // len(run))
+    start = time.monotonic()
+    found = pii.detect(text)
+    assert time.monotonic() - start < 5 and [v for *_, v in found][:3] == ["Anna-Lena", "Roe", "jo@x.org"]
+
+
+def test_pii_arrow_prefilter_loses_nothing(texts):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    digits = [c + c for c in map(chr, range(sys.maxunicode)) if c.isdecimal()]
+    assert pc.all(pc.match_substring_regex(pa.array(digits), pii.MAY_HOLD)).as_py()
+    for t in texts.values():
+        assert not pii.detect(t or "") or pc.match_substring_regex(pa.array([t]), pii.MAY_HOLD)[0].as_py()
+
+
+def test_pii_odd_tables(spark, odd_docs, no_docs):
+    out = pii.replace(odd_docs, b"k")
+    assert out.count() == odd_docs.count() and out.columns == ["doc_id", "text", "n_entities", "entities"]
+    assert pii.replace(no_docs, b"k").count() == 0
+    twice = spark.createDataFrame([(1, "Mr. Al Roe", "x")] * 3 + [(None, None, "y")], "doc_id long, text string, mentions string")
+    rows = pii.replace(twice, b"k").collect()
+    assert len(rows) == 4 and len({r["text"] for r in rows if r["doc_id"] == 1}) == 1
+
+
 def plain_rules(text):
     words, lines = WORD.findall(text or ""), [x for x in (text or "").split("\n") if WORD.search(x)]
     windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
