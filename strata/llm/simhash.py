@@ -232,6 +232,7 @@ class _Union:
         return a != b
 
 
+SPREAD = 1024  # parts that the rows of one component are dealt over where its smallest id is joined
 SHORT = 48  # runs up to this length are compared by shifting the whole batch
 
 
@@ -305,8 +306,11 @@ def _placed(rows: DataFrame, max_bits: int) -> DataFrame:
     fps = written(rows.groupBy("fp").agg(F.min("id").alias("low")), "distinct")
     roots = components(link(fps, max_bits)).withColumnRenamed("node", "fp")
     known = written(fps.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root")), "roots")
-    lowest = known.groupBy("root").agg(F.min("low").alias("low"))
-    return rows.join(known.drop("low").join(lowest, "root"), "fp")
+    # a component's rows lie in up to SPREAD parts; the parts, not the rows, meet its smallest id
+    known = known.withColumn("part", F.pmod(F.xxhash64("fp"), F.lit(SPREAD)))
+    parts = known.groupBy("root", "part").agg(F.min("low").alias("low"))
+    lowest = parts.drop("low").join(parts.groupBy("root").agg(F.min("low").alias("low")), "root")
+    return rows.join(known.drop("low").join(lowest, ["root", "part"]).drop("part"), "fp")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -343,9 +347,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", *keys)
     placed = written(_placed(rows.groupBy(*keys, "id", "fp").agg(F.count("*").alias("copies")), max_bits)
                      .select(*keys, "root", "copies", place.alias("place")), "placed")
-    first = placed.groupBy("root").agg(F.min("place").alias("first"))
-    judged = written(placed.join(first, "root")
-                     .select(*keys, "copies", (F.col("place") == F.col("first")).alias("stays")), "judged")
+    first = placed.groupBy("root").agg(F.min("place").alias("place")).withColumn("first", F.lit(True))
+    # joined by the row's place too, so that the rows of a large component lie in many tasks
+    judged = written(placed.join(first, ["root", "place"], "left")
+                     .select(*keys, "copies", F.col("first").isNotNull().alias("stays")), "judged")
     kept = marked.join(judged.filter(~F.col("stays")).select(*keys), keys, "left_anti")
     again = judged.filter(F.col("stays") & (F.col("copies") > 1)).select(*keys)
     if not again.isEmpty():
