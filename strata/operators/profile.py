@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.ranks import exact_quantiles, with_totals
+from strata.functions.ranks import exact_quantiles, materialize, with_totals
 
 
 def _long_numeric(df: DataFrame, cols: list[str], ids: list[str] | None = None) -> DataFrame:
@@ -267,67 +267,43 @@ def missing_by_group(df: DataFrame, cols: list[str], group: str) -> DataFrame:
 
 
 # A15 --------------------------------------------------------------------------------------
-def density_grid(df: DataFrame, col: str, group: str, grid: int = 100, fine_bins: int = 400) -> DataFrame:
-    """Gaussian kernel density of ``col`` per group on a regular grid.
+def density_grid(df: DataFrame, col: str, group: str, grid: int = 100) -> DataFrame:
+    """Gaussian kernel density of ``col`` per group on a regular grid over the whole range.
 
-    The rows are first reduced to a fine equal-width histogram per group
-    (fine_bins rows per group, independent of the row count); the kernel is
-    evaluated between grid points and bin centres (grid x bins per group, a
-    bounded table). Bandwidth by Scott's rule (n^-1/5 x sample std per group).
+    Bandwidth by Scott's rule (n^-1/5 x sample std of the group). Equal values
+    are one row; each goes to the grid points within 8 bandwidths only (what is left out is below 1e-14 of a
+    kernel's peak) and is added up before the shuffle, so a group sends at
+    most ``grid`` rows a task. A group without spread has no density; NaN counts as missing.
     """
     x = F.col(col).cast("double")
-    base = df.where(x.isNotNull() & F.col(group).isNotNull()).select(group, x.alias("x"))
-    rng = base.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    w = (F.col("hi") - F.col("lo")) / fine_bins
-    b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("x") - F.col("lo")) / w), F.lit(fine_bins - 1)))
-    hist = (base.crossJoin(F.broadcast(rng)).withColumn("b", b)
-            .groupBy(group, "b", "lo", "hi").agg(F.count(F.lit(1)).alias("c"))
-            .withColumn("center", F.col("lo") + (F.col("b") + 0.5) * (F.col("hi") - F.col("lo")) / fine_bins))
-    bw = base.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd")).withColumn(
-        "h", F.pow(F.col("n").cast("double"), -0.2) * F.col("sd"))
-    spark = df.sparkSession
-    g = spark.range(grid).select(F.col("id").cast("int").alias("g"))
-    pts = g.crossJoin(F.broadcast(rng)).select(
-        "g", (F.col("lo") + F.col("g") * (F.col("hi") - F.col("lo")) / (grid - 1)).alias("grid_x"))
-    k = hist.join(F.broadcast(bw), group).crossJoin(F.broadcast(pts))  # bounded: groups x bins x grid
-    z = (F.col("grid_x") - F.col("center")) / F.col("h")
-    return (k.groupBy(group, "g", "grid_x").agg(
-        (F.sum(F.col("c") * F.exp(-0.5 * z * z)) / (F.first("n") * F.first("h") * F.lit((2 * 3.141592653589793) ** 0.5)))
-        .alias("density")).select(group, "grid_x", "density"))
+    base = df.where(x.isNotNull() & ~F.isnan(x) & F.col(group).isNotNull()).select(F.col(group).alias("grp"), x.alias("x"))
+    values = materialize(base.groupBy("grp", "x").agg(F.count(F.lit(1)).alias("c")))
+    rng = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    n = F.sum("c").cast("double")
+    mid = values.groupBy("grp").agg(n.alias("n"), F.try_divide(F.sum(F.col("c") * F.col("x")), n).alias("mean"))
+    spread = (values.join(mid, "grp").groupBy("grp", "n")
+              .agg(F.sum(F.col("c") * F.pow(F.col("x") - F.col("mean"), 2)).alias("ss")))
+    # no hint: adaptive execution broadcasts the groups only when it has measured them
+    bw = spread.where("n > 1 and ss > 0").select("grp", "n", (F.pow("n", F.lit(-0.2)) * F.sqrt(F.col("ss") / (F.col("n") - 1))).alias("h"))
+    step = (F.col("hi") - F.col("lo")) / (grid - 1)
+    near = values.join(bw, "grp").crossJoin(F.broadcast(rng))  # one row
+    first = F.greatest(F.lit(0), F.ceil((F.col("x") - 8 * F.col("h") - F.col("lo")) / step).cast("int"))
+    last = F.least(F.lit(grid - 1), F.floor((F.col("x") + 8 * F.col("h") - F.col("lo")) / step).cast("int"))
+    at = near.where(first <= last).withColumn("g", F.explode(F.sequence(first, last)))
+    z = (F.col("lo") + F.col("g") * step - F.col("x")) / F.col("h")
+    dens = at.groupBy("grp", "n", "h", "g").agg(F.sum(F.col("c") * F.exp(-0.5 * z * z)).alias("k"))
+    pts = df.sparkSession.range(grid).select(F.col("id").cast("int").alias("g")).crossJoin(F.broadcast(rng))
+    every = bw.crossJoin(F.broadcast(pts)).select("grp", "n", "h", "g", (F.col("lo") + F.col("g") * step).alias("grid_x"))
+    density = F.coalesce(F.col("k"), F.lit(0.0)) / (F.col("n") * F.col("h") * (2 * 3.141592653589793) ** 0.5)
+    return every.join(dens, ["grp", "n", "h", "g"], "left").select(F.col("grp").alias(group), "grid_x", density.alias("density"))
 
 
 # A16 --------------------------------------------------------------------------------------
-def smooth_rate(df: DataFrame, x_col: str, y_col: str, frac: float = 0.35, bins: int = 100) -> DataFrame:
-    """Locally weighted linear fit of ``y`` on ``x`` (tricube weights over the
-    nearest ``frac`` of the rows), one pass without robustness iterations
-    (documented deviation). Rows are reduced to ``bins`` equal-width bins;
-    the fit runs on the bounded grid x bins table."""
-    x = F.col(x_col).cast("double")
-    base = df.where(x.isNotNull() & F.col(y_col).isNotNull()).select(x.alias("x"), F.col(y_col).cast("double").alias("y"))
-    rng = base.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n"))
-    w = (F.col("hi") - F.col("lo")) / bins
-    b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(F.least(F.floor((F.col("x") - F.col("lo")) / w), F.lit(bins - 1)))
-    agg = (base.crossJoin(F.broadcast(rng)).withColumn("b", b).groupBy("b", "n")
-           .agg(F.count(F.lit(1)).alias("c"), F.avg("x").alias("xb"), F.sum("y").alias("sy")))
-    grid = agg.select(F.col("b").alias("g"), F.col("xb").alias("x0"))
-    pairs = grid.crossJoin(F.broadcast(agg)).withColumn("d", F.abs(F.col("xb") - F.col("x0")))
-    wnd = Window.partitionBy("g").orderBy("d", "b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = pairs.withColumn("cum", F.sum("c").over(wnd))
-    span = (cum.where(F.col("cum") >= F.ceil(F.lit(frac) * F.col("n"))).groupBy("g")
-            .agg(F.min("d").alias("h")))
-    t = pairs.join(span, "g").withColumn(
-        "u", F.when(F.col("h") > 0, F.col("d") / (F.col("h") * 1.000001)).otherwise(F.lit(0.0)))
-    wt = F.when(F.col("u") < 1, F.pow(1 - F.pow(F.col("u"), 3), 3)).otherwise(F.lit(0.0)) * F.col("c")
-    s = t.groupBy("g", "x0").agg(
-        F.sum(wt).alias("sw"), F.sum(wt * F.col("xb")).alias("swx"),
-        F.sum(wt * F.col("sy") / F.col("c")).alias("swy"),
-        F.sum(wt * F.col("xb") * F.col("xb")).alias("swxx"),
-        F.sum(wt * F.col("xb") * F.col("sy") / F.col("c")).alias("swxy"))
-    den = F.col("sw") * F.col("swxx") - F.col("swx") * F.col("swx")
-    slope = F.when(F.abs(den) > 1e-12, (F.col("sw") * F.col("swxy") - F.col("swx") * F.col("swy")) / den).otherwise(0.0)
-    icpt = (F.col("swy") - slope * F.col("swx")) / F.col("sw")
-    return s.select("x0", (icpt + slope * F.col("x0")).alias("fitted"))
+def smooth_rate(df: DataFrame, x_col: str, y_col: str, frac: float = 0.35) -> DataFrame:
+    """Locally weighted rate of ``y`` along ``x`` with three robust passes, see ``strata.operators.smooth``."""
+    from strata.operators.smooth import smooth_rate as smooth
+
+    return smooth(df, x_col, y_col, frac)
 
 
 # P6 / P10 / J6 ----------------------------------------------------------------------------

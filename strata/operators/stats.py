@@ -7,13 +7,15 @@ Arrow UDFs of ``functions.special``.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.ranks import exact_quantiles, materialize, midranks
+from strata.functions.ranks import cumulative, exact_quantiles, label_counts, materialize, midranks
 from strata.functions.special import chi2_sf_udf, f_sf_udf, norm_sf2_udf, t_sf2_udf
 from strata.operators.information import knn_information
 from strata.operators.profile import _long_numeric, contingency
@@ -362,12 +364,58 @@ def mutual_information(df: DataFrame, discrete: list[str], continuous: list[str]
     return out.unionByName(knn_information(df, continuous, label, k)).orderBy(F.desc("mi"), "feature")
 
 
-def normality_ks(df: DataFrame, col: str) -> DataFrame:
-    """Kolmogorov-Smirnov statistic and p-value of a column against the
-    normal distribution with its own mean and sample std (MLlib)."""
-    from pyspark.ml.stat import KolmogorovSmirnovTest
+def _normal_cdf(x: Column) -> Column:
+    @F.pandas_udf("double")
+    def cdf(z: pd.Series) -> pd.Series:
+        return pd.Series([0.5 * math.erfc(-v / math.sqrt(2.0)) for v in z], dtype="float64")
+
+    return cdf(x)
+
+
+def _modified(d, n):
+    """Stephens' form of the statistic, whose null distribution hardly depends on ``n``."""
+    root = np.sqrt(n)
+    return d * (root - 0.01 + 0.85 / root)
+
 
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    m = x.agg(F.avg("x").alias("mu"), F.stddev_samp("x").alias("sd")).first()
-    res = KolmogorovSmirnovTest.test(x, "x", "norm", float(m["mu"]), float(m["sd"]))
-    return res.select(F.lit(col).alias("column"), "statistic", "pValue")
+def null_distance(draw: int, n: int) -> float:
+    """Modified distance of the ``draw``-th normal sample of ``n`` rows from its own fitted normal distribution."""
+    z = np.sort(np.random.default_rng([7, draw]).standard_normal(n))
+    z = (z - z.mean()) / z.std(ddof=1)
+    p = np.array([0.5 * math.erfc(-v / math.sqrt(2.0)) for v in z])
+    k = np.arange(n)
+    return float(_modified(max(((k + 1) / n - p).max(), (p - k / n).max()), n))
+
+
+def normality_ks(df: DataFrame, col: str, draws: int = 2000, draw_rows: int = 1000) -> DataFrame:
+    """``(column, n, statistic, p_value)``: Kolmogorov-Smirnov distance of a column from the normal
+    distribution with its own mean and sample deviation, and its p-value given that both are estimated (Lilliefors).
+
+    The distance comes from the running counts of the distinct values (written
+    ranges, no window over all rows). The p-value is the share of ``draws`` normal samples of
+    ``min(n, draw_rows)`` rows, seeded by their number, whose modified statistic is as large. NULL and NaN are left out;
+    a constant column has neither statistic nor p-value.
+    """
+    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    moments = x.agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mu"), F.stddev_samp("x").alias("sd"))
+    cum = cumulative(label_counts(x, "x"), "x", ["cnt"]).crossJoin(F.broadcast(moments))  # one row
+    p = _normal_cdf((F.col("x") - F.col("mu")) / F.col("sd"))
+    gap = (cum.where(F.col("sd") > 0).select("cum_cnt", "cnt", "n", p.alias("p"))
+           .agg(F.max(F.greatest(F.col("cum_cnt") / F.col("n") - F.col("p"),
+                                 F.col("p") - (F.col("cum_cnt") - F.col("cnt")) / F.col("n"))).alias("statistic")))
+    one = moments.crossJoin(F.broadcast(gap)).select("n", "statistic")
+    size = F.least(F.col("n"), F.lit(draw_rows))
+
+    def draw(batches):
+        for b in batches:
+            out = [null_distance(i, n) for i, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            yield pa.record_batch({"drawn": pa.array(out, pa.float64())})
+
+    sizes = (df.sparkSession.range(draws).crossJoin(F.broadcast(one.select(size.alias("size"))))
+             .where("size > 1").select("id", "size"))
+    root = F.sqrt(F.col("n").cast("double"))
+    seen = one.withColumn("seen", F.col("statistic") * (root - 0.01 + 0.85 / root))
+    share = (sizes.mapInArrow(draw, "drawn double").crossJoin(F.broadcast(seen.select("seen")))
+             .agg(((F.count_if(F.col("drawn") >= F.col("seen")) + 1) / (F.count(F.lit(1)) + 1)).alias("share")))
+    return one.crossJoin(F.broadcast(share)).select(
+        F.lit(col).alias("column"), "n", "statistic", F.when(F.col("statistic").isNotNull(), F.col("share")).alias("p_value"))

@@ -7,7 +7,7 @@ later reach the parquet reader through Catalyst (``PushedFilters`` /
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,39 +34,44 @@ def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
                            for c in targets})
 
 
-def _missing_token(c: Column) -> Column:
-    return F.trim(c).isin(PANDAS_NA_TOKENS)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, corrupt_col: str = "_corrupt_record",
+             raw_col: str = "_raw_record", multi_line: bool = False, header: bool = True) -> DataFrame:
+    """CSV scan with (unless told otherwise) header and an explicit schema; no record is lost or changed unseen.
 
-
-def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             corrupt_col: str = "_corrupt_record") -> DataFrame:
-    """CSV scan with header and an explicit schema.
-
-    Every field is read as text first, the pandas missing tokens become NULL,
-    then each field is cast with ``try_cast`` so a bad value becomes NULL and
-    the raw line is kept in ``corrupt_col`` for quarantine (no row is lost).
+    Every field is read as text first, the pandas missing tokens become NULL (a token
+    with blanks around it is text, as in pandas), then each field is cast with ``try_cast``. ``corrupt_col``
+    lists what is wrong with a record: ``<fields>`` if it has too few fields (the rest is NULL) or too
+    many (the surplus is in the raw record only), and the name of each field that could not be cast.
+    ``raw_col`` is the record itself where the list is not empty (written anew from its fields if
+    only casts failed), else NULL. ``multi_line``: quoted fields may hold line
+    ends; a file is then read by one task, so large tables should come in many files.
     """
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     raw = (spark.read
-           .option("header", True)
+           .option("header", header)
            .option("mode", "PERMISSIVE")
            .option("quote", '"')
            .option("escape", '"')
-           .schema(text_schema)
+           .option("multiLine", multi_line)
+           .option("columnPruning", False)  # else only the selected fields would be counted
+           .option("columnNameOfCorruptRecord", raw_col)
+           .schema(T.StructType([*text.fields, T.StructField(raw_col, T.StringType(), True)]))
            .csv(path))
+    blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}  # kept as they are
+    fields = [F.col(f"`{f.name}`") for f in schema.fields]
     cleaned = {}
-    bad = []  # evaluated against the raw text columns, in the same projection
-    for f in schema.fields:
-        c = F.col(f"`{f.name}`")
-        v = F.when(_missing_token(c), F.lit(None)).otherwise(c)
+    bad = [F.when(F.col(raw_col).isNotNull(), F.lit("<fields>"))]  # evaluated against the raw text columns, in the same projection
+    for f, c in zip(schema.fields, fields, strict=True):
+        v = F.when(~c.isin(PANDAS_NA_TOKENS), c)
         if isinstance(f.dataType, T.StringType):
             cleaned[f.name] = v
         else:
             typed = v.try_cast(f.dataType)
             cleaned[f.name] = typed
             bad.append(F.when(v.isNotNull() & typed.isNull(), F.lit(f.name)))
-    if bad:
-        cleaned[corrupt_col] = F.array_compact(F.array(*bad))
+    wrong = F.array_compact(F.array(*bad))
+    cleaned[corrupt_col] = wrong
+    cleaned[raw_col] = F.when(F.size(wrong) > 0, F.coalesce(F.col(raw_col), F.to_csv(F.struct(*fields), blanks)))
     return nan_to_null(raw.withColumns(cleaned))
 
 

@@ -57,6 +57,24 @@ def test_csv_scan_missing_tokens_and_bad_numbers(spark, tmp_path):
     assert rows[5]["age"] is None and rows[5]["sex"] is None
 
 
+def test_csv_scan_keeps_every_record(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from strata.sources.tables import read_csv
+    p = tmp_path / "in.csv"
+    p.write_text('id,age,name\n1,29,"Roe, Al"\n2,30,x,more\n3\n4,old,y\n5,31,"two\nlines ""q"""\n6, NA , NA \n\n7,,""\n')
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("age", T.DoubleType()),
+                           T.StructField("name", T.StringType())])
+    df = read_csv(spark, str(p), schema, multi_line=True)
+    rows = {r["id"]: (r["age"], r["name"], r["_corrupt_record"], r["_raw_record"]) for r in df.collect()}
+    assert rows.pop(2)[:3] == (30.0, "x", ["<fields>"]) and rows.pop(3) == (None, None, ["<fields>"], "3")
+    assert rows == {1: (29.0, "Roe, Al", [], None), 4: (None, "y", ["age"], "4,old,y"), 5: (31.0, 'two\nlines "q"', [], None),
+                    6: (None, " NA ", ["age"], '6, NA , NA '), 7: (None, None, [], None)}
+    # a record is judged by all its fields whatever is selected
+    assert {r["id"] for r in df.where(F.size("_corrupt_record") > 0).select("id").collect()} == {2, 3, 4, 6}
+    assert read_csv(spark, str(p), schema, multi_line=True).where("_raw_record like '2,30%'").first()["_raw_record"].strip() == "2,30,x,more"
+
+
 def test_stream_quarantine_holds_rejected_rows(spark):
     from __spark_entry__ import queries
 

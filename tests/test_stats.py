@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strata.functions import special as SP
@@ -69,6 +70,79 @@ def test_smooth_rate_in_unit_interval(spark):
     assert rows and all(-0.05 <= r["fitted"] <= 1.05 for r in rows)
 
 
+def plain_lowess(x, y, at, frac, robust):
+    """The curve at ``at`` by sorting all distances for each anchor."""
+    n, k = len(x), max(2, int(frac * len(x) + 1e-10))
+    keep, out = np.ones(n), None
+    for _ in range(robust + 1):
+        out = []
+        for a in at:
+            d = np.abs(x - a)
+            h = np.sort(d)[k - 1]
+            w = keep * np.where(d <= 0.001 * h, 1, np.where(d <= 0.999 * h, (1 - (d / max(h, 1e-300)) ** 3) ** 3, 0))
+            m = (w * x).sum() / w.sum()
+            v = (w * (x - m) ** 2).sum() / w.sum()
+            slope = (w * (x - m) * y).sum() / w.sum() / v if np.sqrt(v) > 0.001 * (x.max() - x.min()) else 0.0
+            out.append((w * y).sum() / w.sum() + slope * (a - m))
+        r = np.abs(y - np.interp(x, at, out))
+        r = r / (6 * np.median(r))
+        keep = np.where(r <= 0.001, 1, np.where(r < 0.999, (1 - r * r) ** 2, 0))
+    return np.array(out)
+
+
+@pytest.mark.parametrize("ties,anchors,robust", [(True, 100, 3), (False, 40, 3), (False, 40, 0)])
+def test_smoother_matches_brute_force(spark, ties, anchors, robust):
+    from strata.operators.smooth import smooth_rate
+    r = np.random.default_rng(4)
+    x = r.gamma(2.0, 10.0, 701)
+    x = np.floor(x) if ties else x
+    y = np.round(np.sin(x / 9) + r.normal(0, 0.3, 701) + 8.0 * (r.random(701) < 0.05), 2)
+    rows = [*zip(x.tolist(), y.tolist()), (None, 1.0), (1.0, None), (float("nan"), 0.0)]
+    df = spark.createDataFrame(rows, "x double, y double").repartition(5)
+    got = sorted(smooth_rate(df, "x", "y", 0.35, robust, anchors).collect())
+    at = np.array([p["x0"] for p in got])
+    assert at[0] == x.min() and at[-1] == x.max() and (len(at) == len(np.unique(x)) or not ties)
+    np.testing.assert_allclose([p["fitted"] for p in got], plain_lowess(x, y, at, 0.35, robust), rtol=1e-8, atol=1e-8)
+
+
+def test_smoother_of_few_rows(spark):
+    from strata.operators.smooth import smooth_rate
+    def run(rows):
+        return [tuple(r) for r in smooth_rate(spark.createDataFrame(rows, "x double, y double"), "x", "y").collect()]
+    assert run([]) == [] and run([(None, 1.0)]) == []
+    assert run([(2.0, 1.0), (2.0, 0.0)]) == [(2.0, 0.5)]
+
+
+def test_density_is_exact(spark):
+    from strata.operators.profile import density_grid
+    r = np.random.default_rng(5)
+    x, g = np.round(np.exp(r.normal(3, 1, 900)), 2), r.integers(0, 3, 900)
+    rows = [*zip(x.tolist(), g.tolist()), (None, 1), (float("nan"), 1), (5.0, 7), (5.0, None)]
+    got = density_grid(spark.createDataFrame(rows, "x double, g long"), "x", "g").collect()
+    assert len(got) == 300 and {p["g"] for p in got} == {0, 1, 2}
+    for p in got:
+        v = x[g == p["g"]]
+        h = len(v) ** -0.2 * v.std(ddof=1)
+        want = np.exp(-0.5 * ((p["grid_x"] - v) / h) ** 2).sum() / (len(v) * h * np.sqrt(2 * np.pi))
+        assert abs(p["density"] - want) < 1e-13
+
+
+def test_normality_with_estimated_parameters(spark):
+    from strata.operators.stats import normality_ks
+    r = np.random.default_rng(6)
+    z = r.normal(5, 2, 400)
+    d = {}
+    for name, x in (("normal", z), ("skewed", np.exp(z / 4)), ("constant", np.ones(20))):
+        rows = [(v,) for v in x.tolist()] + [(None,), (float("nan"),)]
+        d[name] = normality_ks(spark.createDataFrame(rows, "x double"), "x").first()
+    assert d["constant"]["statistic"] is None and d["constant"]["p_value"] is None
+    assert d["normal"]["n"] == 400 and d["normal"]["p_value"] > 0.05 and d["skewed"]["p_value"] < 0.01
+    # published points of the modified statistic: 0.819 at 10 %, 0.895 at 5 %; with known parameters they are 1.224 and 1.358
+    for n in (30, 200):
+        drawn = [ST.null_distance(i, n) for i in range(3000)]
+        assert np.allclose(np.quantile(drawn, [0.9, 0.95]), [0.819, 0.895], atol=0.025)
+
+
 def test_bootstrap_interval_contains_point(spark):
     from strata.operators import bootstrap as B
     from strata.operators import evaluate as E
