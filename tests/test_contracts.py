@@ -81,3 +81,25 @@ def test_stream_quarantine_holds_rejected_rows(spark):
     rows = {r["violations"]: r["n"] for r in queries()["stream_quarantine"](spark, SF001).collect()}
     n_null_age = cohort(spark, SF001).where(F.col("age").isNull()).count()
     assert rows == {"age: required": n_null_age}
+
+
+def test_stream_batches_have_a_manifest(spark, tmp_path):
+    from strata.streaming.score import quarantined, start_scoring
+    src, out, received, ckpt, manifest = (str(tmp_path / x) for x in ("in", "out", "received", "ckpt", "manifest"))
+    schema = "id long, pclass int, sex string, age double, sibsp int, parch int, fare double, embarked string"
+    good = [(i, 1 + i % 3, "male", 20.0 + i, 0, 0, 5.0, None) for i in range(6)]
+    bad = [(10, 1, "male", 200.0, 0, 0, 5.0, "S"), (11, 9, None, 3.0, 0, 0, 5.0, "S")]
+
+    def run():
+        rules = [r for r in V.REQUEST_RULES if r.column not in ("has_cabin", "title")]
+        start_scoring(spark, src, spark.createDataFrame([], schema).schema, lambda d: d.select("id", "embarked"), out, received, ckpt,
+                      manifest, rules).awaitTermination()
+
+    for rows in (good[:4], bad[:1], good[4:] + bad[1:]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        run()
+    run()  # nothing new
+    assert sorted(tuple(r) for r in spark.read.parquet(manifest).select("n_valid", "n_quarantined").collect()) == [(0, 1), (2, 1), (4, 0)]
+    assert sorted((r["id"], r["embarked"]) for r in spark.read.parquet(out).collect()) == [(i, "S") for i in range(6)]
+    assert {r["id"]: r["violations"] for r in quarantined(spark, received, manifest).collect()} == {
+        10: ["age: above 100"], 11: ["pclass: not allowed", "sex: required"]}

@@ -11,7 +11,7 @@ NAMES = [
     "contract_report", "row_violations", "chi_square", "feature_audit", "levene", "spearman_matrix",
     "mann_whitney", "roc_auc", "average_precision", "roc_curve", "calibration", "threshold_sweep",
     "subgroup_metrics", "extreme_cases", "batch_score", "linear_shap", "nearest_rows", "overfit_read",
-    "stream_score", "scan_cohort", "result_sink", "doc_quality_rates", "paired_predictions", "duplicate_counts",
+    "stream_score", "stream_quarantine", "scan_cohort", "result_sink", "doc_quality_rates", "paired_predictions", "duplicate_counts",
     "value_counts", "target_distribution", "density_grid", "normality_ks", "missing_corr", "class_report",
 ]
 
