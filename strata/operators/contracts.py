@@ -53,8 +53,8 @@ def contract_report(df: DataFrame, contract: Contract = COHORT_CONTRACT) -> Data
     """V1: all contract problems as rows (empty when the table conforms)."""
     spark = df.sparkSession
     cols = set(df.columns)
-    schema_rows = [(c, "missing", "required column is absent") for c in contract.required if c not in cols]
-    schema_rows += [(c, "unexpected", "column is not in the known schema")
+    schema_rows = [(c, "missing", "must be present") for c in contract.required if c not in cols]
+    schema_rows += [(c, "unexpected", "not among the columns of the contract")
                     for c in sorted(cols - set(contract.required) - contract.optional)]
     present = [c for c in contract.required if c in cols]
     fixed = spark.createDataFrame(schema_rows, REPORT_SCHEMA)
@@ -69,13 +69,13 @@ def contract_report(df: DataFrame, contract: Contract = COHORT_CONTRACT) -> Data
         if c not in contract.nullable:
             rows.append(F.when(F.col(f"nulls__{c}") > 0, F.struct(
                 F.lit(c).alias("column"), F.lit("nulls").alias("problem"),
-                F.concat(F.col(f"nulls__{c}").cast("string"), F.lit(" null value(s)")).alias("detail"))))
+                F.concat(F.col(f"nulls__{c}").cast("string"), F.lit(" rows without a value")).alias("detail"))))
         want = contract.kinds.get(c)
         kind = dtype_kind(types[c])
         if want and kind not in want:
             rows.append(F.when(F.col(f"nonnull__{c}") > 0, F.struct(
                 F.lit(c).alias("column"), F.lit("dtype").alias("problem"),
-                F.lit(f"{types[c].simpleString()}, expected kind in '{want}'").alias("detail"))))
+                F.lit(f"is {types[c].simpleString()}, one of {', '.join(want)} is due").alias("detail"))))
     if not rows:
         return fixed
     found = wide.select(F.explode(F.array_compact(F.array(*rows))).alias("r")).select("r.*")

@@ -24,11 +24,11 @@ def broken_cohort(spark, sf):
 
 
 @register("contract_report", C + """
-SELECT 'sex' AS "column", 'missing' AS problem, 'required column is absent' AS detail
-UNION ALL SELECT 'survived_flag', 'unexpected', 'column is not in the known schema'
-UNION ALL SELECT 'embarked', 'nulls', CAST(c AS VARCHAR) || ' null value(s)'
+SELECT 'sex' AS "column", 'missing' AS problem, 'must be present' AS detail
+UNION ALL SELECT 'survived_flag', 'unexpected', 'not among the columns of the contract'
+UNION ALL SELECT 'embarked', 'nulls', CAST(c AS VARCHAR) || ' rows without a value'
           FROM (SELECT count(*) - count(embarked) AS c FROM cohort) WHERE c > 0
-UNION ALL SELECT 'fare', 'dtype', 'string, expected kind in ''fiu'''
+UNION ALL SELECT 'fare', 'dtype', 'is string, one of f, i, u is due'
           FROM (SELECT count(fare) AS c FROM cohort) WHERE c > 0
 """)
 def q_contract_report(spark, sf):

@@ -233,3 +233,11 @@ def test_vif_of_collinear_set_with_dummy(spark):
     got = {r["feature"]: r["vif"] for r in q_vif_reference(spark, SF001).collect()}
     assert all(np.isinf(got[c]) for c in ("sibsp", "parch", "family_size"))
     assert all(1 <= got[c] < 1e6 for c in ("pclass", "sex_male", "age", "fare", "is_alone", "has_cabin", "fare_per_person"))
+
+
+def test_tails_at_published_points():
+    for got, want in ((SP.chi2_sf(3.841459, 1), 0.05), (SP.chi2_sf(18.307038, 10), 0.05), (SP.t_sf2(2.228139, 10), 0.05),
+                      (SP.f_sf(4.964603, 1, 10), 0.05), (SP.f_sf(2.978237, 10, 10), 0.05), (SP.beta_inc(0.5, 0.5, 0.5), 0.5)):
+        assert abs(got - want) < 1e-6
+    assert SP.chi2_sf(0.0, 3) == 1.0 and SP.chi2_sf(float("inf"), 3) == 0.0
+    assert abs(SP.chi2_sf(1e6, 1e6) - 0.4998119) < 1e-6  # many degrees of freedom
