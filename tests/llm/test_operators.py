@@ -537,7 +537,7 @@ def test_lm_counts_and_probabilities(spark, docs, odd_docs, no_docs):
         n, v = sum(c.values()), len(c)
         want = sorted(((i, held(i), len(w := toks(t)), sum(c[x] > 0 for x in w), n,
                         round(sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w), 6)) for i, t in data), key=str)
-        rows = lm.score_documents(source, model_words=200, known_words=600).collect()
+        rows = lm.score_documents(source, growth=2, known_words=600).collect()
         got = sorted(((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"],
                        round(r["base_score"], 6)) for r in rows), key=str)
         assert got == want and all(r["score"] <= 0 for r in rows)
@@ -547,15 +547,92 @@ def test_lm_counts_and_probabilities(spark, docs, odd_docs, no_docs):
     assert lm.score_documents(no_docs).count() == 0
 
 
-def test_lm_is_normalised():
-    vocab = lm.Vocabulary([(b"a", 9), (b"b", 5), (b"", 4), (b"rare.", 2)], 22, 6, {1: (2, 1), 0: (2, 2)}, 2)
-    model = lm.Model.start(vocab.share)
+def plain_log_p(model, vocab, w, a, b):
+    """Natural log probability of one token number, term by term."""
+    q = model.rows[:, :lm.DIM].astype(float)
+    h = model.c[0, :lm.DIM] * q[a] + model.c[1, :lm.DIM] * q[b]
+
+    def log_softmax(first, n, k):
+        z = [sum(h * r[:lm.DIM]) + r[lm.DIM] for r in model.rows[first:first + n]]
+        return z[k] - math.log(sum(math.exp(x) for x in z))
+
+    m, width = vocab.modelled, vocab.width
+    if w >= m:
+        return log_softmax(model.r_at, vocab.classes + lm.TAILS, vocab.classes + w - m)
+    k = w // width
+    return (log_softmax(model.r_at, vocab.classes + lm.TAILS, k)
+            + log_softmax(model.s_at + k * width, min(width, m - k * width), w - k * width))
+
+
+def test_lm_is_normalised_on_both_levels():
+    words = [(f"w{k}".encode(), 90 - k) for k in range(20)] + [(b"", 40), (b"rare.", 2)]
+    vocab = lm.Vocabulary(words, 1700, 25, {1: (2, 1), 0: (2, 2)}, 18)
+    assert (vocab.modelled, vocab.width, vocab.classes) == (19, 5, 4) and np.isclose(vocab.share.sum(), 1)
+    model = lm.Model.start(vocab)
     r = np.random.default_rng(1)
-    w, a, b = r.integers(0, vocab.size, (3, 3000))
-    lm.train_steps(model, np.ones(len(model.flat)), w, a, b, vocab.share, r)
-    near, far, norm = model.tables()
-    p = np.exp(near[:, None, :] + far[None, :, :] - norm[:, :, None])
-    assert np.allclose(p.sum(axis=2), 1)
+    w, a, b = r.integers(0, 19 + lm.TAILS, (3, 5000))
+    lm.train_steps(model, np.ones_like(model.rows), np.ones_like(model.c), w, a, b, vocab.share, r)
+    every = np.arange(19 + lm.TAILS)
+    for x, y in ((0, 0), (3, 24), (22, 7)):
+        got = model.log_p(every, np.full(len(every), x), np.full(len(every), y))
+        assert np.isclose(np.exp(got).sum(), 1, atol=1e-5)
+        assert np.allclose(got, [plain_log_p(model, vocab, k, x, y) for k in every], atol=1e-4)
+
+
+def test_lm_learns_what_follows_what():
+    """A word that decides the next one, on either level."""
+    words = [(f"w{k}".encode(), 100) for k in range(16)] + [(b"", 1)]
+    vocab = lm.Vocabulary(words, 1601, 17, {}, 16)
+    model, r = lm.Model.start(vocab), np.random.default_rng(2)
+    a, b = r.integers(1, 17, (2, 60_000))
+    w = (a - 1) * 3 % 16 + 1
+    lm.train_steps(model, np.ones_like(model.rows), np.ones_like(model.c), w, a, b, vocab.share, r)
+    assert model.log_p(w[:2000], a[:2000], b[:2000]).mean() > math.log(1 / 16) / 2
+
+
+def test_lm_modelled_words_grow_with_the_vocabulary(spark):
+    sizes = []
+    for n in (400, 40_000):
+        counts = spark.range(n).selectExpr("cast(concat('w', id) as binary) word", "if(id < 100, 50, 1) + id % 7 c")
+        sizes.append(lm.learn_vocabulary(counts).modelled)
+    assert sizes == [81, 801]
+
+
+def test_lm_scores_equal_a_token_by_token_sum(spark, docs, odd_docs):
+    for source in (docs.limit(40), odd_docs):
+        rows = source.selectExpr("doc_id id", "text")
+        learn = rows.filter(common.id_share(F.col("id"), 7) != 2)
+        counts = common.written(lm.word_counts(learn), "vocabulary")
+        vocab = lm.learn_vocabulary(counts, 2, 300)
+        model = lm.train(learn, vocab)
+        c = {bytes(r["word"]): r["c"] for r in counts.collect()}
+        tail = collections.defaultdict(lambda: [0, 0])
+        own = {x for x, i in vocab.index.items() if i < vocab.modelled}
+        for x, n in c.items():
+            if x not in own:
+                tail[lm.tail_class(x)][0] += n
+                tail[lm.tail_class(x)][1] += 1
+
+        def plain(text):
+            before, s = [0, 0], 0.0
+            for x in [*text.encode().lower().split(), b""][:300]:
+                t = lm.tail_class(x)
+                num = vocab.index[x] if x in own else vocab.modelled + t
+                s += plain_log_p(model, vocab, num, *before) / math.log(10)
+                if x not in own:
+                    s += math.log10((c.get(x, 0) + 1) / (sum(tail[t]) + 1))
+                before = [num, before[0]]
+            return s
+
+        short = [r for r in rows.collect() if len((r["text"] or "").split()) < 250][:6]
+        got = collections.defaultdict(list)
+        scored = lm._scored(rows, vocab, model).collect()
+        for r in scored:
+            add = sum(n * math.log10(c.get(bytes(x), 0) + 1) for x, n in zip(r["words"], r["times"], strict=True))
+            got[r["doc_id"]].append(r["model"] + add)
+        assert short
+        for r in short:
+            assert min(abs(x - plain(r["text"] or "")) for x in got[r["id"]]) < 1e-3
 
 
 # 10 ----------------------------------------------------------------------------------------------
