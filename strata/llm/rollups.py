@@ -2,9 +2,13 @@
 
 A store holds one folder of signed rows per batch, already summed by (source, lang,
 version). A batch is written once under its id; giving the same id again
-changes nothing, so a batch may be replayed after a failure. Totals are the sums
-over all committed batches. Inserts add, deletes subtract, revised counts
-subtract the old and add the new row.
+changes nothing, so a batch may be replayed after a failure. Inserts add, deletes subtract,
+revised counts subtract the old and add the new row.
+
+``fold`` adds the batches committed since the last snapshot to its totals and writes a new snapshot beside the
+ids of all batches in it. ``totals`` reads the last snapshot and the batches not in it, so a read costs one row
+for each group and what is new, however many batches came before. Their folders stay as marks
+that keep replays out, and are read no more. One writer folds at a time; commits may run beside it.
 """
 
 from __future__ import annotations
@@ -79,17 +83,50 @@ class Rollup:
          .write.mode("overwrite").parquet(f"{self.path}/batch={batch}"))
         return True
 
-    def batches(self) -> list[str]:
+    def _numbers(self, prefix: str) -> list[str]:
         if not self._exists(self.path):
             return []
         root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         found = root.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(root)
         names = sorted(f.getPath().getName() for f in found)
-        return [n[6:] for n in names if n.startswith("batch=") and self.committed(n[6:])]
+        return [n[len(prefix):] for n in names if n.startswith(prefix)]
 
-    def totals(self) -> DataFrame:
-        """``(source, lang, version, docs, tokens)``; groups whose documents are all gone are left out."""
-        paths = [f"{self.path}/batch={b}" for b in self.batches()]
+    def batches(self) -> list[str]:
+        return [n for n in self._numbers("batch=") if self.committed(n)]
+
+    def _snapshot(self) -> tuple[int, set[str]]:
+        """Number of the last whole snapshot (0: none) and the batches in it; its ids are written last."""
+        for n in sorted(map(int, self._numbers("snapshot=")), reverse=True):
+            at = f"{self.path}/snapshot={n}"
+            if self._exists(f"{at}/ids/_SUCCESS"):
+                return n, {r["id"] for r in self.spark.read.schema("id string").parquet(f"{at}/ids").collect()}
+        return 0, set()
+
+    def _sum(self, snapshot: int, new: list[str]) -> DataFrame:
+        paths = [f"{self.path}/snapshot={snapshot}/totals"] * (snapshot > 0) + [f"{self.path}/batch={b}" for b in new]
         rows = self.spark.read.schema(SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], SCHEMA)
         return (rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
                 .filter((F.col("docs") != 0) | (F.col("tokens") != 0)))
+
+    def _new(self, folded: set[str]) -> list[str]:
+        return [b for b in self._numbers("batch=") if b not in folded and self.committed(b)]
+
+    def fold(self) -> bool:
+        """Add the new batches to the snapshot; False if there are none.
+
+        A fold that failed half way left no mark beside its ids, is not read and is overwritten by the next.
+        """
+        last, folded = self._snapshot()
+        new = self._new(folded)
+        if not new:
+            return False
+        at = f"{self.path}/snapshot={last + 1}"
+        self._sum(last, new).write.mode("overwrite").parquet(f"{at}/totals")
+        ids = self.spark.createDataFrame([(b,) for b in sorted(folded | set(new))], "id string")
+        ids.write.mode("overwrite").parquet(f"{at}/ids")
+        return True
+
+    def totals(self) -> DataFrame:
+        """``(source, lang, version, docs, tokens)``; groups whose documents are all gone are left out."""
+        last, folded = self._snapshot()
+        return self._sum(last, self._new(folded))

@@ -514,6 +514,40 @@ def test_rollup_is_additive_and_idempotent(spark, docs, odd_docs):
     assert have() == want(first) and store.batches() == ["1", "2", "3", "4"]
 
 
+def test_rollup_reads_the_snapshot_and_new_batches_only(spark, no_docs):
+    from strata.session import shared_dir
+
+    path = shared_dir(spark, f"llm/rollup-test-{random.random()}")
+    store = rollups.Rollup(spark, path)
+    have = lambda: sorted((tuple(r) for r in store.totals().collect()), key=str)
+    deltas = lambda *rows: spark.createDataFrame(rows, rollups.SCHEMA)
+    assert not store.fold() and have() == []
+    assert store.commit("none", rollups.signed(rollups.counted(no_docs, {"a": vocabulary(BPE_JSON)}), 1)) and have() == []
+    store.commit("1", deltas(("x", "en", "a", 2, 10), ("x", "en", "a", 1, 5), ("y", "en", "a", 1, 7)))
+    store.commit("2", deltas((None, "en", "a", 1, 1)))
+    assert store.fold() and not store.fold()
+    store.commit("3", deltas(("y", "en", "a", -1, -7), ("x", "en", "a", 0, -2)))
+    assert not store.commit("1", deltas(("x", "en", "a", 9, 9)))  # known, though folded
+    want = sorted([(None, "en", "a", 1, 1), ("x", "en", "a", 3, 13)], key=str)
+    assert have() == want
+    read = {f.rsplit("/", 2)[1] for f in store.totals().inputFiles()}
+    assert read == {"totals", "batch=3"}
+    store.totals().write.parquet(f"{path}/snapshot=2/totals")  # a fold that died before its ids
+    assert have() == want
+    assert store.fold() and have() == want
+    assert {f.rsplit("/", 2)[1] for f in store.totals().inputFiles()} == {"totals"}
+
+
+def test_rollup_query_gives_the_totals_of_all_documents(spark, docs):
+    rows = rollups.counted(docs, {"byte_bpe_50k": vocabulary(BPE_JSON)}).collect()
+    want = collections.defaultdict(lambda: [0, 0])
+    for r in rows:
+        want[r["source"], r["lang"]][0] += 1
+        want[r["source"], r["lang"]][1] += r["n_tokens"]
+    got = {(r["source"], r["lang"]): [r["docs"], r["tokens"]] for r in QUERIES["op8_token_rollups"](spark, SF001).collect()}
+    assert got == want
+
+
 def test_rollup_batches_are_written_by_all_tasks(spark):
     from strata.session import shared_dir
 
