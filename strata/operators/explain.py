@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.ranks import exact_quantiles
 from strata.operators.evaluate import _div0
+from strata.operators.nearest import nearest
 from strata.operators.splits import hash_rank
 
 
@@ -190,57 +191,10 @@ def feature_sensitivity(cf: DataFrame, key: str) -> DataFrame:
 
 
 # X9 ---------------------------------------------------------------------------------------
-def nearest_rows(queries: DataFrame, history: DataFrame, key: str, features: list[str], k: int = 3,
-                 max_queries: int = 10_000) -> DataFrame:
-    """Top-k nearest history rows (Euclidean) for each query row, similarity
-    100 / (1 + d); ties by the smaller neighbour key; a row never matches
-    itself.
-
-    The query set is a request (row count checked against ``max_queries``
-    before it is shipped to the tasks). The history is scanned once: each
-    partition keeps its own k best per query with numpy over Arrow batches
-    (``mapInPandas``), so no sort of the history and no pair table; the
-    partition winners (partitions x queries x k rows) are ranked per query.
-    """
-    import numpy as np
-    import pandas as pd
-
-    rows = queries.select(key, *features).limit(max_queries + 1).collect()
-    if len(rows) > max_queries:
-        raise ValueError(f"more than {max_queries} query rows")
-    q_ids = np.array([r[key] for r in rows], dtype=np.int64)
-    q_mat = np.array([[float(r[f]) for f in features] for r in rows], dtype=np.float64).reshape(len(rows), len(features))
-
-    def best_per_partition(batches):
-        keep: list[pd.DataFrame] = []
-        for pdf in batches:
-            if pdf.empty or len(q_ids) == 0:
-                continue
-            h_ids = pdf[key].to_numpy(dtype=np.int64)
-            h = pdf[features].to_numpy(dtype=np.float64)
-            acc = np.zeros((len(q_ids), len(h_ids)))
-            for j in range(len(features)):  # same summation order as the SQL text
-                d = h[None, :, j] - q_mat[:, j][:, None]
-                acc = acc + d * d
-            dist = np.sqrt(acc)
-            dist[q_ids[:, None] == h_ids[None, :]] = np.inf  # never the row itself
-            for qi in range(len(q_ids)):
-                order = np.lexsort((h_ids, dist[qi]))[:k]
-                order = order[np.isfinite(dist[qi][order])]
-                keep.append(pd.DataFrame({"query_id": q_ids[qi], "neighbor_id": h_ids[order],
-                                          "distance": dist[qi][order]}))
-            if len(keep) > 4 * len(q_ids):  # fold the running winners of this partition
-                allk = pd.concat(keep).sort_values(["query_id", "distance", "neighbor_id"])
-                keep = [allk.groupby("query_id", sort=False).head(k)]
-        if keep:
-            allk = pd.concat(keep).sort_values(["query_id", "distance", "neighbor_id"])
-            yield allk.groupby("query_id", sort=False).head(k)
-
-    cand = history.select(key, *[F.col(f).cast("double").alias(f) for f in features]).mapInPandas(
-        best_per_partition, "query_id long, neighbor_id long, distance double")
-    w = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")  # partitions x k rows per query
-    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .withColumn("similarity", 100 / (1 + F.col("distance"))))
+def nearest_rows(queries: DataFrame, history: DataFrame, key: str, features: list[str], k: int = 3) -> DataFrame:
+    """``nearest`` over the given feature columns, with the similarity 100 / (1 + d)."""
+    of = lambda df: df.select(key, F.array(*[F.col(f).cast("double") for f in features]).alias("_v"))
+    return nearest(of(queries), of(history), key, "_v", k).withColumn("similarity", 100 / (1 + F.col("distance")))
 
 
 # X2 / R5 ----------------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from strata.operators import explain as X
 from strata.operators import profile as P
 from strata.operators import splits as S
+from strata.operators.nearest import nearest
 from strata.plans.catalog import register
 from strata.plans.fixtures import cohort, oracle_with
 from strata.plans.q_splits import split_cte
@@ -257,6 +258,49 @@ def q_nearest_rows(spark, sf):
     return out.select("query_id", "neighbor_id", "distance", F.col("rank").cast("int").alias("rank"), "similarity")
 
 
+_TRAIN_STATS = ", ".join(f"round(avg({f}), 6) AS {f}_mu, COALESCE(NULLIF(round(stddev_pop({f}), 6), 0), 1) AS {f}_sd"
+                         for f, _ in COEFS)
+_SCALED = ", ".join(f"({f} - {f}_mu) / {f}_sd AS {f}" for f, _ in COEFS)
+
+
+@register("similar_history", C + split_cte() + f""",
+ms AS (SELECT mx.*, split FROM mx JOIN split ON id = _key),
+st AS (SELECT {_TRAIN_STATS} FROM ms WHERE split = 'train'),
+z AS (SELECT id, split, {_SCALED} FROM ms, st),
+d AS (SELECT q.id AS query_id, min({{'distance': sqrt({DIST_SQL}), 'neighbor_id': h.id}}, 3) AS near
+      FROM z q, z h WHERE q.split = 'test' AND h.split = 'train' GROUP BY q.id),
+r AS (SELECT query_id, unnest(near) AS n, unnest(range(1, len(near) + 1)) AS rank FROM d)
+SELECT query_id, n.neighbor_id AS neighbor_id, n.distance AS distance, CAST(rank AS INT) AS rank,
+       100 / (1 + n.distance) AS similarity FROM r
+""")
+def q_similar_history(spark, sf):
+    """Every row of the test split against the training split, in the space scaled on the latter."""
+    m = matrix(spark, sf).join(S.stratified_split(cohort(spark, sf), "id", "label").select("id", "split"), "id")
+    own = [f for f, _ in COEFS]
+    stats = m.where(F.col("split") == "train").agg(
+        *[F.round(F.avg(f), 6).alias(f"{f}_mu") for f in own],
+        *[F.coalesce(F.nullif(F.round(F.stddev_pop(f), 6), F.lit(0.0)), F.lit(1.0)).alias(f"{f}_sd") for f in own])
+    z = m.crossJoin(F.broadcast(stats)).select(  # one row
+        "id", "split", *[((F.col(f) - F.col(f"{f}_mu")) / F.col(f"{f}_sd")).alias(f) for f in own])
+    out = X.nearest_rows(z.where(F.col("split") == "test"), z.where(F.col("split") == "train"), "id", own, k=3)
+    return out.select("query_id", "neighbor_id", "distance", F.col("rank").cast("int").alias("rank"), "similarity")
+
+
+@register("nearest_embeddings", """
+WITH d AS (SELECT q.vec_id AS query_id, h.vec_id AS neighbor_id, round(sqrt(list_sum(list_transform(range(1, len(q.embedding) + 1),
+             lambda i: (CAST(h.embedding[i] AS DOUBLE) - q.embedding[i]) * (CAST(h.embedding[i] AS DOUBLE) - q.embedding[i])))), 6) AS distance
+           FROM embeddings q, embeddings h WHERE q.vec_id % 50 = 0 AND h.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank FROM d)
+SELECT query_id, neighbor_id, distance, CAST(rank AS INT) AS rank FROM r WHERE rank <= 5
+""")
+def q_nearest_embeddings(spark, sf):
+    """X9 over `embeddings`: the five nearest rows of every fiftieth one, among all."""
+    e = spark.read.parquet(f"{sf}/embeddings.parquet")
+    out = nearest(e.where("vec_id % 50 = 0"), e, "vec_id", "embedding", k=5)
+    return out.select("query_id", "neighbor_id", F.round("distance", 6).alias("distance"),
+                      F.col("rank").cast("int").alias("rank"))
+
+
 # X2 ---------------------------------------------------------------------------------------
 PERM_COLS = ["sex", "pclass", "age", "fare", "embarked"]
 
