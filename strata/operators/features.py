@@ -327,6 +327,42 @@ def fitted_levels(df: DataFrame, col: str) -> list[str]:
     return sorted(r["v"] for r in rows)
 
 
+def _long(df: DataFrame, key: list[str], cols: list[str]) -> DataFrame:
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols]))
+    return df.select(*key, pairs.alias("_p")).select(*key, "_p.feature", "_p.value").where(F.col("value").isNotNull())
+
+
+def level_table(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Fitted levels of any number as a written table ``(feature, value, n, code)``: how many rows
+    have the value, and its place among the feature's values in the order of their text."""
+    from strata.functions.ranks import cumulative, materialize
+
+    counts = _long(df, [], cols).groupBy("feature", "value").agg(F.count("*").alias("n")).withColumn("_one", F.lit(1))
+    return materialize(cumulative(counts, "value", ["_one"], ["feature"], n_groups=len(cols)).select(
+        "feature", "value", "n", (F.col("cum__one") - 1).cast("long").alias("code")))
+
+
+def one_hot_sparse(df: DataFrame, key: list[str], cols: list[str], levels: DataFrame, heavy: int = 1000) -> DataFrame:
+    """The ones of a one-hot matrix in long form, ``(*key, feature, value, code)``, for levels from ``level_table``.
+
+    Nulls and values that were not fitted give no row. Levels that hold at least one ``heavy``-th of
+    their feature's fitted rows (so at most ``heavy`` a feature) are broadcast; only rows of
+    other values are shuffled to their level, so no task gets a hot one.
+    """
+    from strata.functions.ranks import bounded_broadcast
+
+    total = bounded_broadcast(levels.groupBy("feature").agg(F.sum("n").alias("_all")), known_rows=len(cols))
+    hot = F.col("n") * heavy >= F.col("_all")
+    ranked = levels.join(total, "feature")
+    often = bounded_broadcast(ranked.where(hot).select("feature", "value", F.col("code").alias("_hot")),
+                              known_rows=heavy * len(cols))
+    rows = _long(df, key, cols).join(often, ["feature", "value"], "left")
+    seldom = ranked.where(~hot).select("feature", "value", "code")
+    out = [*key, "feature", "value", "code"]
+    return (rows.where(F.col("_hot").isNotNull()).withColumnRenamed("_hot", "code").select(*out)
+            .unionByName(rows.where(F.col("_hot").isNull()).join(seldom, ["feature", "value"]).select(*out)))
+
+
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Integer code = position of the value in alphabetical order of the
     distinct values (as text). Distinct values are ranked with the bucketed

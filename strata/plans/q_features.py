@@ -174,6 +174,22 @@ def q_one_hot(spark, sf):
     return FT.one_hot(df, "embarked", levels).select("id", *[f"embarked_{lv}" for lv in levels])
 
 
+@register("one_hot_sparse", """
+WITH l AS (SELECT l_orderkey, l_linenumber, l_shipdate, unnest([
+             {'feature': 'l_partkey', 'value': CAST(l_partkey AS VARCHAR)}, {'feature': 'l_suppkey', 'value': CAST(l_suppkey AS VARCHAR)},
+             {'feature': 'l_returnflag', 'value': l_returnflag}]) AS p FROM lineitem),
+v AS (SELECT DISTINCT p.feature AS feature, p.value AS value FROM l WHERE l_shipdate < TIMESTAMP '1996-01-01' AND p.value IS NOT NULL),
+c AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY value) - 1 AS code FROM v)
+SELECT l_orderkey, l_linenumber, c.feature AS feature, c.value AS value, code
+FROM l JOIN c ON c.feature = p.feature AND c.value = p.value
+""")
+def q_one_hot_sparse(spark, sf):
+    """F22 with levels without bound: fitted on the line items shipped before 1996, applied to all."""
+    items, cols = spark.read.parquet(f"{sf}/lineitem.parquet"), ["l_partkey", "l_suppkey", "l_returnflag"]
+    levels = FT.level_table(items.where(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp")), cols)
+    return FT.one_hot_sparse(items, ["l_orderkey", "l_linenumber"], cols, levels)
+
+
 @register("label_encode", C + """
 SELECT id, CAST(dense_rank() OVER (ORDER BY name) - 1 AS INT) AS name_code FROM cohort
 """)

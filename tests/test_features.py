@@ -101,3 +101,19 @@ def test_scoring_rounds_and_refuses_another_version(spark):
     assert got and all(r["probability"] == round(r["probability"], 4) for r in got)
     with pytest.raises(ValueError, match=MODEL.version):
         batch_score(rows, MODEL, "id", version="other-2")
+
+
+def test_sparse_one_hot_of_many_levels_hot_values_and_unseen_ones(spark):
+    fit = spark.range(60_000).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id as string)) a", "if(id = 5, null, 'one') b")
+    levels = FT.level_table(fit, ["a", "b"])
+    assert levels.count() == 40_001 + 1  # more than fit in a driver-side state
+    code = {(r["feature"], r["value"]): r["code"] for r in levels.collect()}
+    names = sorted({"hot", *(str(i) for i in range(60_000) if i % 3)})
+    assert all(code["a", v] == i for i, v in enumerate(names)) and code["b", "one"] == 0
+    df = spark.createDataFrame([(1, "hot", "one"), (2, "7", None), (3, "new", "one"), (4, None, "two"), (1, "hot", "one")],
+                               "id long, a string, b string")
+    got = sorted(tuple(r) for r in FT.one_hot_sparse(df, ["id"], ["a", "b"], levels).collect())
+    want = [(1, "a", "hot"), (1, "a", "hot"), (1, "b", "one"), (1, "b", "one"), (2, "a", "7"), (3, "b", "one")]
+    assert got == [(*w, code[w[1:]]) for w in want]
+    assert FT.one_hot_sparse(df.limit(0), ["id"], ["a", "b"], levels).count() == 0
+    assert FT.level_table(fit.limit(0), ["a", "b"]).count() == 0
