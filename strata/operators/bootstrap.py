@@ -31,7 +31,7 @@ from strata.functions.ranks import materialize
 
 SPARE = 8.0  # standard deviations of the total that the Poisson mean stays below n
 ROWS_A_SLICE = 20_000
-CELLS = 4_000_000  # weights (rows x replicates) held by a task at a time
+CELLS = 65_536  # weights (rows x replicates) computed at a time; they stay in the processor's cache
 WORK_A_TASK = 400_000_000  # weights computed by a task
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 
@@ -55,17 +55,37 @@ def _thresholds(mean: float) -> np.ndarray:
 
 def poisson_weights(rows: np.ndarray, salts: np.ndarray, mean: float) -> np.ndarray:
     """Weight of each row (int64) in each replicate (by its uint64 salt): rows x replicates."""
-    z = _mix(_mix(rows.astype(np.uint64))[:, None] + salts)
-    cuts = _thresholds(mean)
-    w = np.zeros(z.shape, dtype=np.int32)
-    for c in cuts[:4]:
-        w += z >= c
-    rare = np.nonzero(z >= cuts[4]) if len(cuts) > 4 else None
-    if rare is not None and len(rare[0]):
-        w[rare] = np.searchsorted(cuts, z[rare], side="right")
+    hashed, cuts = _mix(rows.astype(np.uint64)), _thresholds(mean)
+    w = np.zeros((len(rows), len(salts)), dtype=np.int32)
+    step = _block_rows(len(salts))
+    z, spare = (np.empty((min(step, len(rows)), len(salts)), dtype=np.uint64) for _ in range(2))
+    hit = np.empty(z.shape, dtype=bool)
+    for i in range(0, len(rows), step):
+        m = min(step, len(rows) - i)
+        x, t, h = z[:m], spare[:m], hit[:m]
+        np.add(hashed[i:i + m, None], salts, out=x)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, None)):  # _mix in place
+            np.right_shift(x, np.uint64(shift), out=t)
+            np.bitwise_xor(x, t, out=x)
+            if factor:
+                np.multiply(x, np.uint64(factor), out=x)
+        few = np.zeros(x.shape, dtype=np.uint8)
+        for c in cuts[:4]:
+            np.greater_equal(x, c, out=h)
+            np.add(few, h.view(np.uint8), out=few)
+        w[i:i + m] = few
+        if len(cuts) > 4:
+            np.greater_equal(x, cuts[4], out=h)
+            rare = np.flatnonzero(h)
+            if len(rare):
+                w[i:i + m].reshape(-1)[rare] = np.searchsorted(cuts, x.reshape(-1)[rare], side="right")
     return w
 
 
+def _block_rows(n_boot: int) -> int:
+    return max(1, CELLS // max(1, n_boot))
+
+
 def _salts(seed: int, attempts: np.ndarray) -> np.ndarray:
     r = np.arange(len(attempts), dtype=np.uint64)
     return _mix(r * np.uint64(0x9E3779B97F4A7C15) + _mix(np.uint64(seed) + (attempts.astype(np.uint64) << np.uint64(40))))
@@ -94,7 +114,7 @@ class Draws:
         return max(1, -(-rows * self.n_boot // WORK_A_TASK))
 
     def _sums(self, rows: DataFrame) -> np.ndarray:
-        salts, mean, step = self.salts, self.mean, max(1, CELLS // self.n_boot)
+        salts, mean, step = self.salts, self.mean, _block_rows(self.n_boot)
 
         def run(batches):
             total = np.zeros(len(salts), dtype=np.int64)
@@ -153,32 +173,52 @@ def numbered(df: DataFrame, label: str, scores: list[str]) -> DataFrame:
 def _segments(draws: Draws, threshold: float):
     """Task over rows ``(model, score, row, y, extra)`` sorted by (model, score): segments with arrays over replicates."""
     salts, mean, n_boot = draws.salts, draws.mean, draws.n_boot
-    step = max(1, min(ROWS_A_SLICE, CELLS // n_boot))
-
-    def of(model, score, w, y):
-        first = np.flatnonzero(np.r_[True, score[1:] != score[:-1]])
-        pos, neg = np.where(y[:, None] == 1, w, 0), np.where(y[:, None] == 1, 0, w)
-        hit = (score >= threshold)[:, None]
-        cols = [np.add.reduceat(x, first, axis=0).astype(np.float64) for x in (pos, neg, pos * hit, neg * hit)]
-        k = len(first)
+    block = _block_rows(n_boot)
+
+    def sums(ids, extra, first):
+        """Weights added up over the groups that start at ``first``, a block at a time."""
+        out = np.zeros((len(first), n_boot))
+        for i in range(0, len(ids), block):
+            j = min(i + block, len(ids))
+            g, h = np.searchsorted(first, i, side="right") - 1, np.searchsorted(first, j)
+            w = row_weights(ids[i:j], extra.slice(i, j - i), salts, mean)
+            out[g:h] += np.add.reduceat(w, np.maximum(first[g:h] - i, 0), axis=0)
+        return out
+
+    def of(model, score, ids, y, extra):
+        order = np.lexsort((y, score))
+        score, ids, y, extra = score[order], ids[order], y[order], extra.take(pa.array(order))
+        at = np.r_[np.flatnonzero(np.r_[True, score[1:] != score[:-1]]), len(score)]
+        k = len(at) - 1
         parts = [(0, 1, True)] + [(1, k - 1, False)] * (k > 2) + [(k - 1, k, True)] * (k > 1)
         for a, b, tie in parts:
-            p, q = cols[0][a:b], cols[1][a:b]
-            # pairs inside a segment of one score are counted when its parts have been added up
-            u = np.zeros(n_boot) if tie else (p * (np.cumsum(q, axis=0) - q / 2)).sum(axis=0)
-            yield (model, float(score[first[a]]), tie, p.sum(axis=0), q.sum(axis=0), *(c[a:b].sum(axis=0) for c in cols[2:]), u)
+            start, (pos, neg, tp, fp, u) = float(score[at[a]]), np.zeros((5, n_boot))
+            while a < b:  # as many scores as a block holds, at least one
+                c = min(b, max(a + 1, int(np.searchsorted(at, at[a] + block, side="right")) - 1))
+                lo, hi = at[a], at[c]
+                first = np.flatnonzero(np.r_[True, (score[lo + 1:hi] != score[lo:hi - 1]) | (y[lo + 1:hi] != y[lo:hi - 1])])
+                w = sums(ids[lo:hi], extra.slice(lo, hi - lo), first)
+                p, q = np.zeros((2, c - a, n_boot))
+                which, one = np.searchsorted(at, lo + first, side="right") - 1 - a, y[lo + first] == 1
+                p[which[one]], q[which[~one]] = w[one], w[~one]
+                if not tie:  # pairs inside a segment of one score are counted when its parts have been added up
+                    u += (p * (neg + np.cumsum(q, axis=0) - q / 2)).sum(axis=0)
+                hit = score[at[a:c]] >= threshold
+                pos, neg = pos + p.sum(axis=0), neg + q.sum(axis=0)
+                tp, fp = tp + p[hit].sum(axis=0), fp + q[hit].sum(axis=0)
+                a = c
+            yield (model, start, tie, pos, neg, tp, fp, u)
 
     def run(batches):
         for b in batches:
             model, score, ids, y = (b.column(i).to_numpy() for i in range(4))
             cuts = [0, *(np.flatnonzero(model[1:] != model[:-1]) + 1).tolist(), len(model)]
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                for i in range(lo, hi, step):
-                    j = min(i + step, hi)
+                for i in range(lo, hi, ROWS_A_SLICE):
+                    j = min(i + ROWS_A_SLICE, hi)
                     if i == j:
                         continue
-                    w = row_weights(ids[i:j], b.column(4).slice(i, j - i), salts, mean)
-                    rows = list(of(int(model[i]), score[i:j], w, y[i:j]))
+                    rows = list(of(int(model[i]), score[i:j], ids[i:j], y[i:j], b.column(4).slice(i, j - i)))
                     yield pa.record_batch([
                         pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.float64()),
                         pa.array([r[2] for r in rows]),
@@ -201,12 +241,18 @@ def bootstrap_values(df: DataFrame, label: str, scores: dict[str, str], n_boot:
     return values_of(rows, Draws(rows, n_boot, seed), names, threshold)
 
 
+def with_extra(rows: DataFrame, extra: DataFrame) -> DataFrame:
+    """Rows with the replicates that draw them once more, always shuffled: the size of ``extra`` is estimated from the
+    few rows of a range, far too low, and without the hint Spark broadcasts all of it through the driver."""
+    return rows.join(extra.hint("merge"), "row", "left")
+
+
 def values_of(rows: DataFrame, draws: Draws, names: list[str], threshold: float) -> DataFrame:
     spark = rows.sparkSession
     schema = "model string, replicate int, metric string, value double"
     if not draws.n:
         return spark.createDataFrame([], schema)
-    long = rows.join(draws.extra, "row", "left").select(
+    long = with_extra(rows, draws.extra).select(
         "row", "y", F.coalesce("extra", F.array().cast("array<int>")).alias("extra"),
         F.posexplode(F.array(*[f"s{i}" for i in range(len(names))])).alias("model", "score"))
     parts = max(spark.sparkContext.defaultParallelism, draws.tasks(draws.n * len(names)))

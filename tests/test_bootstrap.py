@@ -94,3 +94,10 @@ def test_odd_tables(spark):
     vals = B.bootstrap_values(df, "label", {"a": "a", "b": "b", "c": "a"}, n_boot=40)
     diff = {(r["model"], r["metric"]): r for r in B.paired_difference(vals, "a").collect()}
     assert diff["c", "roc_auc"]["lower"] == diff["c", "roc_auc"]["upper"] == 0.0  # same rows, same draws
+
+
+def test_missing_draws_are_never_broadcast(spark):
+    """One entry a draw: the table grows with the root of the rows times the replicates, its estimated size does not."""
+    rows = B.numbered(table(spark, 300, 2), "label", ["a", "b"])
+    plan = B.with_extra(rows, B.Draws(rows, 20, 3).extra)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
