@@ -34,8 +34,8 @@ def digamma(n: Column) -> Column:
 
 def _distances(counts: DataFrame, k: int, block: int) -> DataFrame:
     """``(feature, y, x, n, n_label, k, d, lo, hi)``: distance to the k-th neighbour, and the open interval within it."""
-    ranked = materialize(cumulative(counts.withColumn("one", F.lit(1)), "x", ["one", "n"], ["feature", "y"]).select(
-        "feature", "y", "x", "n", (F.col("cum_one") - 1).alias("at"), F.col("tot_n").alias("n_label")))
+    ranked = cumulative(counts.withColumn("one", F.lit(1)), "x", ["one", "n"], ["feature", "y"]).select(
+        "feature", "y", "x", "n", (F.col("cum_one") - 1).alias("at"), F.col("tot_n").alias("n_label"))  # read once
     own, place = F.floor(F.col("at") / block), F.col("at") % block
     beside = F.array_compact(F.array(own, F.when((place < k) & (own > 0), own - 1), F.when(place >= block - k, own + 1)))
     rows = ranked.withColumns({"own": own, "block": F.explode(beside)})
@@ -70,9 +70,11 @@ def knn_information(df: DataFrame, continuous: list[str], label: str, k: int = 3
         F.col("y").isNotNull() & F.col("x").isNotNull() & ~F.isnan("x"))
     counts = materialize(long.groupBy("feature", "x", "y").agg(F.count("*").alias("n")))
     rows = materialize(_distances(counts, k, block).where(F.col("n_label") > 1))
-    ends = rows.select("feature", F.explode(F.array("lo", "hi", "x")).alias("v"), F.lit(0).cast("long").alias("n"))
-    every = rows.select("feature", F.col("x").alias("v"), "n").unionByName(ends).groupBy("feature", "v").agg(
-        F.sum("n").alias("n"))
+    # each row once, with its value and those ends that are not its value
+    here, of = F.struct(F.col("x").alias("v"), "n"), lambda c: F.when(
+        F.col(c) != F.col("x"), F.struct(F.col(c).alias("v"), F.lit(0).cast("long").alias("n")))
+    every = rows.select("feature", F.inline(F.array_compact(F.array(here, of("lo"), of("hi"))))).groupBy(
+        "feature", "v").agg(F.sum("n").alias("n"))
     upto = materialize(cumulative(every, "v", ["n"], ["feature"]).select(
         "feature", "v", F.col("n").alias("here"), "cum_n", F.col("tot_n").alias("n_all")))
     low = upto.select("feature", F.col("v").alias("lo"), F.col("cum_n").alias("upto_lo"))

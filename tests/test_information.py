@@ -56,3 +56,14 @@ def test_nulls_and_empty(spark):
 def test_digamma(spark):
     got = spark.range(1, 200).select("id", I.digamma(F.col("id")).alias("p")).collect()
     assert all(r["p"] == pytest.approx(psi(r["id"]), abs=1e-12) for r in got)
+
+
+def test_each_value_is_counted_and_written_once(spark, monkeypatch):
+    """The ranked values are read once and so not written apart; a value is no end of its own interval."""
+    from strata.operators import information as I
+
+    written = []
+    monkeypatch.setattr(I, "materialize", lambda df: written.append(df) or df)
+    df = spark.createDataFrame([(i % 2, float(i * i % 37)) for i in range(80)], "y int, x double")
+    assert len(I.knn_information(df, ["x"], "y").collect()) == 1
+    assert len(written) == 3  # counts, rows with their intervals, running counts
