@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from strata.operators.nearest import nearest
+from strata.operators.nearest import _Cuts, nearest
 
 SCHEMA = "id long, v array<double>"
 
@@ -48,3 +48,21 @@ def test_empty_tables(spark):
     assert nearest(one, none, "id", "v").count() == 0
     assert nearest(none, one, "id", "v").count() == 0
     assert nearest(one, one, "id", "v").count() == 0
+
+
+def test_cells_grow_in_number_and_not_in_size_and_requests_meet_few():
+    r = np.random.default_rng(3)
+    visited = {}
+    for n in (4000, 32000):
+        x = r.normal(size=(n, 2))
+        cuts = _Cuts(x[::4], max(4, -(-(n // 4) // (n // 64))))
+        cell = cuts.place(x)
+        held = np.bincount(cell, minlength=cuts.cells)
+        assert held.max() < 4 * 64
+        known = np.unique(cell)
+        cuts.boxes(known, np.array([x[cell == c].min(axis=0) for c in known]), np.array([x[cell == c].max(axis=0) for c in known]))
+        near = np.array([np.sort(np.hypot(*(x - q).T))[3] for q in x[:200]])
+        who, met = cuts.within(x[:200], near)
+        visited[n] = held[met].sum() / 200
+        assert {(i, c) for i in range(200) for c in cell[np.hypot(*(x - x[i]).T) <= near[i]]} <= set(zip(who, met, strict=True))
+    assert visited[32000] < 1.5 * visited[4000] < 1.5 * 500
